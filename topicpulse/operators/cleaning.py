@@ -34,17 +34,22 @@ def exclude_spam_users(users: DataFrame, spam: DataFrame | None) -> DataFrame:
     return users.filter(F.col("id").isNotNull()).join(spam, "id", "left_anti")
 
 
-def exclude_spam_posts(posts: DataFrame, spam: DataFrame | None) -> DataFrame:
+def exclude_spam_posts(
+    posts: DataFrame, spam: DataFrame | None, heavy: list[Row] | None = None
+) -> DataFrame:
     """Rows whose ``userId`` is not flagged.
 
-    Use it on posts that are already reduced per user (``daily_activity``): those have
-    no heavy user left, and far fewer rows to move.
+    A run applies it to ``daily_activity``, which has far fewer rows than the posts and
+    no heavy user left.  For single posts pass ``heavy`` (``heavy_keys`` on ``userId``)
+    to salt the users with very many of them.
     """
     if spam is None:
         return posts
-    return posts.filter(F.col("userId").isNotNull()).join(
-        spam.withColumnRenamed("id", "userId"), "userId", "left_anti"
-    )
+    known = posts.filter(F.col("userId").isNotNull())
+    flagged = spam.withColumnRenamed("id", "userId")
+    spread_by = ["tweetId"] if "tweetId" in posts.columns else ["category"]
+    kept = salted_join(known, flagged, ["userId"], "left_anti", spread_by, heavy or [])
+    return kept.select(*posts.columns)
 
 
 def dedup_edges(edges: DataFrame) -> DataFrame:

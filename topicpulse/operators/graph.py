@@ -133,3 +133,8 @@ def degree_scores(graph: TopicGraph, direction: str = "both") -> DataFrame:
 def degree(graph: TopicGraph, direction: str = "both") -> DataFrame:
     """Degree of every graph node in every topic."""
     return on_grid(graph, degree_scores(graph, direction), "degree")
+
+
+def by_user(scores: DataFrame) -> DataFrame:
+    """Scores in descending order of the user id."""
+    return scores.orderBy(F.desc("id"))
