@@ -3,12 +3,14 @@
 All topics are handled by one plan.  ``TopicGraph`` holds what every measure needs:
 
 * ``edges``    Category, Source, Target
-* ``degrees``  Category, id, out_degree, in_degree
-* ``links``    Category, src, dst and both degrees of both ends
+* ``degrees``  Category, id, key, out_degree, in_degree
+* ``links``    src, dst and both degrees of both ends, as keys
 * ``topics``   the topics that have at least one edge, ascending
 
-Measures are computed sparsely (``Category, id, value`` where the value differs from the
-default) and completed to the full node x topic grid by ``on_grid``.
+``key`` is one long per (topic, node).  The iterated jobs join and shuffle only these
+longs; names come back with ``named`` at the end.  Measures are computed sparsely
+(``Category, id, value`` where the value differs from the default) and completed to the
+full node x topic grid by ``on_grid``.
 """
 
 from __future__ import annotations
@@ -65,30 +67,44 @@ def edge_degrees(labelled: DataFrame) -> DataFrame:
 
 
 def topic_graph(labelled: DataFrame, heavy_rows: int = HEAVY_ROWS) -> TopicGraph:
-    """Materialise labelled edges and degrees; the topics are read back as a list."""
+    """Materialise labelled edges and degrees; the topics are read back as a list.
+
+    The keys depend on how rows fall into partitions, so they are fixed by writing them
+    out together with the degrees.
+    """
     edges = cut(labelled.select("Category", "Source", "Target"))
-    degrees = cut(edge_degrees(edges))
+    degrees = cut(edge_degrees(edges).withColumn("key", F.monotonically_increasing_id()))
     topics = sorted(row[0] for row in degrees.select("Category").distinct().collect())
     return TopicGraph(edges, degrees, topics, heavy_rows)
 
 
 def _annotated(edges: DataFrame, degrees: DataFrame, heavy_rows: int) -> DataFrame:
-    links = edges.select("Category", F.col("Source").alias("src"), F.col("Target").alias("dst"))
-    for end, other, own in (("src", "dst", "out_degree"), ("dst", "src", "in_degree")):
-        lookup = degrees.select(
+    """``src, src_out, src_in, dst, dst_out, dst_in``; popular ends are salted."""
+    links = edges
+    columns = []
+    for end, other, name, own in (
+        ("Source", "Target", "src", "out_degree"),
+        ("Target", "Source", "dst", "in_degree"),
+    ):
+        ends = degrees.withColumnRenamed("id", end)
+        lookup = ends.select(
             "Category",
-            F.col("id").alias(end),
-            F.col("out_degree").alias(f"{end}_out"),
-            F.col("in_degree").alias(f"{end}_in"),
+            end,
+            F.col("key").alias(name),
+            F.col("out_degree").alias(f"{name}_out"),
+            F.col("in_degree").alias(f"{name}_in"),
         )
-        heavy = [
-            row
-            for row in heaviest(
-                degrees.withColumnRenamed("id", end), ["Category", end], own, heavy_rows
-            )
-        ]
+        heavy = heaviest(ends, ["Category", end], own, heavy_rows)
         links = salted_join(links, lookup, ["Category", end], "inner", [other], heavy)
-    return links
+        columns += [name, f"{name}_out", f"{name}_in"]
+    return links.select(*columns)
+
+
+def named(graph: TopicGraph, scores: DataFrame) -> DataFrame:
+    """Scores by ``key`` as scores by ``Category, id``."""
+    values = [c for c in scores.columns if c != "key"]
+    names = graph.degrees.select("key", "Category", "id")
+    return names.join(scores, "key").select("Category", "id", *values)
 
 
 def reversed_both_ways(labelled: DataFrame) -> DataFrame:

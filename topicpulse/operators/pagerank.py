@@ -16,14 +16,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from topicpulse.operators.graph import PAGERANK_DAMPING, PAGERANK_ROUNDS, TopicGraph, on_grid
+from topicpulse.operators.graph import (
+    PAGERANK_DAMPING,
+    PAGERANK_ROUNDS,
+    TopicGraph,
+    named,
+    on_grid,
+)
 from topicpulse.operators.lineage import cut, fixed_layout, partitions_for
 from topicpulse.operators.skew import SLOT, slot_count
 
 # Links handled by one task of a round.
 LINKS_PER_PARTITION = 1_000_000
 # Rounds chained into one job before the ranks are written out.
-ROUNDS_PER_CUT = 10
+ROUNDS_PER_CUT = 5
 
 
 def pagerank_scores(
@@ -41,96 +47,90 @@ def pagerank_scores(
         raise ValueError("at least one round is needed")
     start = 1.0 - damping
     weighted = graph.links.withColumn("weight", F.lit(damping) / F.col("src_out"))
-    from_leaf = F.col("src_in") == 0
+    from_leaf = F.when(F.col("src_in") == 0, F.lit(start) * F.col("weight"))
     targets = cut(
-        weighted.groupBy("Category", F.col("dst").alias("id")).agg(
-            (
-                F.lit(start)
-                + F.sum(F.when(from_leaf, F.lit(start) * F.col("weight")).otherwise(F.lit(0.0)))
-            ).alias("base"),
+        weighted.groupBy(F.col("dst").alias("key")).agg(
+            (F.lit(start) + F.coalesce(F.sum(from_leaf), F.lit(0.0))).alias("base"),
             F.max("dst_out").alias("out_degree"),
         )
     )
-    slots = slot_count(F.col("out_degree"), graph.heavy_rows)
-    passing_on = F.col("src_in") > 0
-    spread = F.pmod(F.xxhash64("dst"), slot_count(F.col("src_out"), graph.heavy_rows))
-    links = weighted.filter(passing_on).select(
-        "Category",
+    links = weighted.filter(F.col("src_in") > 0).select(
         "src",
-        spread.cast("int").alias(SLOT),
-        F.col("dst").alias("id"),
+        F.pmod(F.xxhash64("dst"), slot_count(F.col("src_out"), graph.heavy_rows))
+        .cast("int")
+        .alias(SLOT),
+        F.col("dst").alias("key"),
         "weight",
         F.lit(0.0).alias("base"),
-        slot_count(F.col("dst_out"), graph.heavy_rows).alias("slots"),
         F.col("dst_out").alias("out_degree"),
     )
     # A core node also links to itself with weight 0: that row brings in its constant
     # and keeps nodes whose other sources are all leaves.
     own = targets.select(
-        "Category",
-        F.col("id").alias("src"),
+        F.col("key").alias("src"),
         F.lit(0).alias(SLOT),
-        "id",
+        "key",
         F.lit(0.0).alias("weight"),
         "base",
-        slots.alias("slots"),
         "out_degree",
     )
-    spark = graph.links.sparkSession
     size = graph.edges.count()
     split = not graph.degrees.filter(F.col("out_degree") > graph.heavy_rows).isEmpty()
-    with fixed_layout(spark, partitions_for(size, LINKS_PER_PARTITION)):
-        by_source = ["Category", "src", SLOT] if split else ["Category", "src"]
-        into_core = F.col("out_degree") > 0
+    by_source = ["src", SLOT] if split else ["src"]
+    # With split sources the ranks carry the number of slots they are needed in.
+    slots = [slot_count(F.col("out_degree"), graph.heavy_rows).alias("slots")] if split else []
+    into_core = F.col("out_degree") > 0
+    with fixed_layout(graph.links.sparkSession, partitions_for(size, LINKS_PER_PARTITION)):
         loop = (
             links.unionByName(own)
             .filter(into_core)
+            .select(*by_source, "key", "weight", "base", *slots)
             .repartition(*by_source)
-            .select(*by_source, "id", "weight", "base", "slots")
             .persist()
         )
         try:
             ranks = cut(
                 targets.filter(into_core)
-                .repartition("Category", "id")
-                .select("Category", "id", slots.alias("slots"), F.lit(start).alias("rank"))
+                .select("key", F.lit(start).alias("rank"), *slots)
+                .repartition("key")
             )
-            ranks = _iterate(ranks, loop, rounds - 1, split, tolerance)
+            ranks = _iterate(ranks, loop, by_source, rounds - 1, tolerance)
             received = (
-                _as_sources(ranks, split)
-                .join(links.select(*by_source, "id", "weight"), by_source)
-                .select("Category", "id", (F.col("rank") * F.col("weight")).alias("part"))
+                _as_sources(ranks, by_source)
+                .join(links.select(*by_source, "key", "weight"), by_source)
+                .select("key", (F.col("rank") * F.col("weight")).alias("part"))
             )
-            return cut(
-                received.unionByName(targets.select("Category", "id", F.col("base").alias("part")))
-                .groupBy("Category", "id")
+            last = cut(
+                received.unionByName(targets.select("key", F.col("base").alias("part")))
+                .groupBy("key")
                 .agg(F.sum("part").alias("rank"))
             )
         finally:
             loop.unpersist()
+    return named(graph, last)
 
 
-def _as_sources(ranks: DataFrame, split: bool) -> DataFrame:
-    sources = ranks.withColumnRenamed("id", "src")
-    if split:
+def _as_sources(ranks: DataFrame, by_source: list[str]) -> DataFrame:
+    sources = ranks.withColumnRenamed("key", "src")
+    if SLOT in by_source:
         sources = sources.withColumn(SLOT, F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-    return sources.drop("slots")
+    return sources.select(*by_source, "rank")
 
 
 def _iterate(
-    ranks: DataFrame, loop: DataFrame, rounds: int, split: bool, tolerance: float | None
+    ranks: DataFrame,
+    loop: DataFrame,
+    by_source: list[str],
+    rounds: int,
+    tolerance: float | None,
 ) -> DataFrame:
-    by_source = ["Category", "src", SLOT] if split else ["Category", "src"]
-    part = F.col("rank") * F.col("weight") + F.col("base")
+    sums = [F.sum(F.col("rank") * F.col("weight") + F.col("base")).alias("rank")]
+    if SLOT in by_source:
+        sums.append(F.max("slots").alias("slots"))
     written = ranks
     for done in range(1, rounds + 1):
-        ranks = (
-            _as_sources(ranks, split)
-            .hint("shuffle_hash")
-            .join(loop, by_source)
-            .groupBy("Category", "id")
-            .agg(F.max("slots").alias("slots"), F.sum(part).alias("rank"))
-        )
+        sources = _as_sources(ranks, by_source).hint("shuffle_hash")
+        ranks = sources.join(loop, by_source).groupBy("key").agg(*sums)
         if done % ROUNDS_PER_CUT and done != rounds:
             continue
         ranks = cut(ranks)
@@ -141,8 +141,8 @@ def _iterate(
 
 
 def _largest_move(before: DataFrame, after: DataFrame) -> float:
-    moved = before.withColumnRenamed("rank", "old").join(
-        after.select("Category", "id", "rank"), ["Category", "id"]
+    moved = before.select("key", F.col("rank").alias("old")).join(
+        after.select("key", "rank"), "key"
     )
     return moved.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
 

@@ -1,15 +1,16 @@
 """Shortest paths, closeness and betweenness of all topic graphs at once.
 
-State is kept as rows ``(Category, source, node)``: one breadth-first search per source,
-all of them advancing one level per round.  A round joins the newest level with the
-links, adds up the number of shortest paths per reached node and removes nodes a search
-has seen before.  Betweenness walks the levels back and accumulates the dependencies of
-Brandes (2001).
-
-Levels are partitioned by (Category, source, node), so neither a popular node nor a
-source that reaches everything lands in one task.  Nodes with very many links are split
-into slots for the link joins.  The sources are taken in batches when all searches
-together could exceed ``max_state_rows``; every batch is exact and the batches add up.
+State is kept as rows ``(source, node)``: one breadth-first search per source, all of
+them advancing one level per round.  A round joins the newest level with the links,
+removes nodes a search has seen before and adds up the number of shortest paths per
+reached node.  Betweenness also keeps the steps of each round, which are the links on
+shortest paths, and walks them back accumulating the dependencies of Brandes (2001).
+
+Levels and steps are partitioned by (source, node), so neither a popular node nor a
+source that reaches everything lands in one task, and the nodes seen so far never move
+again.  Nodes with very many links are split into slots for the link join.  The sources
+are taken in batches when all searches together could visit more than
+``max_visits`` links; every batch is exact and the batches add up.
 """
 
 from __future__ import annotations
@@ -19,178 +20,166 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from topicpulse.operators.graph import TopicGraph, on_grid, reversed_both_ways, topic_graph
+from topicpulse.operators.graph import (
+    TopicGraph,
+    named,
+    on_grid,
+    reversed_both_ways,
+    topic_graph,
+)
 from topicpulse.operators.lineage import cut, fixed_layout, partitions_for
 from topicpulse.operators.skew import SLOT, slot_count
 
-# Search state a batch of sources may reach, before more batches are used.
-MAX_STATE_ROWS = 2_000_000_000
-# Joined rows handled by one task of a round.
-ROWS_PER_PARTITION = 1_000_000
+# Links all searches of one batch may visit, before more batches are used.
+MAX_VISITS = 10_000_000_000
+# Visits handled by one task.
+VISITS_PER_PARTITION = 4_000_000
+# Nodes ranked by one task when pivots are chosen.
+NODES_PER_SLICE = 1_000_000
 # Pivot sources of the sampled betweenness.
 PIVOTS = 100
 
-KEY = ["Category", "source", "node"]
+KEY = ["source", "node"]
 
 
 class _Search:
     """Links laid out for the searches of one call, and the size of a batch."""
 
-    def __init__(self, graph: TopicGraph, max_state_rows: int, pivots: DataFrame | None):
+    def __init__(self, graph: TopicGraph, max_visits: int, pivots: DataFrame | None):
         self.graph = graph
         self.pivots = pivots
-        self.spark = graph.links.sparkSession
-        self.loop_free = graph.links.filter(F.col("src") != F.col("dst"))
-        counts = self._size()
-        self.batches = max(1, -(-counts["state"] // max_state_rows))
-        state = -(-counts["state"] // self.batches)
-        fan = 1 + counts["links"] // max(1, counts["senders"])
+        self.links = graph.links.filter(F.col("src") != F.col("dst"))
+        visits, links, most_out = self._size()
+        self.batches = max(1, -(-visits // max_visits))
         self.partitions = partitions_for(
-            max(state * fan, counts["links"]), ROWS_PER_PARTITION, least=8
+            max(-(-visits // self.batches), links), VISITS_PER_PARTITION, least=8
         )
-        self.split_out = counts["most_out"] > graph.heavy_rows
-        self.split_in = counts["most_in"] > graph.heavy_rows
+        self.split = most_out > graph.heavy_rows
+        self.by_source = ["src", SLOT] if self.split else ["src"]
 
-    def _size(self) -> dict[str, int]:
-        """Upper bound of the state: searches x reachable nodes, per topic."""
+    def _size(self) -> tuple[int, int, int]:
+        """Bound of the visits (a search visits a link of its topic at most once)."""
         per_topic = self.graph.degrees.groupBy("Category").agg(
-            F.count_if(F.col("out_degree") > 0).alias("senders"),
-            F.count_if(F.col("in_degree") > 0).alias("receivers"),
+            F.count_if(F.col("out_degree") > 0).alias("searches"),
             F.sum("out_degree").alias("links"),
             F.max("out_degree").alias("most_out"),
-            F.max("in_degree").alias("most_in"),
         )
         if self.pivots is not None:
             chosen = self.pivots.groupBy("Category").agg(F.count(F.lit(1)).alias("searches"))
-            per_topic = per_topic.join(chosen, "Category")
-        else:
-            per_topic = per_topic.withColumn("searches", F.col("senders"))
+            per_topic = per_topic.drop("searches").join(chosen, "Category")
         row = per_topic.agg(
-            F.sum(F.col("searches") * F.col("receivers")).alias("state"),
-            *[F.sum(c).alias(c) for c in ("senders", "links")],
-            *[F.max(c).alias(c) for c in ("most_out", "most_in")],
+            F.sum(F.col("searches") * F.col("links")), F.sum("links"), F.max("most_out")
         ).first()
-        return {name: value or 0 for name, value in row.asDict().items()}
+        return tuple(value or 0 for value in row)
 
     def slots(self, degree: str) -> Column:
         return slot_count(F.col(degree), self.graph.heavy_rows)
 
-    def link_table(self, join_on: str, other: str, degree: str, split: bool) -> DataFrame:
-        """Links partitioned by the end a round joins on."""
-        keys = ["Category", join_on, SLOT] if split else ["Category", join_on]
-        slot = F.pmod(F.xxhash64(other), self.slots(degree)).cast("int").alias(SLOT)
-        links = self.loop_free.select(
-            "Category",
-            "src",
-            "dst",
-            slot,
+    def link_table(self) -> DataFrame:
+        """Links partitioned by the source a round joins on."""
+        slot = F.pmod(F.xxhash64("dst"), self.slots("src_out")).cast("int").alias(SLOT)
+        columns = ["src", slot] if self.split else ["src"]
+        return self.links.select(
+            *columns, F.col("dst").alias("node"), F.col("dst_out").alias("out_degree")
+        ).repartition(*self.by_source)
+
+    def first_level(self, batch: int) -> DataFrame:
+        links = self.links
+        if self.pivots is not None:
+            chosen = self.pivots.select(F.col("key").alias("src"))
+            links = links.join(chosen, "src", "left_semi")
+        if self.batches > 1:
+            links = links.filter(F.pmod(F.xxhash64("src"), F.lit(self.batches)) == batch)
+        return links.select(
+            F.col("src").alias("source"),
+            F.col("dst").alias("node"),
+            F.lit(1.0).alias("paths"),
             F.col("dst_out").alias("out_degree"),
-            F.col("dst_in").alias("in_degree"),
+        ).repartition(*KEY)
+
+    def visits(self, newest: DataFrame, link_table: DataFrame) -> DataFrame:
+        """``source, node, before, paths, out_degree``: one step from the newest level."""
+        frontier = newest.filter(F.col("out_degree") > 0)
+        if self.split:
+            slot = F.explode(F.sequence(F.lit(0), self.slots("out_degree") - 1))
+            frontier = frontier.withColumn(SLOT, slot)
+        frontier = frontier.withColumnRenamed("node", "src").select(
+            *self.by_source, "source", "paths"
+        )
+        return (
+            frontier.join(link_table.hint("shuffle_hash"), self.by_source)
+            .filter(F.col("node") != F.col("source"))
+            .select(*KEY, F.col("src").alias("before"), "paths", "out_degree")
         )
-        return links.repartition(*keys)
 
 
-def _fan_out(rows: DataFrame, slots: Column, split: bool) -> DataFrame:
-    if not split:
-        return rows
-    return rows.withColumn(SLOT, F.explode(F.sequence(F.lit(0), slots - 1)))
+def _reached(steps: DataFrame) -> DataFrame:
+    return steps.groupBy(*KEY).agg(
+        F.sum("paths").alias("paths"), F.max("out_degree").alias("out_degree")
+    )
 
 
-def _first_level(search: _Search, batch: int) -> DataFrame:
-    links = search.loop_free
-    if search.pivots is not None:
-        links = links.join(
-            search.pivots.withColumnRenamed("id", "src"), ["Category", "src"], "left_semi"
-        )
-    if search.batches > 1:
-        links = links.filter(F.pmod(F.xxhash64("Category", "src"), F.lit(search.batches)) == batch)
-    return links.select(
-        "Category",
-        F.col("src").alias("source"),
-        F.col("dst").alias("node"),
-        F.lit(1.0).alias("paths"),
-        F.col("dst_out").alias("out_degree"),
-        F.col("dst_in").alias("in_degree"),
-    ).repartition(*KEY)
-
-
-def _next_level(search: _Search, levels: list[DataFrame], out_links: DataFrame) -> DataFrame:
-    keys = ["Category", "src", SLOT] if search.split_out else ["Category", "src"]
-    newest = levels[-1].filter(F.col("out_degree") > 0)
-    frontier = _fan_out(newest, search.slots("out_degree"), search.split_out).select(
-        "source", "paths", F.col("node").alias("src"), *[k for k in keys if k != "src"]
-    )
-    steps = out_links.select(*keys, F.col("dst").alias("node"), "out_degree", "in_degree")
-    reached = (
-        frontier.join(steps.hint("shuffle_hash"), keys)
-        .filter(F.col("node") != F.col("source"))
-        .groupBy(*KEY)
-        .agg(
-            F.sum("paths").alias("paths"),
-            F.max("out_degree").alias("out_degree"),
-            F.max("in_degree").alias("in_degree"),
-        )
-    )
+def _unseen(rows: DataFrame, levels: list[DataFrame]) -> DataFrame:
     seen = reduce(DataFrame.unionByName, [level.select(*KEY) for level in levels])
-    return reached.join(seen.hint("shuffle_hash"), KEY, "left_anti")
+    return rows.join(seen.hint("shuffle_hash"), KEY, "left_anti")
 
 
-def _searches(search: _Search, out_links: DataFrame) -> Iterator[list[DataFrame]]:
-    """The levels of each batch, nearest first."""
+def _searches(
+    search: _Search, link_table: DataFrame, keep_steps: bool
+) -> Iterator[tuple[list[DataFrame], list[DataFrame]]]:
+    """Per batch the levels, nearest first, and the steps into each level but the first."""
     for batch in range(search.batches):
-        levels = [cut(_first_level(search, batch))]
+        levels, steps = [cut(search.first_level(batch))], []
         while True:
-            level = cut(_next_level(search, levels, out_links))
-            if level.isEmpty():
-                break
+            visits = search.visits(levels[-1], link_table)
+            if keep_steps:
+                step = cut(_unseen(visits, levels))
+                if step.isEmpty():
+                    break
+                steps.append(step)
+                level = cut(_reached(step))
+            else:
+                level = cut(_unseen(_reached(visits), levels))
+                if level.isEmpty():
+                    break
             levels.append(level)
-        yield levels
+        yield levels, steps
 
 
-def _dependencies(search: _Search, levels: list[DataFrame], in_links: DataFrame) -> DataFrame:
-    """``Category, id, betweenness`` added up over the sources of one batch."""
-    keys = ["Category", "dst", SLOT] if search.split_in else ["Category", "dst"]
-    steps = in_links.select(*keys, F.col("src").alias("before"))
-    current = levels[-1].withColumn("dependency", F.lit(0.0))
-    parts = []
-    for level in reversed(levels[:-1]):
+def _dependencies(levels: list[DataFrame], steps: list[DataFrame]) -> DataFrame:
+    """``key, betweenness`` added up over the sources of one batch."""
+    current = levels[-1].select(*KEY, "paths", F.lit(0.0).alias("dependency"))
+    parts = [current]
+    for level, step in zip(reversed(levels[:-1]), reversed(steps)):
         share = (F.lit(1.0) + F.col("dependency")) / F.col("paths")
-        sent = _fan_out(
-            current.withColumn("share", share), search.slots("in_degree"), search.split_in
-        ).select("source", "share", F.col("node").alias("dst"), *[k for k in keys if k != "dst"])
+        ends = current.select(*KEY, share.alias("share"))
         received = (
-            sent.join(steps.hint("shuffle_hash"), keys)
-            .filter(F.col("before") != F.col("source"))
-            .groupBy("Category", "source", F.col("before").alias("node"))
-            .agg(F.sum("share").alias("share"))
+            step.join(ends.hint("shuffle_hash"), KEY)
+            .groupBy("source", F.col("before").alias("node"))
+            .agg(F.sum(F.col("paths") * F.col("share")).alias("dependency"))
         )
         current = cut(
-            level.join(received, KEY, "left").select(
-                *KEY,
-                "paths",
-                "in_degree",
-                (F.col("paths") * F.coalesce("share", F.lit(0.0))).alias("dependency"),
-            )
+            level.select(*KEY, "paths")
+            .join(received, KEY, "left")
+            .select(*KEY, "paths", F.coalesce("dependency", F.lit(0.0)).alias("dependency"))
         )
-        parts.append(current.select("Category", F.col("node").alias("id"), "dependency"))
-    if not parts:
-        parts = [current.select("Category", F.col("node").alias("id"), "dependency")]
+        parts.append(current)
     return (
         reduce(DataFrame.unionByName, parts)
-        .groupBy("Category", "id")
+        .groupBy(F.col("node").alias("key"))
         .agg(F.sum("dependency").alias("betweenness"))
     )
 
 
 def _distances(levels: list[DataFrame], end: str) -> DataFrame:
-    """``Category, id, reached, distance`` added up over one batch."""
+    """``key, reached, distance`` added up over one batch."""
     counted = [
-        level.select("Category", F.col(end).alias("id"), F.lit(i).alias("distance"))
+        level.select(F.col(end).alias("key"), F.lit(i).alias("distance"))
         for i, level in enumerate(levels, start=1)
     ]
     return (
         reduce(DataFrame.unionByName, counted)
-        .groupBy("Category", "id")
+        .groupBy("key")
         .agg(F.count(F.lit(1)).alias("reached"), F.sum("distance").alias("distance"))
     )
 
@@ -200,38 +189,28 @@ def path_scores(
     closeness_end: str | None = "node",
     with_betweenness: bool = True,
     pivots: DataFrame | None = None,
-    max_state_rows: int = MAX_STATE_ROWS,
+    max_visits: int = MAX_VISITS,
 ) -> DataFrame:
     """Sparse ``Category, id, reached, distance, betweenness`` from one set of searches.
 
     ``closeness_end`` says for which end of a path the distances are added up.
     """
-    search = _Search(graph, max_state_rows, pivots)
-    with fixed_layout(search.spark, search.partitions):
-        out_links = search.link_table("src", "dst", "src_out", search.split_out).persist()
-        in_links = None
-        if with_betweenness:
-            in_links = search.link_table("dst", "src", "dst_in", search.split_in).persist()
+    search = _Search(graph, max_visits, pivots)
+    with fixed_layout(graph.links.sparkSession, search.partitions):
+        link_table = search.link_table().persist()
         try:
             parts = []
-            for levels in _searches(search, out_links):
-                found = []
+            for levels, steps in _searches(search, link_table, with_betweenness):
                 if closeness_end:
-                    found.append(_distances(levels, closeness_end))
-                if in_links is not None:
-                    found.append(_dependencies(search, levels, in_links))
-                parts += [cut(f) for f in found]
-            merged = reduce(
-                lambda a, b: a.unionByName(b, allowMissingColumns=True), parts
-            )
-            columns = [c for c in ("reached", "distance", "betweenness") if c in merged.columns]
-            return cut(
-                merged.groupBy("Category", "id").agg(*[F.sum(c).alias(c) for c in columns])
-            )
+                    parts.append(cut(_distances(levels, closeness_end)))
+                if with_betweenness:
+                    parts.append(cut(_dependencies(levels, steps)))
+            merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            values = [c for c in ("reached", "distance", "betweenness") if c in merged.columns]
+            total = cut(merged.groupBy("key").agg(*[F.sum(c).alias(c) for c in values]))
         finally:
-            out_links.unpersist()
-            if in_links is not None:
-                in_links.unpersist()
+            link_table.unpersist()
+    return named(graph, total)
 
 
 def closeness_value(node_count: int, wasserman_faust: bool = False) -> Column:
@@ -246,7 +225,7 @@ def closeness(
     graph: TopicGraph,
     direction: str = "in",
     wasserman_faust: bool = False,
-    max_state_rows: int = MAX_STATE_ROWS,
+    max_visits: int = MAX_VISITS,
 ) -> DataFrame:
     """Closeness of every graph node in every topic.
 
@@ -260,7 +239,7 @@ def closeness(
     if direction == "both":
         searched = topic_graph(reversed_both_ways(graph.edges), graph.heavy_rows)
     end = "source" if direction == "out" else "node"
-    sums = path_scores(searched, end, with_betweenness=False, max_state_rows=max_state_rows)
+    sums = path_scores(searched, end, with_betweenness=False, max_visits=max_visits)
     node_count = graph.nodes.count() if wasserman_faust else 0
     scores = sums.select(
         "Category", "id", closeness_value(node_count, wasserman_faust).alias("closeness")
@@ -268,17 +247,17 @@ def closeness(
     return on_grid(graph, scores, "closeness")
 
 
-def betweenness(graph: TopicGraph, max_state_rows: int = MAX_STATE_ROWS) -> DataFrame:
+def betweenness(graph: TopicGraph, max_visits: int = MAX_VISITS) -> DataFrame:
     """Exact directed betweenness of every graph node in every topic.
 
     Not normalised; the ends of a path do not count; ordered pairs are added up.
     """
-    scores = path_scores(graph, closeness_end=None, max_state_rows=max_state_rows)
+    scores = path_scores(graph, closeness_end=None, max_visits=max_visits)
     return on_grid(graph, scores, "betweenness")
 
 
 def pivot_sources(graph: TopicGraph, pivots: int = PIVOTS) -> DataFrame:
-    """``Category, id`` of the nodes with the highest degree of each topic, ties by id.
+    """``Category, key`` of the nodes with the highest degree of each topic, ties by id.
 
     A topic may hold most of the graph, so its nodes are ranked in slices first and
     only the best of every slice compete for the topic.
@@ -289,21 +268,21 @@ def pivot_sources(graph: TopicGraph, pivots: int = PIVOTS) -> DataFrame:
     total = (F.col("out_degree") + F.col("in_degree")).alias("total")
     sliced = F.pmod(F.xxhash64("id"), F.lit(_slices(graph))).alias("slice")
     best = (
-        graph.degrees.select("Category", "id", total, sliced)
+        graph.degrees.select("Category", "id", "key", total, sliced)
         .withColumn("place", F.row_number().over(slices))
         .filter(F.col("place") <= pivots)
         .withColumn("place", F.row_number().over(whole))
         .filter(F.col("place") <= pivots)
     )
-    return best.select("Category", "id")
+    return best.select("Category", "key")
 
 
 def _slices(graph: TopicGraph) -> int:
-    return partitions_for(graph.degrees.count(), ROWS_PER_PARTITION, least=1)
+    return partitions_for(graph.degrees.count(), NODES_PER_SLICE, least=1)
 
 
 def betweenness_sampled(
-    graph: TopicGraph, pivots: int = PIVOTS, max_state_rows: int = MAX_STATE_ROWS
+    graph: TopicGraph, pivots: int = PIVOTS, max_visits: int = MAX_VISITS
 ) -> DataFrame:
     """Betweenness estimated from the shortest paths of a few pivot sources per topic.
 
@@ -311,7 +290,7 @@ def betweenness_sampled(
     values come out.
     """
     chosen = cut(pivot_sources(graph, pivots))
-    scores = path_scores(graph, closeness_end=None, pivots=chosen, max_state_rows=max_state_rows)
+    scores = path_scores(graph, closeness_end=None, pivots=chosen, max_visits=max_visits)
     per_topic = (
         graph.degrees.groupBy("Category")
         .agg(F.count(F.lit(1)).alias("members"))

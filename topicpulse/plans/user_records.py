@@ -43,7 +43,7 @@ class RunOptions:
     damping: float = PAGERANK_DAMPING
     tolerance: float | None = None
     heavy_rows: int = HEAVY_ROWS
-    max_state_rows: int = paths.MAX_STATE_ROWS
+    max_visits: int = paths.MAX_VISITS
 
     def __post_init__(self) -> None:
         allowed = {
@@ -114,7 +114,7 @@ def path_measures(graph: TopicGraph, options: RunOptions) -> DataFrame:
 
     Exact betweenness and directed closeness share one set of searches.
     """
-    limits = {"max_state_rows": options.max_state_rows}
+    limits = {"max_visits": options.max_visits}
     if options.betweenness == "exact" and options.closeness_direction != "both":
         end = "source" if options.closeness_direction == "out" else "node"
         node_count = graph.nodes.count() if options.wasserman_faust else 0
