@@ -336,14 +336,21 @@ def merged(i: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, named).withColumn("value", rounded(F.col("value")))
 
 
+def _scaled_features(i: Inputs, method: str) -> DataFrame:
+    features = act.feature_record(i.activity, i.names, i.span_days)
+    present = cut(features.join(labelling.nodes(i.edges), "id", "left_semi"))
+    scaled = scale_records(present, i.names, [], method)
+    return unnest(scaled, "user_features", FEATURE_MEASURES, i.names)
+
+
 @query
 def scaled_features_minmax(i: Inputs) -> DataFrame:
-    return unnest(i.scaled(), "user_features", FEATURE_MEASURES, i.names)
+    return _scaled_features(i, "minmax")
 
 
 @query
 def scaled_features_std(i: Inputs) -> DataFrame:
-    return unnest(i.scaled("std"), "user_features", FEATURE_MEASURES, i.names)
+    return _scaled_features(i, "std")
 
 
 @query
