@@ -74,8 +74,11 @@ def centrality_record(
     """``id`` and one nested struct for every node of the unlabelled edges.
 
     Nodes outside the graph have null scores.  ``topics`` can widen the dictionaries to
-    topics without labelled edges, which are null there.
+    topics without labelled edges, which are null there.  Without any topic there is
+    nothing to nest and the struct is left out.
     """
+    if not (graph.topics if topics is None else topics):
+        return nodes.select("id")
     wide = _scores_by_node(graph, paths, ranks, damping)
     at = {topic: i for i, topic in enumerate(graph.topics)}
     names = list(graph.topics if topics is None else topics)

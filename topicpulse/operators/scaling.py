@@ -73,7 +73,7 @@ def scale_records(
     ``minmax`` maps each column to [0, 1] (0.5 if constant); ``std`` divides features by
     their sample deviation without centring (0 if constant).  Centralities always use
     ``minmax``.  Nulls count as 0.  ``keep_raw`` carries the per-user counts along.  A
-    struct that ``merged`` does not have is left out.
+    struct that has no topics or that ``merged`` lacks is left out.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
@@ -81,7 +81,7 @@ def scale_records(
         (features_column, FEATURE_MEASURES, topics),
         (centralities_column, CENTRALITY_MEASURES, centrality_topics),
     ]
-    layout = [part for part in layout if part[0] in merged.columns]
+    layout = [part for part in layout if part[2] and part[0] in merged.columns]
     methods = {features_column: method, centralities_column: "minmax"}
     cells = {
         (column, measure, topic): _value(column, measure, topic)
