@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from pathlib import Path
 
@@ -9,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from topicpulse.queries import catalog
 from topicpulse.queries.oracle import WALK_LIMIT, with_parts
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -24,6 +26,14 @@ def tables():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_inputs():
+    """Let the queries of this module share what they derive from the tables."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalog, "Inputs", functools.cache(catalog.Inputs))
+        yield
+
+
 def _sortable(row):
     return tuple((v is not None, v if v is not None else 0) for v in row)
 
