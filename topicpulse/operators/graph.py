@@ -5,7 +5,7 @@ All topics are handled by one plan.  ``TopicGraph`` holds what every measure nee
 * ``edges``    Category, Source, Target
 * ``degrees``  Category, id, key, out_degree, in_degree
 * ``links``    src, dst and both degrees of both ends, as keys
-* ``topics``   the topics that have at least one edge, ascending
+* ``sizes``    per topic with at least one edge a few counts, on the driver
 
 ``key`` is one long per (topic, node).  The iterated jobs join and shuffle only these
 longs; names come back with ``named`` at the end.  Measures are computed sparsely
@@ -27,19 +27,48 @@ PAGERANK_DAMPING = 0.85
 PAGERANK_ROUNDS = 100
 
 
+@dataclass(frozen=True)
+class TopicSize:
+    """Counts of one topic: nodes, nodes with outgoing edges, edges, largest degrees."""
+
+    members: int
+    senders: int
+    edges: int
+    most_out: int
+    most_in: int
+
+
 @dataclass
 class TopicGraph:
     edges: DataFrame
     degrees: DataFrame
-    topics: list[str]
+    sizes: dict[str, TopicSize]
     heavy_rows: int = HEAVY_ROWS
     _links: DataFrame | None = field(default=None, repr=False)
 
+    @property
+    def topics(self) -> list[str]:
+        """The topics with edges, ascending."""
+        return sorted(self.sizes)
+
+    @property
+    def edge_count(self) -> int:
+        return sum(size.edges for size in self.sizes.values())
+
+    @property
+    def split_sources(self) -> bool:
+        """True when a node has more outgoing edges than one slot should hold."""
+        return any(size.most_out > self.heavy_rows for size in self.sizes.values())
+
+    @property
+    def split_targets(self) -> bool:
+        return any(size.most_in > self.heavy_rows for size in self.sizes.values())
+
     @property
     def links(self) -> DataFrame:
         """Edges with the degrees of both ends; computed once, on first use."""
         if self._links is None:
-            self._links = cut(_annotated(self.edges, self.degrees, self.heavy_rows))
+            self._links = cut(_annotated(self))
         return self._links
 
     @property
@@ -66,27 +95,42 @@ def edge_degrees(labelled: DataFrame) -> DataFrame:
     )
 
 
-def topic_graph(labelled: DataFrame, heavy_rows: int = HEAVY_ROWS) -> TopicGraph:
-    """Materialise labelled edges and degrees; the topics are read back as a list.
+def topic_graph(
+    labelled: DataFrame, heavy_rows: int = HEAVY_ROWS, written: bool = False
+) -> TopicGraph:
+    """Materialise labelled edges and degrees and read back the size of each topic.
 
-    The keys depend on how rows fall into partitions, so they are fixed by writing them
-    out together with the degrees.
+    ``written=True`` says that reading ``labelled`` again is cheap already.  The keys
+    depend on how rows fall into partitions, so they are fixed by writing them out
+    together with the degrees.
     """
-    edges = cut(labelled.select("Category", "Source", "Target"))
+    edges = labelled.select("Category", "Source", "Target")
+    edges = edges if written else cut(edges)
     degrees = cut(edge_degrees(edges).withColumn("key", F.monotonically_increasing_id()))
-    topics = sorted(row[0] for row in degrees.select("Category").distinct().collect())
-    return TopicGraph(edges, degrees, topics, heavy_rows)
+    rows = (
+        degrees.groupBy("Category")
+        .agg(
+            F.count(F.lit(1)).alias("members"),
+            F.count_if(F.col("out_degree") > 0).alias("senders"),
+            F.sum("out_degree").alias("edges"),
+            F.max("out_degree").alias("most_out"),
+            F.max("in_degree").alias("most_in"),
+        )
+        .collect()
+    )
+    sizes = {row["Category"]: TopicSize(*row[1:]) for row in rows}
+    return TopicGraph(edges, degrees, sizes, heavy_rows)
 
 
-def _annotated(edges: DataFrame, degrees: DataFrame, heavy_rows: int) -> DataFrame:
+def _annotated(graph: TopicGraph) -> DataFrame:
     """``src, src_out, src_in, dst, dst_out, dst_in``; popular ends are salted."""
-    links = edges
+    links = graph.edges
     columns = []
-    for end, other, name, own in (
-        ("Source", "Target", "src", "out_degree"),
-        ("Target", "Source", "dst", "in_degree"),
+    for end, other, name, own, split in (
+        ("Source", "Target", "src", "out_degree", graph.split_sources),
+        ("Target", "Source", "dst", "in_degree", graph.split_targets),
     ):
-        ends = degrees.withColumnRenamed("id", end)
+        ends = graph.degrees.withColumnRenamed("id", end)
         lookup = ends.select(
             "Category",
             end,
@@ -94,19 +138,13 @@ def _annotated(edges: DataFrame, degrees: DataFrame, heavy_rows: int) -> DataFra
             F.col("out_degree").alias(f"{name}_out"),
             F.col("in_degree").alias(f"{name}_in"),
         )
-        heavy = heaviest(ends, ["Category", end], own, heavy_rows)
-        links = salted_join(links, lookup, ["Category", end], "inner", [other], heavy)
+        keys = ["Category", end]
+        heavy = heaviest(ends, keys, own, graph.heavy_rows) if split else []
+        links = salted_join(links, lookup, keys, "inner", [other], heavy)
         columns += [name, f"{name}_out", f"{name}_in"]
     return links.select(*columns)
 
 
-def named(graph: TopicGraph, scores: DataFrame) -> DataFrame:
-    """Scores by ``key`` as scores by ``Category, id``."""
-    values = [c for c in scores.columns if c != "key"]
-    names = graph.degrees.select("key", "Category", "id")
-    return names.join(scores, "key").select("Category", "id", *values)
-
-
 def reversed_both_ways(labelled: DataFrame) -> DataFrame:
     """Every edge in both directions, once: the undirected view of the graph."""
     ends = F.array(
@@ -116,6 +154,13 @@ def reversed_both_ways(labelled: DataFrame) -> DataFrame:
     return labelled.select("Category", F.inline(ends)).distinct()
 
 
+def named(graph: TopicGraph, scores: DataFrame) -> DataFrame:
+    """Scores by ``key`` as scores by ``Category, id``."""
+    values = [c for c in scores.columns if c != "key"]
+    names = graph.degrees.select("key", "Category", "id")
+    return names.join(scores, "key").select("Category", "id", *values)
+
+
 def grid(graph: TopicGraph) -> DataFrame:
     """``Category, id`` for every graph node and every topic with edges."""
     names = F.array(*[F.lit(t) for t in graph.topics]).cast("array<string>")

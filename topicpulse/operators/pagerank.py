@@ -74,13 +74,13 @@ def pagerank_scores(
         "base",
         "out_degree",
     )
-    size = graph.edges.count()
-    split = not graph.degrees.filter(F.col("out_degree") > graph.heavy_rows).isEmpty()
+    split = graph.split_sources
     by_source = ["src", SLOT] if split else ["src"]
     # With split sources the ranks carry the number of slots they are needed in.
     slots = [slot_count(F.col("out_degree"), graph.heavy_rows).alias("slots")] if split else []
     into_core = F.col("out_degree") > 0
-    with fixed_layout(graph.links.sparkSession, partitions_for(size, LINKS_PER_PARTITION)):
+    partitions = partitions_for(graph.edge_count, LINKS_PER_PARTITION)
+    with fixed_layout(graph.links.sparkSession, partitions):
         loop = (
             links.unionByName(own)
             .filter(into_core)
@@ -117,6 +117,26 @@ def _as_sources(ranks: DataFrame, by_source: list[str]) -> DataFrame:
     return sources.select(*by_source, "rank")
 
 
+def _rounds_sql(rounds: int, split: bool) -> str:
+    """``rounds`` rounds as one statement on ``{ranks}`` and ``{links}``.
+
+    One statement is analysed once, which for small graphs is a good part of a round.
+    """
+    source, slots, on_slot = "{ranks}", "", ""
+    if split:
+        slots, on_slot = ", max(l.slots) AS slots", f" AND r.{SLOT} = l.{SLOT}"
+    for _ in range(rounds):
+        if split:
+            spread = f"explode(sequence(0, slots - 1)) AS {SLOT}"
+            source = f"(SELECT key, rank, {spread} FROM {source})"
+        source = f"""(
+            SELECT /*+ SHUFFLE_HASH(r) */
+                l.key, sum(r.rank * l.weight + l.base) AS rank{slots}
+            FROM {source} r JOIN {{links}} l ON r.key = l.src{on_slot}
+            GROUP BY l.key)"""
+    return f"SELECT * FROM {source}"
+
+
 def _iterate(
     ranks: DataFrame,
     loop: DataFrame,
@@ -124,19 +144,13 @@ def _iterate(
     rounds: int,
     tolerance: float | None,
 ) -> DataFrame:
-    sums = [F.sum(F.col("rank") * F.col("weight") + F.col("base")).alias("rank")]
-    if SLOT in by_source:
-        sums.append(F.max("slots").alias("slots"))
-    written = ranks
-    for done in range(1, rounds + 1):
-        sources = _as_sources(ranks, by_source).hint("shuffle_hash")
-        ranks = sources.join(loop, by_source).groupBy("key").agg(*sums)
-        if done % ROUNDS_PER_CUT and done != rounds:
-            continue
-        ranks = cut(ranks)
-        if tolerance is not None and _largest_move(written, ranks) <= tolerance:
-            break
-        written = ranks
+    while rounds > 0:
+        chained = min(rounds, ROUNDS_PER_CUT)
+        statement = _rounds_sql(chained, SLOT in by_source)
+        moved = cut(ranks.sparkSession.sql(statement, ranks=ranks, links=loop))
+        if tolerance is not None and _largest_move(ranks, moved) <= tolerance:
+            return moved
+        ranks, rounds = moved, rounds - chained
     return ranks
 
 

@@ -49,28 +49,21 @@ class _Search:
         self.graph = graph
         self.pivots = pivots
         self.links = graph.links.filter(F.col("src") != F.col("dst"))
-        visits, links, most_out = self._size()
+        visits = self._most_visits()
         self.batches = max(1, -(-visits // max_visits))
         self.partitions = partitions_for(
-            max(-(-visits // self.batches), links), VISITS_PER_PARTITION, least=8
+            max(-(-visits // self.batches), graph.edge_count), VISITS_PER_PARTITION, least=8
         )
-        self.split = most_out > graph.heavy_rows
+        self.split = graph.split_sources
         self.by_source = ["src", SLOT] if self.split else ["src"]
 
-    def _size(self) -> tuple[int, int, int]:
-        """Bound of the visits (a search visits a link of its topic at most once)."""
-        per_topic = self.graph.degrees.groupBy("Category").agg(
-            F.count_if(F.col("out_degree") > 0).alias("searches"),
-            F.sum("out_degree").alias("links"),
-            F.max("out_degree").alias("most_out"),
-        )
+    def _most_visits(self) -> int:
+        """Bound of the visits: a search visits a link of its topic at most once."""
+        searches = {topic: size.senders for topic, size in self.graph.sizes.items()}
         if self.pivots is not None:
-            chosen = self.pivots.groupBy("Category").agg(F.count(F.lit(1)).alias("searches"))
-            per_topic = per_topic.drop("searches").join(chosen, "Category")
-        row = per_topic.agg(
-            F.sum(F.col("searches") * F.col("links")), F.sum("links"), F.max("most_out")
-        ).first()
-        return tuple(value or 0 for value in row)
+            rows = self.pivots.groupBy("Category").agg(F.count(F.lit(1))).collect()
+            searches = {row[0]: row[1] for row in rows}
+        return sum(n * self.graph.sizes[topic].edges for topic, n in searches.items())
 
     def slots(self, degree: str) -> Column:
         return slot_count(F.col(degree), self.graph.heavy_rows)
@@ -278,7 +271,8 @@ def pivot_sources(graph: TopicGraph, pivots: int = PIVOTS) -> DataFrame:
 
 
 def _slices(graph: TopicGraph) -> int:
-    return partitions_for(graph.degrees.count(), NODES_PER_SLICE, least=1)
+    members = max((size.members for size in graph.sizes.values()), default=1)
+    return partitions_for(members, NODES_PER_SLICE, least=1)
 
 
 def betweenness_sampled(
@@ -291,12 +285,11 @@ def betweenness_sampled(
     """
     chosen = cut(pivot_sources(graph, pivots))
     scores = path_scores(graph, closeness_end=None, pivots=chosen, max_visits=max_visits)
-    per_topic = (
-        graph.degrees.groupBy("Category")
-        .agg(F.count(F.lit(1)).alias("members"))
-        .select("Category", (F.col("members") / F.least(F.col("members"), F.lit(pivots))).alias("scale"))
-    )
-    scaled = scores.join(per_topic, "Category").select(
-        "Category", "id", (F.col("betweenness") * F.col("scale")).alias("betweenness")
+    scales = [
+        F.when(F.col("Category") == F.lit(topic), F.lit(size.members / min(size.members, pivots)))
+        for topic, size in graph.sizes.items()
+    ]
+    scaled = scores.select(
+        "Category", "id", (F.col("betweenness") * F.coalesce(*scales, F.lit(1.0))).alias("betweenness")
     )
     return on_grid(graph, scaled, "betweenness")

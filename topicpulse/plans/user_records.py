@@ -167,9 +167,9 @@ def run(
             act.user_topics(per_user, names),
             heavy_endpoints(pairs, options.heavy_rows),
             spam,
-        )
+        ).select("Source", "Target", "Categories")
     )
-    graph = topic_graph(labelling.one_row_per_topic(shared), options.heavy_rows)
+    graph = topic_graph(labelling.one_row_per_topic(shared), options.heavy_rows, written=True)
     centralities = records.centrality_record(
         labelling.nodes(shared),
         graph,

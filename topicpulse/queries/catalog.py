@@ -94,7 +94,7 @@ class Inputs:
 
     @cached_property
     def graph(self) -> graph.TopicGraph:
-        return graph.topic_graph(self.labelled)
+        return graph.topic_graph(self.labelled, written=True)
 
     @cached_property
     def scores(self) -> tuple[DataFrame, DataFrame]:
