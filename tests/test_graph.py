@@ -173,3 +173,10 @@ def test_labelling(spark):
         ("u1", "u3"): [],
         ("u9", "u1"): None,
     }
+
+
+def test_nothing_stays_cached(spark, m2):
+    pagerank.pagerank_scores(m2, rounds=7)
+    paths.path_scores(m2)
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("topicpulse")]

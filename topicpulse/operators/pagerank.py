@@ -14,6 +14,10 @@ round are shuffled.  Sources with very many links are split into slots.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, functions as F
 
 from topicpulse.operators.graph import (
@@ -86,30 +90,38 @@ def pagerank_scores(
             .filter(into_core)
             .select(*by_source, "key", "weight", "base", *slots)
             .repartition(*by_source)
-            .persist()
         )
-        try:
-            ranks = cut(
-                targets.filter(into_core)
-                .select("key", F.lit(start).alias("rank"), *slots)
-                .repartition("key")
-            )
-            ranks = _iterate(ranks, loop, by_source, rounds - 1, tolerance)
-            received = (
-                _as_sources(ranks, by_source)
-                .join(links.select(*by_source, "key", "weight"), by_source)
-                .select("key", (F.col("rank") * F.col("weight")).alias("part"))
-            )
-            last = cut(
-                received.unionByName(targets.select("key", F.col("base").alias("part")))
-                .groupBy("key")
-                .agg(F.sum("part").alias("rank"))
-            )
-        finally:
-            loop.unpersist()
+        ranks = cut(
+            targets.filter(into_core)
+            .select("key", F.lit(start).alias("rank"), *slots)
+            .repartition("key")
+        )
+        with _cached_view(loop) as view:
+            ranks = _iterate(ranks, view, split, rounds - 1, tolerance)
+        received = (
+            _as_sources(ranks, by_source)
+            .join(links.select(*by_source, "key", "weight"), by_source)
+            .select("key", (F.col("rank") * F.col("weight")).alias("part"))
+        )
+        last = cut(
+            received.unionByName(targets.select("key", F.col("base").alias("part")))
+            .groupBy("key")
+            .agg(F.sum("part").alias("rank"))
+        )
     return named(graph, last)
 
 
+@contextmanager
+def _cached_view(frame: DataFrame) -> Iterator[str]:
+    """Name of a view on the cached frame; dropping the view ends the caching too."""
+    name = f"topicpulse_{uuid4().hex}"
+    frame.persist().createOrReplaceTempView(name)
+    try:
+        yield name
+    finally:
+        frame.sparkSession.catalog.dropTempView(name)
+
+
 def _as_sources(ranks: DataFrame, by_source: list[str]) -> DataFrame:
     sources = ranks.withColumnRenamed("key", "src")
     if SLOT in by_source:
@@ -117,8 +129,8 @@ def _as_sources(ranks: DataFrame, by_source: list[str]) -> DataFrame:
     return sources.select(*by_source, "rank")
 
 
-def _rounds_sql(rounds: int, split: bool) -> str:
-    """``rounds`` rounds as one statement on ``{ranks}`` and ``{links}``.
+def _rounds_sql(rounds: int, links: str, split: bool) -> str:
+    """``rounds`` rounds on ``{ranks}`` and the view ``links`` as one statement.
 
     One statement is analysed once, which for small graphs is a good part of a round.
     """
@@ -132,22 +144,18 @@ def _rounds_sql(rounds: int, split: bool) -> str:
         source = f"""(
             SELECT /*+ SHUFFLE_HASH(r) */
                 l.key, sum(r.rank * l.weight + l.base) AS rank{slots}
-            FROM {source} r JOIN {{links}} l ON r.key = l.src{on_slot}
+            FROM {source} r JOIN {links} l ON r.key = l.src{on_slot}
             GROUP BY l.key)"""
     return f"SELECT * FROM {source}"
 
 
 def _iterate(
-    ranks: DataFrame,
-    loop: DataFrame,
-    by_source: list[str],
-    rounds: int,
-    tolerance: float | None,
+    ranks: DataFrame, links: str, split: bool, rounds: int, tolerance: float | None
 ) -> DataFrame:
     while rounds > 0:
         chained = min(rounds, ROUNDS_PER_CUT)
-        statement = _rounds_sql(chained, SLOT in by_source)
-        moved = cut(ranks.sparkSession.sql(statement, ranks=ranks, links=loop))
+        statement = _rounds_sql(chained, links, split)
+        moved = cut(ranks.sparkSession.sql(statement, ranks=ranks))
         if tolerance is not None and _largest_move(ranks, moved) <= tolerance:
             return moved
         ranks, rounds = moved, rounds - chained

@@ -41,7 +41,7 @@ class Inputs:
 
     @cached_property
     def spam(self) -> DataFrame:
-        return cleaning.spam_ids(self.raw_users)
+        return cut(cleaning.spam_ids(self.raw_users))
 
     @cached_property
     def users(self) -> DataFrame:
@@ -68,6 +68,10 @@ class Inputs:
     def activity(self) -> DataFrame:
         return act.user_activity(self.users, self.daily, self.names)
 
+    @cached_property
+    def topics_of_users(self) -> DataFrame:
+        return cut(act.user_topics(self.activity, self.names))
+
     @cached_property
     def features(self) -> DataFrame:
         return act.features_long(self.activity, self.names, self.span_days)
@@ -81,10 +85,7 @@ class Inputs:
         pairs = cut(cleaning.dedup_edges(self.raw_edges))
         return cut(
             labelling.with_shared_topics(
-                pairs,
-                act.user_topics(self.activity, self.names),
-                heavy_endpoints(pairs),
-                self.spam,
+                pairs, self.topics_of_users, heavy_endpoints(pairs), self.spam
             )
         )
 
@@ -125,7 +126,7 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
 
 @query
 def spam_users(i: Inputs) -> DataFrame:
-    return i.spam
+    return cleaning.spam_ids(i.raw_users)
 
 
 @query
