@@ -8,8 +8,10 @@ shortest paths, and walks them back accumulating the dependencies of Brandes (20
 
 Levels and steps are partitioned by (source, node), so neither a popular node nor a
 source that reaches everything lands in one task, and the nodes seen so far never move
-again.  Nodes with very many links are split into slots for the link join.  The sources
-are taken in batches when all searches together could visit more than
+again.  Three things can still be heavy, and each is split: a node with very many outgoing
+links (slots of its links), a node that very many searches stand on at once (salted, see
+``visits``) and a node that one search reaches over very many links (slots of its steps).
+The sources are taken in batches when all searches together could visit more than
 ``max_visits`` links; every batch is exact and the batches add up.
 """
 
@@ -28,7 +30,13 @@ from topicpulse.operators.graph import (
     topic_graph,
 )
 from topicpulse.operators.lineage import cut, fixed_layout, partitions_for
-from topicpulse.operators.skew import SLOT, slot_count
+from topicpulse.operators.skew import (
+    SLOT,
+    heavy_frame,
+    heavy_keys,
+    salted_join,
+    slot_count,
+)
 
 # Links all searches of one batch may visit, before more batches are used.
 MAX_VISITS = 10_000_000_000
@@ -56,6 +64,9 @@ class _Search:
         )
         self.split = graph.split_sources
         self.by_source = ["src", SLOT] if self.split else ["src"]
+        # Degrees a reached node has to carry along.
+        self.carried = ["out_degree"] + (["in_degree"] if graph.split_targets else [])
+        self.step_key = KEY + ([SLOT] if graph.split_targets else [])
 
     def _most_visits(self) -> int:
         """Bound of the visits: a search visits a link of its topic at most once."""
@@ -72,9 +83,13 @@ class _Search:
         """Links partitioned by the source a round joins on."""
         slot = F.pmod(F.xxhash64("dst"), self.slots("src_out")).cast("int").alias(SLOT)
         columns = ["src", slot] if self.split else ["src"]
-        return self.links.select(
-            *columns, F.col("dst").alias("node"), F.col("dst_out").alias("out_degree")
-        ).repartition(*self.by_source)
+        return self.links.select(*columns, *self._reached_node()).repartition(*self.by_source)
+
+    def _reached_node(self) -> list[Column]:
+        degrees = {"out_degree": "dst_out", "in_degree": "dst_in"}
+        return [F.col("dst").alias("node")] + [
+            F.col(degrees[name]).alias(name) for name in self.carried
+        ]
 
     def first_level(self, batch: int) -> DataFrame:
         links = self.links
@@ -84,32 +99,81 @@ class _Search:
         if self.batches > 1:
             links = links.filter(F.pmod(F.xxhash64("src"), F.lit(self.batches)) == batch)
         return links.select(
-            F.col("src").alias("source"),
-            F.col("dst").alias("node"),
-            F.lit(1.0).alias("paths"),
-            F.col("dst_out").alias("out_degree"),
+            F.col("src").alias("source"), *self._reached_node(), F.lit(1.0).alias("paths")
         ).repartition(*KEY)
 
-    def visits(self, newest: DataFrame, link_table: DataFrame) -> DataFrame:
-        """``source, node, before, paths, out_degree``: one step from the newest level."""
-        frontier = newest.filter(F.col("out_degree") > 0)
-        if self.split:
-            slot = F.explode(F.sequence(F.lit(0), self.slots("out_degree") - 1))
-            frontier = frontier.withColumn(SLOT, slot)
-        frontier = frontier.withColumnRenamed("node", "src").select(
-            *self.by_source, "source", "paths"
+    def _in_slots(self, rows: DataFrame, degree: str, split: bool) -> DataFrame:
+        """Rows repeated once per slot of their node."""
+        if not split:
+            return rows
+        slot = F.explode(F.sequence(F.lit(0), self.slots(degree) - 1))
+        return rows.withColumn(SLOT, slot)
+
+    def visits(self, newest: DataFrame, size: int, link_table: DataFrame) -> DataFrame:
+        """``source, node, before, paths`` and degrees: one step from the newest level.
+
+        ``size`` is the number of rows of the level.  Nodes that more searches stand on
+        than one task should hold are joined apart: their searches are spread, and only
+        their links are moved and repeated.
+        """
+        leaving = newest.filter(F.col("out_degree") > 0)
+        frontier = (
+            self._in_slots(leaving, "out_degree", self.split)
+            .withColumnRenamed("node", "src")
+            .select(*self.by_source, "source", "paths")
         )
-        return (
-            frontier.join(link_table.hint("shuffle_hash"), self.by_source)
-            .filter(F.col("node") != F.col("source"))
-            .select(*KEY, F.col("src").alias("before"), "paths", "out_degree")
+        heavy = []
+        if size > self.graph.heavy_rows:
+            heavy = heavy_keys(frontier, ["src"], self.graph.heavy_rows)
+        links = link_table.hint("shuffle_hash")
+        if not heavy:
+            stepped = frontier.join(links, self.by_source)
+        else:
+            crowded = heavy_frame(frontier, heavy, ["src"]).select("src")
+            apart = salted_join(
+                frontier.join(crowded, "src", "left_semi"),
+                link_table.join(crowded, "src", "left_semi"),
+                self.by_source,
+                "inner",
+                ["source"],
+                heavy,
+                ["src"],
+            )
+            stepped = (
+                frontier.join(crowded, "src", "left_anti")
+                .join(links, self.by_source)
+                .unionByName(apart)
+            )
+        return stepped.filter(F.col("node") != F.col("source")).select(
+            *KEY, F.col("src").alias("before"), "paths", *self.carried
         )
 
+    def reached(self, steps: DataFrame) -> DataFrame:
+        return steps.groupBy(*KEY).agg(
+            F.sum("paths").alias("paths"), *[F.max(c).alias(c) for c in self.carried]
+        )
 
-def _reached(steps: DataFrame) -> DataFrame:
-    return steps.groupBy(*KEY).agg(
-        F.sum("paths").alias("paths"), F.max("out_degree").alias("out_degree")
-    )
+    def advance(
+        self, levels: list[DataFrame], size: int, link_table: DataFrame, keep_steps: bool
+    ) -> tuple[DataFrame, DataFrame | None]:
+        """The next level and, if wanted, the steps that lead into it."""
+        visits = self.visits(levels[-1], size, link_table)
+        if not keep_steps:
+            return cut(_unseen(self.reached(visits), levels)), None
+        if not self.graph.split_targets:
+            steps = cut(_unseen(visits, levels))
+            return cut(self.reached(steps)), steps
+        # One search may reach a node over very many links.  They are added up before
+        # the shuffle, and the steps are picked afterwards, spread over slots.
+        level = cut(_unseen(self.reached(visits), levels))
+        slot = F.pmod(F.xxhash64("before"), self.slots("in_degree")).cast("int").alias(SLOT)
+        steps = visits.select(*KEY, "before", "paths", slot)
+        return level, cut(steps.join(self.ends(level), self.step_key, "left_semi"))
+
+    def ends(self, level: DataFrame, *values: Column) -> DataFrame:
+        """The reached nodes as the lookup side of a join with steps."""
+        spread = self._in_slots(level, "in_degree", self.graph.split_targets)
+        return spread.select(*self.step_key, *values).hint("shuffle_hash")
 
 
 def _unseen(rows: DataFrame, levels: list[DataFrame]) -> DataFrame:
@@ -123,40 +187,36 @@ def _searches(
     """Per batch the levels, nearest first, and the steps into each level but the first."""
     for batch in range(search.batches):
         levels, steps = [cut(search.first_level(batch))], []
-        while True:
-            visits = search.visits(levels[-1], link_table)
-            if keep_steps:
-                step = cut(_unseen(visits, levels))
-                if step.isEmpty():
-                    break
+        size = levels[0].count()
+        while size:
+            level, step = search.advance(levels, size, link_table, keep_steps)
+            size = level.count()
+            if size:
+                levels.append(level)
                 steps.append(step)
-                level = cut(_reached(step))
-            else:
-                level = cut(_unseen(_reached(visits), levels))
-                if level.isEmpty():
-                    break
-            levels.append(level)
         yield levels, steps
 
 
-def _dependencies(levels: list[DataFrame], steps: list[DataFrame]) -> DataFrame:
+def _dependencies(
+    search: _Search, levels: list[DataFrame], steps: list[DataFrame]
+) -> DataFrame:
     """``key, betweenness`` added up over the sources of one batch."""
-    current = levels[-1].select(*KEY, "paths", F.lit(0.0).alias("dependency"))
-    parts = [current]
+    current = levels[-1].withColumn("dependency", F.lit(0.0))
+    parts = [current.select("node", "dependency")]
     for level, step in zip(reversed(levels[:-1]), reversed(steps)):
         share = (F.lit(1.0) + F.col("dependency")) / F.col("paths")
-        ends = current.select(*KEY, share.alias("share"))
         received = (
-            step.join(ends.hint("shuffle_hash"), KEY)
+            step.withColumnRenamed("paths", "part")
+            .join(search.ends(current, share.alias("share")), search.step_key)
             .groupBy("source", F.col("before").alias("node"))
-            .agg(F.sum(F.col("paths") * F.col("share")).alias("dependency"))
+            .agg(F.sum(F.col("part") * F.col("share")).alias("dependency"))
         )
         current = cut(
-            level.select(*KEY, "paths")
-            .join(received, KEY, "left")
-            .select(*KEY, "paths", F.coalesce("dependency", F.lit(0.0)).alias("dependency"))
+            level.join(received, KEY, "left").select(
+                *level.columns, F.coalesce("dependency", F.lit(0.0)).alias("dependency")
+            )
         )
-        parts.append(current)
+        parts.append(current.select("node", "dependency"))
     return (
         reduce(DataFrame.unionByName, parts)
         .groupBy(F.col("node").alias("key"))
@@ -197,7 +257,7 @@ def path_scores(
                 if closeness_end:
                     parts.append(cut(_distances(levels, closeness_end)))
                 if with_betweenness:
-                    parts.append(cut(_dependencies(levels, steps)))
+                    parts.append(cut(_dependencies(search, levels, steps)))
             merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
             values = [c for c in ("reached", "distance", "betweenness") if c in merged.columns]
             total = cut(merged.groupBy("key").agg(*[F.sum(c).alias(c) for c in values]))

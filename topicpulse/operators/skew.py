@@ -19,6 +19,10 @@ HEAVY_ROWS = 1_000_000
 # unsalted: the result is the same, only the balance is left to adaptive execution.
 MAX_HEAVY_KEYS = 10_000
 
+SALT = "_salt"
+
+
+# Slot of a link or rank row in the graph loops, where all keys know their slot count.
 SLOT = "_slot"
 
 
@@ -60,6 +64,15 @@ def heavy_endpoints(edges: DataFrame, heavy_rows: int = HEAVY_ROWS) -> dict[str,
     return found
 
 
+def heavy_frame(facts: DataFrame, heavy: list[Row], keys: list[str]) -> DataFrame:
+    """The heavy keys with their ``_slots`` as a frame to broadcast."""
+    schema = StructType(
+        [facts.schema[k] for k in keys] + [StructField("_slots", IntegerType())]
+    )
+    rows = [tuple(row[c] for c in [*keys, "_slots"]) for row in heavy]
+    return F.broadcast(facts.sparkSession.createDataFrame(rows, schema))
+
+
 def salted_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -67,31 +80,26 @@ def salted_join(
     how: str,
     spread_by: list[str],
     heavy: list[Row],
+    heavy_on: list[str] | None = None,
 ) -> DataFrame:
     """``facts`` joined to ``lookup`` on ``keys``, heavy fact keys salted.
 
     ``spread_by`` are fact columns that differ within a heavy key.  ``heavy`` comes from
     ``heavy_keys`` of the facts (or of a superset of them) and holds at most
-    ``MAX_HEAVY_KEYS`` rows, so broadcasting it is safe.  Without heavy keys this is the
-    plain join.
+    ``MAX_HEAVY_KEYS`` rows, so broadcasting it is safe; ``heavy_on`` names its keys when
+    they are only some of ``keys``.  Without heavy keys this is the plain join.
     """
     if not heavy:
         return facts.join(lookup, keys, how)
-    schema = StructType(
-        [facts.schema[k] for k in keys] + [StructField("_slots", IntegerType())]
-    )
-    slots = F.broadcast(
-        facts.sparkSession.createDataFrame(
-            [tuple(row[c] for c in [*keys, "_slots"]) for row in heavy], schema
-        )
-    )
+    heavy_on = heavy_on or keys
+    slots = heavy_frame(facts, heavy, heavy_on)
     n = F.coalesce(F.col("_slots"), F.lit(1))
-    spread = facts.join(slots, keys, "left").select(
+    spread = facts.join(slots, heavy_on, "left").select(
         *[F.col(c) for c in facts.columns],
-        F.pmod(F.xxhash64(*spread_by), n).cast("int").alias(SLOT),
+        F.pmod(F.xxhash64(*spread_by), n).cast("int").alias(SALT),
     )
-    repeated = lookup.join(slots, keys, "left").select(
+    repeated = lookup.join(slots, heavy_on, "left").select(
         *[F.col(c) for c in lookup.columns],
-        F.explode(F.sequence(F.lit(0), n - 1)).alias(SLOT),
+        F.explode(F.sequence(F.lit(0), n - 1)).alias(SALT),
     )
-    return spread.join(repeated, [*keys, SLOT], how).drop(SLOT)
+    return spread.join(repeated, [*keys, SALT], how).drop(SALT)
