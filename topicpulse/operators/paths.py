@@ -125,9 +125,8 @@ class _Search:
         heavy = []
         if size > self.graph.heavy_rows:
             heavy = heavy_keys(frontier, ["src"], self.graph.heavy_rows)
-        links = link_table.hint("shuffle_hash")
         if not heavy:
-            stepped = frontier.join(links, self.by_source)
+            stepped = self._joined(frontier, size, link_table)
         else:
             crowded = heavy_frame(frontier, heavy, ["src"]).select("src")
             apart = salted_join(
@@ -139,15 +138,20 @@ class _Search:
                 heavy,
                 ["src"],
             )
-            stepped = (
-                frontier.join(crowded, "src", "left_anti")
-                .join(links, self.by_source)
-                .unionByName(apart)
-            )
+            others = frontier.join(crowded, "src", "left_anti")
+            stepped = self._joined(others, size, link_table).unionByName(apart)
         return stepped.filter(F.col("node") != F.col("source")).select(
             *KEY, F.col("src").alias("before"), "paths", *self.carried
         )
 
+    def _joined(self, frontier: DataFrame, size: int, link_table: DataFrame) -> DataFrame:
+        """Searches with the links of their nodes; the smaller side is hashed."""
+        if size < self.graph.edge_count:
+            frontier = frontier.hint("shuffle_hash")
+        else:
+            link_table = link_table.hint("shuffle_hash")
+        return frontier.join(link_table, self.by_source)
+
     def reached(self, steps: DataFrame) -> DataFrame:
         return steps.groupBy(*KEY).agg(
             F.sum("paths").alias("paths"), *[F.max(c).alias(c) for c in self.carried]
