@@ -6,18 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicpulse.llm import bpe, html_text, secrets, token_counts
+from topicpulse.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    kd_sharding,
+    quality_model,
+    quality_rules,
+    secrets,
+    token_counts,
+)
 from topicpulse.llm.common import read
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(
+        read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    )
+    return leaks.select("doc_id", "item_id", "n_found", "n_windows")
+
+
 def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(read(spark, folder, "pages"))
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.apply_rules(
+        read(spark, folder, "documents"), read(spark, folder, "labels")
+    ).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rejected_by",
+    )
+
+
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"))
 
 
+def op7_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return kd_sharding.shard(read(spark, folder, "documents"))
+
+
+def op8_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.score(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, folder, "documents"))
 
@@ -29,8 +62,12 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_decontamination,
         op2_html_extraction,
+        op4_quality_rules,
         op6_bpe_round_trip,
+        op7_kd_shards,
+        op8_quality_scores,
         op9_token_counts,
         op10_secrets,
     )
