@@ -9,9 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from topicpulse.operators.lineage import cut
-
-__all__ = ["WORD_SPLIT", "cut", "map_rows", "read", "segments", "split_long", "words_of"]
+from topicpulse.operators.lineage import cut  # noqa: F401
 
 # Words are maximal runs of other characters than these six (Java regular expression).
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
@@ -24,6 +22,16 @@ PORTION_BYTES = 4 << 20
 STABLE_CUT = re.compile(r" (?=\S)")
 
 
+# Rows of a table that is broadcast, at most; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small(frame: DataFrame, rows: int | None = None) -> DataFrame:
+    """A table with a broadcast hint if it has few enough rows."""
+    rows = frame.count() if rows is None else rows
+    return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

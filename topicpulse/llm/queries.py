@@ -11,6 +11,8 @@ from topicpulse.llm import (
     decontaminate,
     html_text,
     kd_sharding,
+    line_dedup,
+    near_duplicates,
     quality_model,
     quality_rules,
     secrets,
@@ -30,6 +32,12 @@ def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(read(spark, folder, "pages"))
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, folder, "documents")).select(
+        "doc_id", "text", "n_lines", "n_removed"
+    )
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply_rules(
         read(spark, folder, "documents"), read(spark, folder, "labels")
@@ -39,6 +47,12 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.components(read(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"))
 
@@ -64,7 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op2_html_extraction,
+        op3_line_dedup,
         op4_quality_rules,
+        op5_near_duplicates,
         op6_bpe_round_trip,
         op7_kd_shards,
         op8_quality_scores,
