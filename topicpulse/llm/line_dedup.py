@@ -61,10 +61,10 @@ def ranked(places: DataFrame, pair: list[str]) -> DataFrame:
         .filter("n > 1")
         .select(*pair, "first")
     )
-    ordered = cut(groups.orderBy(*pair).withColumn("rank", F.monotonically_increasing_id()))
+    ordered = cut(groups.orderBy(*pair).withColumn("_rank", F.monotonically_increasing_id()))
     joined = places.join(small(ordered), pair)
     later = F.struct(*PLACE) > F.col("first")
-    return cut(joined.select(*PLACE, "words", "rank", later.alias("later")))
+    return cut(joined.select(*PLACE, "words", F.col("_rank").alias("rank"), later.alias("later")))
 
 
 def doubled(places: DataFrame, length: int) -> DataFrame:
