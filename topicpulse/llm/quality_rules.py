@@ -35,15 +35,20 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 POSITION_BITS = 24
 
-# The measure of each rule and its loosest cutoff.
+# The measure of each rule, as a numerator and a denominator, and its loosest cutoff.
 RULES = {
-    "symbols": (F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)), 1.0),
-    "dup_lines": (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 1.0),
-    "repeats": (F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1)), 1.0),
-    "long_words": (F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)), 1000.0),
+    "symbols": ("n_symbols", "word_chars", 1.0),
+    "dup_lines": ("n_dup_lines", "n_lines", 1.0),
+    "repeats": ("n_repeat_words", "n_words", 1.0),
+    "long_words": ("word_chars", "n_words", 1000.0),
 }
 
 
+def _measure_of(rule: str) -> Column:
+    above, below, _ = RULES[rule]
+    return F.col(above) / F.greatest(F.col(below), F.lit(1))
+
+
 def _window_keys(words: Column) -> Column:
     """A key for each window of three words: its hash and, in the low bits, where it starts."""
     return F.when(
@@ -158,8 +163,9 @@ def tail_probability(n: Column, k: Column, risk: float) -> Column:
     return F.when(k >= n * risk, F.lit(1.0)).otherwise(total)
 
 
-def first_step(value: Column, loosest: float) -> Column:
-    """The first cutoff on the grid, from the loosest on, that a value is above."""
+def first_step(rule: str) -> Column:
+    """The first cutoff on the grid, from the loosest on, that a document is above."""
+    value, loosest = _measure_of(rule), RULES[rule][2]
     steps = F.floor(F.log(value / F.lit(loosest)) / F.lit(math.log(GRID_FACTOR))) + 1
     step = (
         F.when(value > loosest, F.lit(0))
@@ -193,8 +199,8 @@ def calibrate(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(rule).alias("rule"), first_step(value, top).alias("step"))
-                    for rule, (value, top) in RULES.items()
+                    F.struct(F.lit(rule).alias("rule"), first_step(rule).alias("step"))
+                    for rule in RULES
                 ]
             )
         ),
@@ -239,7 +245,7 @@ def calibrate(
     best = tested.groupBy("stratum", "rule").agg(
         F.min(F.struct((-F.col("gain")).alias("loss"), "step")).alias("best")
     )
-    loosest = F.create_map(*[F.lit(x) for r, (_, top) in RULES.items() for x in (r, top)])
+    loosest = F.create_map(*[F.lit(x) for r, (_, _, top) in RULES.items() for x in (r, top)])
     return best.select(
         "stratum",
         "rule",
@@ -262,8 +268,8 @@ def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
     rejecting = F.array_compact(
         F.array(
             *[
-                F.when(first_step(value, top) <= F.element_at("_steps", rule), F.lit(rule))
-                for rule, (value, top) in RULES.items()
+                F.when(first_step(rule) <= F.element_at("_steps", rule), F.lit(rule))
+                for rule in RULES
             ]
         )
     )
