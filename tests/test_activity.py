@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from fixtures import POSTS, posts, rows_of, users
 from topicpulse.operators import activity as act
 from topicpulse.operators import cleaning
-from topicpulse.plans.user_records import topics_and_span
 
 NAMES = ["A", "B", "C"]
 
@@ -23,14 +25,42 @@ def per_user(spark, daily):
 
 def test_span_is_in_whole_days(daily):
     assert act.dataset_span(daily).first().span_days == 10
-    assert topics_and_span(daily) == (NAMES, 10)
-    assert act.topic_list(daily) == NAMES
-
-
-def test_too_many_topics_are_refused(daily, monkeypatch):
-    monkeypatch.setattr(act, "MAX_TOPICS", 2)
-    with pytest.raises(ValueError, match="topics"):
-        act.topic_list(daily)
+    assert act.topics_and_span(daily) == (NAMES, 10)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_span_over_a_clock_change(spark, monkeypatch, kind):
+    """A driver and a session elsewhere, and an hour that their clocks skip."""
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    written = [("u1", "A", "2024-03-09 12:00:00"), ("u1", "A", "2024-03-10 11:30:00")]
+    frame = spark.createDataFrame(written, "userId string, category string, at string")
+    try:
+        at = F.to_timestamp("at") if kind == "timestamp" else F.to_timestamp_ntz("at")
+        fixed = frame.select("userId", "category", at.alias("posted_at"))
+        assert act.topics_and_span(act.daily_activity(fixed)) == (["A"], 0)
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        micros = "timestamp_micros(unix_micros(to_timestamp(concat(at, 'Z'))))"
+        instants = frame.selectExpr("userId", "category", f"{micros} AS posted_at")
+        assert act.dataset_span(instants, "posted_at", "posted_at").first().span_days == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_many_topics(spark):
+    rows = [(f"u{n % 7}", f"t{n:05}", "2024-01-01 00:00:00") for n in range(3000)]
+    written = spark.createDataFrame(rows, "userId string, category string, at string")
+    daily = act.daily_activity(written.withColumn("posted_at", F.to_timestamp("at")))
+    names, _ = act.topics_and_span(daily)
+    assert len(names) == 3000
+    people = spark.createDataFrame([(f"u{n}",) for n in range(7)], "id string")
+    activity = act.user_activity(people, daily, names)
+    long = act.features_long(activity, names, 1)
+    assert long.count() == 7 * 3000
+    assert long.agg(F.sum("posts")).first()[0] == 3000
 
 
 def test_counts(per_user):
@@ -119,7 +149,7 @@ def test_posts_without_topic_count_in_the_total_only(spark):
         ("p2", "u1", "one", "Tue Jan 02 00:00:00 +0000 2024", "a.b c"),
     ]
     daily = act.daily_activity(cleaning.with_posted_at(posts(spark, rows)))
-    names, span = topics_and_span(daily)
+    names, span = act.topics_and_span(daily)
     assert (names, span) == (["a.b c"], 1)
     record = act.feature_record(act.user_activity(users(spark), daily, names), names, span)
     row = record.filter("id = 'u1'").first().user_features
@@ -135,7 +165,7 @@ def test_order_and_names(spark):
 
 def test_no_posts_at_all(spark):
     daily = act.daily_activity(cleaning.with_posted_at(posts(spark, [])))
-    assert topics_and_span(daily) == ([], 0)
+    assert act.topics_and_span(daily) == ([], 0)
     per_user = act.user_activity(users(spark), daily, [])
     assert {r.tweets_total for r in per_user.collect()} == {1}
     assert act.features_long(per_user, [], 0).count() == 0

@@ -74,17 +74,67 @@ def test_pagerank(m2):
         pagerank.pagerank(m2, rounds=0)
 
 
-def test_sampled_betweenness_takes_the_best_connected_sources(spark):
-    edges = [("a", "b", "A"), ("b", "c", "A"), ("c", "d", "A"), ("b", "e", "A"), ("e", "d", "A")]
-    nodes = "abcde"
-    graph = g.topic_graph(labelled(spark, edges))
-    chosen = paths.pivot_sources(graph, 2).join(graph.degrees, ["Category", "key"])
-    assert {r.id for r in chosen.collect()} == {"b", "c"}
-    part = brute_force.betweenness(edges, "A", nodes, sources="bc")
-    got = _scores(paths.betweenness_sampled(graph, 2), "betweenness")
-    assert {v: got["A", v] for v in nodes} == pytest.approx({v: x * 5 / 2 for v, x in part.items()})
+HUB = [(f"l{i}", "hub", "A") for i in range(15)] + [("hub", f"l{i}", "A") for i in range(15)]
+CHAIN = [(f"c{i}", f"c{i + 1}", "A") for i in range(6)]
+
+
+def test_a_share_of_one_is_exact(spark):
+    graph = g.topic_graph(labelled(spark, HUB + CHAIN), heavy_rows=4)
     exact = _scores(paths.betweenness(graph), "betweenness")
-    assert _scores(paths.betweenness_sampled(graph, 50), "betweenness") == pytest.approx(exact)
+    assert exact["A", "c3"] == 9
+    assert _scores(paths.betweenness_sampled(graph, 1.0), "betweenness") == pytest.approx(exact)
+    for share in (0, 1.5):
+        with pytest.raises(ValueError):
+            paths.sample_sources(graph, share)
+
+
+def test_samples_are_right_on_average(spark):
+    """The estimate is linear in the chosen sources, so brute force gives it for any seed."""
+    edges = HUB + CHAIN
+    nodes = sorted({v for e in edges for v in e[:2]})
+    graph = g.topic_graph(labelled(spark, edges))
+    names = {(r.Category, r.key): r.id for r in graph.degrees.collect()}
+    alone = {v: brute_force.betweenness(edges, "A", nodes, sources=[v]) for v in nodes}
+    exact = brute_force.betweenness(edges, "A", nodes)
+    drawn = [
+        [(names[r.Category, r.key], r.weight) for r in paths.sample_sources(graph, 0.4, seed).collect()]
+        for seed in range(60)
+    ]
+    means = {v: sum(w * alone[s][v] for one in drawn for s, w in one) / len(drawn) for v in nodes}
+    for v in ("hub", "c2", "c3", "c4"):
+        assert means[v] == pytest.approx(exact[v], rel=0.35)
+    got = _scores(paths.betweenness_sampled(graph, 0.4, seed=3), "betweenness")
+    assert {v: got["A", v] for v in nodes} == pytest.approx(
+        {v: sum(w * alone[s][v] for s, w in drawn[3]) for v in nodes}
+    )
+
+
+@pytest.mark.parametrize("direction, end", [("in", "node"), ("out", "source")])
+@pytest.mark.parametrize("heavy_rows", [1_000_000, 2])
+def test_closeness_in_blocks_is_that_of_single_searches(spark, direction, end, heavy_rows):
+    names = [f"n{i:03}" for i in range(150)]
+    edges = _random_edges(8, names, 400)
+    graph = g.topic_graph(labelled(spark, edges).repartition(3), heavy_rows)
+    blocks = paths.reach_sums(graph, outward=direction == "out")
+    single = paths.path_scores(graph, end, with_betweenness=False)
+    columns = ["Category", "id", "reached", "distance"]
+    assert {tuple(r) for r in blocks.select(*columns).collect()} == {
+        tuple(r) for r in single.select(*columns).collect()
+    }
+
+
+def test_many_batches_end_in_one_table(spark):
+    edges = _random_edges(5, [f"n{i:02}" for i in range(60)], 120)
+    graph = g.topic_graph(labelled(spark, edges))
+    most = max(120 * 60 // 50, 1)
+    search = paths._Search(graph, most, None)
+    assert search.batches >= 50
+    batched = paths.path_scores(graph, None, max_visits=most)
+    whole = paths.path_scores(graph, None)
+    assert len(str(batched._jdf.queryExecution().optimizedPlan()).splitlines()) == len(
+        str(whole._jdf.queryExecution().optimizedPlan()).splitlines()
+    )
+    assert _scores(batched, "betweenness") == pytest.approx(_scores(whole, "betweenness"))
 
 
 def _random_edges(seed, nodes, count):
@@ -109,7 +159,7 @@ def test_measures_match_brute_force(spark, seed):
     max_visits = 10**9 if seed < 3 else 250
     graph = g.topic_graph(frame, heavy_rows)
     rank = _scores(pagerank.pagerank(graph, rounds=12), "pagerank")
-    near = _scores(paths.closeness(graph, max_visits=max_visits), "closeness")
+    near = _scores(paths.closeness(graph), "closeness")
     between = _scores(paths.betweenness(graph, max_visits=max_visits), "betweenness")
     degrees = _scores(g.degree(graph), "degree")
     for topic in graph.topics:

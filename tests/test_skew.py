@@ -77,3 +77,12 @@ def test_salted_cleaning_and_labelling_match_plain(spark):
 
 def test_edges_fixture_has_no_heavy_key(spark):
     assert skew.heavy_endpoints(edges(spark)) == {"Source": [], "Target": []}
+
+
+def test_no_heavy_key_is_left_out(spark, monkeypatch):
+    """All keys above the threshold are split, however many; counting bounds them."""
+    rows = spark.range(36_000).selectExpr("cast(id % 12000 AS string) AS key")
+    assert skew.heavy_keys(rows, ["key"], heavy_rows=1) == []
+    monkeypatch.setattr(skew, "PARTS", 36_000)
+    heavy = skew.heavy_keys(rows, ["key"], heavy_rows=1)
+    assert len(heavy) == 12_000 and {r["_slots"] for r in heavy} == {3}

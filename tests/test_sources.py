@@ -20,8 +20,6 @@ def test_users_keep_other_columns_and_use_the_text_id(spark, tmp_path):
     assert users.first().id == "17"
     typed = readers.read_users(spark, str(tmp_path / "u"), schema=schemas.users_schema())
     assert typed.columns == ["id", "screen_name", "experiment_spam"]
-    sampled = readers.read_users(spark, str(tmp_path / "u"), sampling_ratio=0.99)
-    assert sampled.first().id == "17"
 
 
 @pytest.mark.parametrize("fmt", ["json", "parquet", "orc"])

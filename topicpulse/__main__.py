@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from topicpulse.operators.paths import PIVOTS
+from topicpulse.operators.paths import SHARE
 from topicpulse.operators.scaling import METHODS
 from topicpulse.plans import RunOptions, run
 from topicpulse.sources import readers, sinks
@@ -30,7 +30,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--method-name", default="", help="suffix of the run variant")
     parser.add_argument("--scale", choices=METHODS, default="minmax")
     parser.add_argument("--betweenness", choices=("exact", "sampled"), default="exact")
-    parser.add_argument("--pivots", type=int, default=PIVOTS)
+    parser.add_argument("--sample-share", type=float, default=SHARE)
     parser.add_argument("--keep-raw", action="store_true")
     parser.add_argument("--single-file", action="store_true")
     parser.add_argument("--counts", action="store_true", help="print rows per stage")
@@ -44,7 +44,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         method_name=given.method_name,
         scale_method=given.scale,
         betweenness=given.betweenness,
-        pivots=given.pivots,
+        sample_share=given.sample_share,
         keep_raw=given.keep_raw,
     )
     category = given.category or sinks.suffixed("category", given.method_name)

@@ -3,8 +3,6 @@
 from topicpulse.functions.dates import created_date, parse_created_at
 from topicpulse.functions.nested import (
     has_field,
-    indicator,
-    pack,
     topic_struct,
     zero_if_null,
 )
@@ -13,8 +11,6 @@ __all__ = [
     "created_date",
     "parse_created_at",
     "has_field",
-    "indicator",
-    "pack",
     "topic_struct",
     "zero_if_null",
 ]

@@ -13,9 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from topicpulse.functions import topic_struct, zero_if_null
 
-# The topics become columns, so their number must stay small.
-MAX_TOPICS = 10_000
-
 FEATURE_COLUMNS = ["focus_rate", "activeness_1", "activeness_2", "activeness_3"]
 
 
@@ -28,11 +25,31 @@ def daily_activity(posts: DataFrame) -> DataFrame:
     )
 
 
-def dataset_span(daily: DataFrame) -> DataFrame:
-    """First and last post and the whole 24-hour days between them (one row)."""
-    return daily.agg(
-        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
-    ).withColumn("span_days", F.timestamp_diff("DAY", F.col("first_at"), F.col("last_at")))
+def _whole_days(first: str, last: str, kind: str) -> Column:
+    """Full 24 hours between two instants, or between two wall clock times."""
+    if kind == "timestamp":
+        micros = F.unix_micros(F.col(last)) - F.unix_micros(F.col(first))
+        return F.floor(micros / F.lit(86_400_000_000)).cast("long")
+    return F.extract(F.lit("DAY"), F.col(last) - F.col(first)).cast("long")
+
+
+def dataset_span(frame: DataFrame, first: str = "first_at", last: str = "last_at") -> DataFrame:
+    """First and last post and the whole 24-hour days between them (one row).
+
+    ``frame`` is ``daily_activity``, or posts with the same column as ``first`` and ``last``.
+    """
+    ends = frame.agg(F.min(first).alias("first_at"), F.max(last).alias("last_at"))
+    kind = dict(ends.dtypes)["first_at"]
+    return ends.withColumn("span_days", _whole_days("first_at", "last_at", kind))
+
+
+def topics_and_span(daily: DataFrame) -> tuple[list[str], int]:
+    """The topics in ascending order and the whole days covered.
+
+    The topics are the field names of the output, so they have to be known to the driver.
+    """
+    names = [row[0] for row in topics(daily).collect()]
+    return names, dataset_span(daily).first()["span_days"] or 0
 
 
 def topics(posts: DataFrame, column: str = "category") -> DataFrame:
@@ -41,14 +58,6 @@ def topics(posts: DataFrame, column: str = "category") -> DataFrame:
     return named.orderBy(column)
 
 
-def topic_list(posts: DataFrame, column: str = "category") -> list[str]:
-    """The topics as a list: they are the field names of the output schema."""
-    found = [row[0] for row in topics(posts, column).limit(MAX_TOPICS + 1).collect()]
-    if len(found) > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics; they cannot become columns")
-    return found
-
-
 def screen_names(users: DataFrame) -> DataFrame:
     return users.select("screen_name").distinct()
 
@@ -92,29 +101,41 @@ def user_activity(
 
     ``posts`` and ``days`` are arrays in the order of ``names``.
     """
-    here = [F.col("category") == F.lit(name) for name in names]
-    per_user = daily.groupBy(F.col("userId").alias("id")).agg(
+    per_topic = daily.groupBy(F.col("userId").alias("id"), "category").agg(
+        F.sum("posts").alias("posts"), F.count(F.lit(1)).alias("days")
+    )
+    # A user has one entry for each of their topics, nulls are dropped.
+    entry = F.struct("category", F.struct("posts", "days"))
+    per_user = per_topic.groupBy("id").agg(
         F.sum("posts").alias("total"),
-        F.array(*[F.sum(F.when(h, F.col("posts"))) for h in here]).alias("posts"),
-        F.array(*[F.count(F.when(h, F.lit(1))) for h in here]).alias("days"),
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("category").isNotNull(), entry))
+        ).alias("own"),
     )
     copies = F.col("copies")
+
+    def of_topics(field: str) -> Column:
+        return F.transform(
+            _strings(names),
+            lambda t: zero_if_null(F.try_element_at("own", t).getField(field), "long"),
+        )
+
     return (
         _members(users)
         .join(per_user, "id", "left")
         .select(
             "id",
             _total(F.col("total"), copies, count_inactive_as_zero).alias("tweets_total"),
-            F.array(
-                *[copies * zero_if_null(F.get("posts", F.lit(i)), "long") for i in range(len(names))]
-            ).alias("posts"),
-            F.array(
-                *[zero_if_null(F.get("days", F.lit(i)), "long") for i in range(len(names))]
-            ).alias("days"),
+            F.transform(of_topics("posts"), lambda n: copies * n).alias("posts"),
+            of_topics("days").alias("days"),
         )
     )
 
 
+def _strings(names: Sequence[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names]).cast("array<string>")
+
+
 def _rates(posts: Column, days: Column, total: Column, span_days: int) -> dict[str, Column]:
     """The four measures of one topic; a span of zero days makes activeness null."""
     span = F.lit(span_days)
@@ -127,23 +148,17 @@ def _rates(posts: Column, days: Column, total: Column, span_days: int) -> dict[s
 
 
 def features_long(activity: DataFrame, names: Sequence[str], span_days: int) -> DataFrame:
-    """``id, category, posts, days`` and the four measures, one row per user and topic."""
-    if not names:
-        names = [None]
-    cells = [
-        F.struct(
-            F.lit(name).cast("string").alias("category"),
-            F.get("posts", F.lit(i)).alias("posts"),
-            F.get("days", F.lit(i)).alias("days"),
-        )
-        for i, name in enumerate(names)
-    ]
-    cell = activity.select("id", "tweets_total", F.inline(F.array(*cells))).filter(
-        F.col("category").isNotNull()
-    )
+    """``id, category, tweets_total, posts, days`` and the four measures per user and topic."""
+    cells = F.arrays_zip(_strings(names).alias("category"), F.col("posts"), F.col("days"))
+    cell = activity.select("id", "tweets_total", F.inline(cells))
     rates = _rates(F.col("posts"), F.col("days"), F.col("tweets_total"), span_days)
     return cell.select(
-        "id", "category", "posts", "days", *[rates[c].alias(c) for c in FEATURE_COLUMNS]
+        "id",
+        "category",
+        "tweets_total",
+        "posts",
+        "days",
+        *[rates[c].alias(c) for c in FEATURE_COLUMNS],
     )
 
 
@@ -174,12 +189,10 @@ def user_topics(activity: DataFrame, names: Sequence[str]) -> DataFrame:
     """``id, userCategory``: the topics a user gives at least an even share of posts."""
     share = F.lit(1.0 / len(names)) if names else F.lit(1.0)
     total = F.greatest(F.lit(1), F.col("tweets_total"))
-    kept = [
-        F.when(F.get("posts", F.lit(i)) / total >= share, F.lit(name))
-        for i, name in enumerate(names)
-    ]
+    cells = F.arrays_zip(_strings(names).alias("category"), F.col("posts"))
+    kept = F.filter(cells, lambda cell: cell["posts"] / total >= share)
     return activity.select(
-        "id", F.array_compact(F.array(*kept).cast("array<string>")).alias("userCategory")
+        "id", F.transform(kept, lambda cell: cell["category"]).alias("userCategory")
     )
 
 

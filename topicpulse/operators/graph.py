@@ -102,11 +102,12 @@ def topic_graph(
 
     ``written=True`` says that reading ``labelled`` again is cheap already.  The keys
     depend on how rows fall into partitions, so they are fixed by writing them out
-    together with the degrees.
+    together with the degrees.  Within a partition those of a topic follow each other.
     """
     edges = labelled.select("Category", "Source", "Target")
     edges = edges if written else cut(edges)
-    degrees = cut(edge_degrees(edges).withColumn("key", F.monotonically_increasing_id()))
+    ordered = edge_degrees(edges).sortWithinPartitions("Category")
+    degrees = cut(ordered.withColumn("key", F.monotonically_increasing_id()))
     rows = (
         degrees.groupBy("Category")
         .agg(

@@ -1,6 +1,9 @@
 """Shortest paths, closeness and betweenness of all topic graphs at once.
 
-State is kept as rows ``(source, node)``: one breadth-first search per source, all of
+Closeness needs only how many searches reach a node on each level, so 64 sources share a
+row: their bits stand in one long, see ``reach_sums``.
+
+For betweenness the state is kept as rows ``(source, node)``: one breadth-first search per source, all of
 them advancing one level per round.  A round joins the newest level with the links,
 removes nodes a search has seen before and adds up the number of shortest paths per
 reached node.  Betweenness also keeps the steps of each round, which are the links on
@@ -20,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from topicpulse.operators.graph import (
     TopicGraph,
@@ -42,10 +45,10 @@ from topicpulse.operators.skew import (
 MAX_VISITS = 10_000_000_000
 # Visits handled by one task.
 VISITS_PER_PARTITION = 4_000_000
-# Nodes ranked by one task when pivots are chosen.
-NODES_PER_SLICE = 1_000_000
-# Pivot sources of the sampled betweenness.
-PIVOTS = 100
+# Share of the nodes that a sample of the betweenness takes as sources, at least.
+SHARE = 0.1
+# Sources whose searches share one row.
+BLOCK_BITS = 6
 
 KEY = ["source", "node"]
 
@@ -53,9 +56,9 @@ KEY = ["source", "node"]
 class _Search:
     """Links laid out for the searches of one call, and the size of a batch."""
 
-    def __init__(self, graph: TopicGraph, max_visits: int, pivots: DataFrame | None):
+    def __init__(self, graph: TopicGraph, max_visits: int, sample: DataFrame | None):
         self.graph = graph
-        self.pivots = pivots
+        self.sample = sample
         self.links = graph.links.filter(F.col("src") != F.col("dst"))
         visits = self._most_visits()
         self.batches = max(1, -(-visits // max_visits))
@@ -67,12 +70,15 @@ class _Search:
         # Degrees a reached node has to carry along.
         self.carried = ["out_degree"] + (["in_degree"] if graph.split_targets else [])
         self.step_key = KEY + ([SLOT] if graph.split_targets else [])
+        # What a search takes along from its source: how many sources it stands for.
+        self.taken = [] if sample is None else ["weight"]
+        self.weight = F.lit(1.0) if sample is None else F.col("weight")
 
     def _most_visits(self) -> int:
         """Bound of the visits: a search visits a link of its topic at most once."""
         searches = {topic: size.senders for topic, size in self.graph.sizes.items()}
-        if self.pivots is not None:
-            rows = self.pivots.groupBy("Category").agg(F.count(F.lit(1))).collect()
+        if self.sample is not None:
+            rows = self.sample.groupBy("Category").agg(F.count(F.lit(1))).collect()
             searches = {row[0]: row[1] for row in rows}
         return sum(n * self.graph.sizes[topic].edges for topic, n in searches.items())
 
@@ -93,13 +99,20 @@ class _Search:
 
     def first_level(self, batch: int) -> DataFrame:
         links = self.links
-        if self.pivots is not None:
-            chosen = self.pivots.select(F.col("key").alias("src"))
-            links = links.join(chosen, "src", "left_semi")
         if self.batches > 1:
             links = links.filter(F.pmod(F.xxhash64("src"), F.lit(self.batches)) == batch)
+        if self.sample is not None:
+            # Sources have many links by choice, so both sides are in slots.
+            slot = F.pmod(F.xxhash64("dst"), self.slots("src_out")).cast("int").alias(SLOT)
+            chosen = self._in_slots(self.sample, "out_degree", True).select(
+                F.col("key").alias("src"), SLOT, "weight"
+            )
+            links = links.select("*", slot).join(chosen, ["src", SLOT])
         return links.select(
-            F.col("src").alias("source"), *self._reached_node(), F.lit(1.0).alias("paths")
+            F.col("src").alias("source"),
+            *self._reached_node(),
+            F.lit(1.0).alias("paths"),
+            *self.taken,
         ).repartition(*KEY)
 
     def _in_slots(self, rows: DataFrame, degree: str, split: bool) -> DataFrame:
@@ -120,7 +133,7 @@ class _Search:
         frontier = (
             self._in_slots(leaving, "out_degree", self.split)
             .withColumnRenamed("node", "src")
-            .select(*self.by_source, "source", "paths")
+            .select(*self.by_source, "source", "paths", *self.taken)
         )
         heavy = []
         if size > self.graph.heavy_rows:
@@ -141,7 +154,7 @@ class _Search:
             others = frontier.join(crowded, "src", "left_anti")
             stepped = self._joined(others, size, link_table).unionByName(apart)
         return stepped.filter(F.col("node") != F.col("source")).select(
-            *KEY, F.col("src").alias("before"), "paths", *self.carried
+            *KEY, F.col("src").alias("before"), "paths", *self.carried, *self.taken
         )
 
     def _joined(self, frontier: DataFrame, size: int, link_table: DataFrame) -> DataFrame:
@@ -154,7 +167,8 @@ class _Search:
 
     def reached(self, steps: DataFrame) -> DataFrame:
         return steps.groupBy(*KEY).agg(
-            F.sum("paths").alias("paths"), *[F.max(c).alias(c) for c in self.carried]
+            F.sum("paths").alias("paths"),
+            *[F.max(c).alias(c) for c in [*self.carried, *self.taken]],
         )
 
     def advance(
@@ -204,11 +218,15 @@ def _searches(
 def _dependencies(
     search: _Search, levels: list[DataFrame], steps: list[DataFrame]
 ) -> DataFrame:
-    """``key, betweenness`` added up over the sources of one batch."""
+    """``key, betweenness`` added up over the sources of one batch.
+
+    Dependencies are linear in what a reached node counts, so a source's weight stands
+    in for the one.
+    """
     current = levels[-1].withColumn("dependency", F.lit(0.0))
     parts = [current.select("node", "dependency")]
     for level, step in zip(reversed(levels[:-1]), reversed(steps)):
-        share = (F.lit(1.0) + F.col("dependency")) / F.col("paths")
+        share = (search.weight + F.col("dependency")) / F.col("paths")
         received = (
             step.withColumnRenamed("paths", "part")
             .join(search.ends(current, share.alias("share")), search.step_key)
@@ -245,31 +263,121 @@ def path_scores(
     graph: TopicGraph,
     closeness_end: str | None = "node",
     with_betweenness: bool = True,
-    pivots: DataFrame | None = None,
+    sample: DataFrame | None = None,
     max_visits: int = MAX_VISITS,
 ) -> DataFrame:
     """Sparse ``Category, id, reached, distance, betweenness`` from one set of searches.
 
-    ``closeness_end`` says for which end of a path the distances are added up.
+    ``closeness_end`` says for which end of a path the distances are added up.  Every
+    batch is added to one running table, and what it searched is dropped.
     """
-    search = _Search(graph, max_visits, pivots)
+    search = _Search(graph, max_visits, sample)
     with fixed_layout(graph.links.sparkSession, search.partitions):
         link_table = search.link_table().persist()
         try:
-            parts = []
+            total = None
             for levels, steps in _searches(search, link_table, with_betweenness):
+                parts = [] if total is None else [total]
                 if closeness_end:
-                    parts.append(cut(_distances(levels, closeness_end)))
+                    parts.append(_distances(levels, closeness_end))
                 if with_betweenness:
-                    parts.append(cut(_dependencies(search, levels, steps)))
-            merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-            values = [c for c in ("reached", "distance", "betweenness") if c in merged.columns]
-            total = cut(merged.groupBy("key").agg(*[F.sum(c).alias(c) for c in values]))
+                    parts.append(_dependencies(search, levels, steps))
+                merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+                values = [c for c in merged.columns if c != "key"]
+                total = cut(merged.groupBy("key").agg(*[F.sum(c).alias(c) for c in values]))
         finally:
             link_table.unpersist()
     return named(graph, total)
 
 
+def _bit(key: str) -> Column:
+    """The bit of a source within its block."""
+    return F.expr(f"shiftleft(1L, cast({key} & {(1 << BLOCK_BITS) - 1} AS int))")
+
+
+def _own_bit() -> Column:
+    """A node's own bit in the block that it stands in."""
+    return F.when(F.shiftright("node", BLOCK_BITS) == F.col("block"), _bit("node"))
+
+
+def reach_sums(graph: TopicGraph, outward: bool = False) -> DataFrame:
+    """Sparse ``Category, id, reached, distance``: how many nodes reach a node, from how far.
+
+    ``outward`` counts the nodes that a node reaches instead.  Keys follow each other
+    within a topic, so 64 sources of a topic make a block and one row ``(node, block)``
+    holds which of them have come by.  A round hands the new bits along the links, where
+    equal ones are merged before they move, and takes off those seen before.
+    """
+    links = graph.links.filter(F.col("src") != F.col("dst"))
+    if outward:
+        back = {"src": "dst", "dst": "src", "src_out": "dst_in", "dst_out": "src_in",
+                "src_in": "dst_out", "dst_in": "src_out"}
+        links = links.select(*[F.col(c).alias(back[c]) for c in links.columns])
+    split = graph.split_targets if outward else graph.split_sources
+    slots = lambda degree: slot_count(F.col(degree), graph.heavy_rows)
+    on = ["src", SLOT] if split else ["src"]
+    slot = [F.pmod(F.xxhash64("dst"), slots("src_out")).cast("int").alias(SLOT)] if split else []
+    partitions = partitions_for(graph.edge_count, VISITS_PER_PARTITION, least=8)
+    with fixed_layout(graph.links.sparkSession, partitions):
+        table = links.select(
+            "src", *slot, F.col("dst").alias("node"), F.col("dst_out").alias("out")
+        ).repartition(*on).persist()
+        try:
+            block = F.shiftright("src", BLOCK_BITS).alias("block")
+            first = links.groupBy(F.col("dst").alias("node"), block).agg(
+                F.bit_or(_bit("src")).alias("new"), F.max("dst_out").alias("out")
+            )
+            state = cut(
+                first.select(
+                    "node", "block", "out", "new",
+                    F.col("new").bitwiseOR(F.coalesce(_own_bit(), F.lit(0).cast("long"))).alias("seen"),
+                    F.bit_count("new").cast("long").alias("reached"),
+                    F.bit_count("new").cast("long").alias("distance"),
+                )
+            )
+            level = 1
+            while not state.filter("new <> 0").isEmpty():
+                level += 1
+                state = cut(_handed_on(state, table, on, slots, level))
+            sums = state.groupBy(F.col("node").alias("key")).agg(
+                F.sum("reached").alias("reached"), F.sum("distance").alias("distance")
+            )
+            total = cut(sums)
+        finally:
+            table.unpersist()
+    return named(graph, total)
+
+
+def _handed_on(state: DataFrame, table: DataFrame, on: list[str], slots, level: int) -> DataFrame:
+    """The state after one more level."""
+    leaving = state.filter("new <> 0 AND out > 0").select(
+        F.col("node").alias("src"), "block", "new", F.col("out").alias("src_out")
+    )
+    if SLOT in on:
+        slot = F.explode(F.sequence(F.lit(0), slots("src_out") - 1))
+        leaving = leaving.withColumn(SLOT, slot)
+    came = (
+        leaving.select(*on, "block", "new")
+        .join(table, on)
+        .groupBy("node", "block")
+        .agg(F.bit_or("new").alias("came"), F.max("out").alias("came_out"))
+    )
+    zero = F.lit(0).cast("long")
+    seen = F.coalesce(F.col("seen"), _own_bit(), zero)
+    fresh = F.coalesce("came", zero).bitwiseAND(F.bitwise_not(seen))
+    joined = state.drop("new").join(came, ["node", "block"], "full").withColumn("new", fresh)
+    count = F.bit_count("new").cast("long")
+    return joined.select(
+        "node",
+        "block",
+        F.coalesce("out", "came_out").alias("out"),
+        "new",
+        seen.bitwiseOR(F.col("new")).alias("seen"),
+        (F.coalesce("reached", zero) + count).alias("reached"),
+        (F.coalesce("distance", zero) + level * count).alias("distance"),
+    )
+
+
 def closeness_value(node_count: int, wasserman_faust: bool = False) -> Column:
     """Closeness from ``reached`` and ``distance``."""
     value = F.try_divide(F.col("reached").cast("double"), F.col("distance"))
@@ -282,7 +390,6 @@ def closeness(
     graph: TopicGraph,
     direction: str = "in",
     wasserman_faust: bool = False,
-    max_visits: int = MAX_VISITS,
 ) -> DataFrame:
     """Closeness of every graph node in every topic.
 
@@ -295,8 +402,7 @@ def closeness(
     searched = graph
     if direction == "both":
         searched = topic_graph(reversed_both_ways(graph.edges), graph.heavy_rows)
-    end = "source" if direction == "out" else "node"
-    sums = path_scores(searched, end, with_betweenness=False, max_visits=max_visits)
+    sums = reach_sums(searched, outward=direction == "out")
     node_count = graph.nodes.count() if wasserman_faust else 0
     scores = sums.select(
         "Category", "id", closeness_value(node_count, wasserman_faust).alias("closeness")
@@ -313,47 +419,43 @@ def betweenness(graph: TopicGraph, max_visits: int = MAX_VISITS) -> DataFrame:
     return on_grid(graph, scores, "betweenness")
 
 
-def pivot_sources(graph: TopicGraph, pivots: int = PIVOTS) -> DataFrame:
-    """``Category, key`` of the nodes with the highest degree of each topic, ties by id.
+def sample_sources(graph: TopicGraph, share: float = SHARE, seed: int = 0) -> DataFrame:
+    """``Category, key, out_degree, weight``: a sample of the sources of each topic.
 
-    A topic may hold most of the graph, so its nodes are ranked in slices first and
-    only the best of every slice compete for the topic.
+    A node with outgoing links is chosen with probability
+    ``share * max(1, degree / mean degree of its topic)``, 1 at most, by an MD5 hash of
+    seed, topic and id; ``weight`` is the inverse of that probability.
     """
-    order = [F.desc("total"), F.asc("id")]
-    slices = Window.partitionBy("Category", "slice").orderBy(*order)
-    whole = Window.partitionBy("Category").orderBy(*order)
-    total = (F.col("out_degree") + F.col("in_degree")).alias("total")
-    sliced = F.pmod(F.xxhash64("id"), F.lit(_slices(graph))).alias("slice")
-    best = (
-        graph.degrees.select("Category", "id", "key", total, sliced)
-        .withColumn("place", F.row_number().over(slices))
-        .filter(F.col("place") <= pivots)
-        .withColumn("place", F.row_number().over(whole))
-        .filter(F.col("place") <= pivots)
+    if not 0 < share <= 1:
+        raise ValueError(f"share must be above 0 and at most 1, not {share}")
+    means = [
+        F.when(F.col("Category") == topic, F.lit(2.0 * size.edges / size.members))
+        for topic, size in graph.sizes.items()
+    ]
+    if not means:
+        means = [F.lit(1.0)]
+    degree = F.col("out_degree") + F.col("in_degree")
+    chance = F.least(
+        F.lit(1.0), F.lit(share) * F.greatest(F.lit(1.0), degree / F.coalesce(*means))
+    )
+    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), "Category", "id"))
+    uniform = F.conv(F.substring(drawn, 1, 8), 16, 10).cast("double") / float(1 << 32)
+    return (
+        graph.degrees.filter("out_degree > 0")
+        .withColumn("chance", chance)
+        .filter(uniform < F.col("chance"))
+        .select("Category", "key", "out_degree", (1.0 / F.col("chance")).alias("weight"))
     )
-    return best.select("Category", "key")
-
-
-def _slices(graph: TopicGraph) -> int:
-    members = max((size.members for size in graph.sizes.values()), default=1)
-    return partitions_for(members, NODES_PER_SLICE, least=1)
 
 
 def betweenness_sampled(
-    graph: TopicGraph, pivots: int = PIVOTS, max_visits: int = MAX_VISITS
+    graph: TopicGraph, share: float = SHARE, seed: int = 0, max_visits: int = MAX_VISITS
 ) -> DataFrame:
-    """Betweenness estimated from the shortest paths of a few pivot sources per topic.
+    """Betweenness estimated from the shortest paths of a random sample of sources.
 
-    Dependencies are scaled by nodes / pivots, so with all nodes as pivots the exact
-    values come out.
+    The dependencies of a source are divided by the probability that it was chosen, so
+    the estimate is right on average, and exact with a share of 1.
     """
-    chosen = cut(pivot_sources(graph, pivots))
-    scores = path_scores(graph, closeness_end=None, pivots=chosen, max_visits=max_visits)
-    scales = [
-        F.when(F.col("Category") == F.lit(topic), F.lit(size.members / min(size.members, pivots)))
-        for topic, size in graph.sizes.items()
-    ]
-    scaled = scores.select(
-        "Category", "id", (F.col("betweenness") * F.coalesce(*scales, F.lit(1.0))).alias("betweenness")
-    )
-    return on_grid(graph, scaled, "betweenness")
+    chosen = cut(sample_sources(graph, share, seed))
+    scores = path_scores(graph, closeness_end=None, sample=chosen, max_visits=max_visits)
+    return on_grid(graph, scores, "betweenness")

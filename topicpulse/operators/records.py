@@ -25,16 +25,11 @@ def centralities_long(
     ``paths`` has ``betweenness`` and ``closeness``, ``ranks`` has ``rank``; both sparse.
     """
     wide = _scores_by_node(graph, paths, ranks, damping)
-    cells = [
-        F.struct(
-            F.lit(topic).alias("category"),
-            *[F.get(c, F.lit(i)).alias(c) for c in ("degree", "closeness", "betweenness", "pagerank")],
-        )
-        for i, topic in enumerate(graph.topics)
-    ]
-    if not cells:
+    if not graph.topics:
         raise ValueError("the graph has no labelled edge")
-    return wide.select("id", F.inline(F.array(*cells)))
+    topics = F.array(*[F.lit(t) for t in graph.topics]).alias("category")
+    names = ("degree", "closeness", "betweenness", "pagerank")
+    return wide.select("id", F.inline(F.arrays_zip(topics, *[F.col(c) for c in names])))
 
 
 def _scores_by_node(
@@ -48,18 +43,19 @@ def _scores_by_node(
     ]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     default = {"pagerank": 1.0 - damping}
+    names = list(SCORE_COLUMNS.values())
+    # One row per node and topic first, then one entry per topic of a node.
+    long = merged.groupBy("id", "Category").agg(*[F.max(c).alias(c) for c in names])
+    own = F.map_from_entries(F.collect_list(F.struct("Category", F.struct(*names))))
+    by_node = long.groupBy("id").agg(own.alias("own"))
+    topics = F.array(*[F.lit(t) for t in graph.topics]).cast("array<string>")
 
     def of_topics(column: str) -> Column:
-        values = [
-            F.coalesce(
-                F.max(F.when(F.col("Category") == F.lit(topic), F.col(column))),
-                F.lit(default.get(column, 0.0)),
-            )
-            for topic in graph.topics
-        ]
-        return F.array(*values).cast("array<double>").alias(column)
-
-    return merged.groupBy("id").agg(*[of_topics(c) for c in SCORE_COLUMNS.values()])
+        value = lambda t: F.try_element_at("own", t).getField(column)
+        missing = F.lit(default.get(column, 0.0))
+        return F.transform(topics, lambda t: F.coalesce(value(t), missing)).alias(column)
+
+    return by_node.select("id", *[of_topics(c) for c in names])
 
 
 def centrality_record(

@@ -1,7 +1,8 @@
 """Scaling every (measure, topic) value over all merged records.
 
-One aggregation finds the bounds of all columns; they are a single row, a few numbers
-per topic, and become literals of one projection.  There is no join.
+The values are unfolded to one row per measure and topic, whose bounds one aggregation
+finds; they are a few numbers per field of the output and become literals of one
+projection.  There is no join.
 """
 
 from __future__ import annotations
@@ -29,22 +30,17 @@ def _bounds(
     merged: DataFrame, cells: dict[tuple[str, str, str], Column], methods: dict[str, str]
 ) -> dict[tuple[str, str, str], tuple[float, ...]]:
     """``(min, max)`` or ``(stddev,)`` of every cell, from one pass."""
-    wanted: list[Column] = []
-    width = {}
-    for cell, value in cells.items():
-        if methods[cell[0]] == "minmax":
-            stats = [F.min(value), F.max(value)]
-        else:
-            stats = [F.stddev_samp(value)]
-        width[cell] = len(stats)
-        wanted += [s.alias(f"s{len(wanted) + i}") for i, s in enumerate(stats)]
-    if not wanted:
+    if not cells:
         return {}
-    row = merged.agg(*wanted).first()
-    found, at = {}, 0
-    for cell, n in width.items():
-        found[cell] = tuple(v or 0.0 for v in row[at : at + n])
-        at += n
+    long = merged.select(F.posexplode(F.array(*cells.values())).alias("cell", "value"))
+    stats = long.groupBy("cell").agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.stddev_samp("value").alias("sd")
+    )
+    rows = {row["cell"]: row for row in stats.collect()}
+    found = {}
+    for at, cell in enumerate(cells):
+        names = ("low", "high") if methods[cell[0]] == "minmax" else ("sd",)
+        found[cell] = tuple((rows[at][n] if at in rows else None) or 0.0 for n in names)
     return found
 
 

@@ -15,9 +15,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 # A key with more rows than this is split into slots of about this size.
 HEAVY_ROWS = 1_000_000
-# Bound on the heavy keys that are collected and broadcast.  Keys beyond it are joined
-# unsalted: the result is the same, only the balance is left to adaptive execution.
-MAX_HEAVY_KEYS = 10_000
+# A key is heavy only if it also holds more than this part of all rows.  So there are fewer
+# heavy keys than parts, and the collected and broadcast list is bounded by counting.
+PARTS = 10_000
 
 SALT = "_salt"
 
@@ -31,12 +31,12 @@ def slot_count(rows: Column, heavy_rows: int) -> Column:
 
 
 def heaviest(counts: DataFrame, keys: list[str], rows: str, heavy_rows: int) -> list[Row]:
-    """``(keys, slots)`` of the heavy keys in a table of row counts per key."""
+    """``(keys, slots)`` of all heavy keys in a table of row counts per key."""
+    total = counts.agg(F.sum(rows)).first()[0] or 0
+    least = max(heavy_rows, total // PARTS)
     return (
-        counts.filter(F.col(rows) > heavy_rows)
-        .orderBy(F.desc(rows), *keys)
-        .limit(MAX_HEAVY_KEYS)
-        .select(*keys, slot_count(F.col(rows), heavy_rows).alias("_slots"))
+        counts.filter(F.col(rows) > least)
+        .select(*keys, slot_count(F.col(rows), least).alias("_slots"))
         .collect()
     )
 
@@ -85,9 +85,9 @@ def salted_join(
     """``facts`` joined to ``lookup`` on ``keys``, heavy fact keys salted.
 
     ``spread_by`` are fact columns that differ within a heavy key.  ``heavy`` comes from
-    ``heavy_keys`` of the facts (or of a superset of them) and holds at most
-    ``MAX_HEAVY_KEYS`` rows, so broadcasting it is safe; ``heavy_on`` names its keys when
-    they are only some of ``keys``.  Without heavy keys this is the plain join.
+    ``heavy_keys`` of the facts (or of a superset of them) and has fewer rows than
+    ``PARTS``, so broadcasting it is safe; ``heavy_on`` names its keys when they are only
+    some of ``keys``.  Without heavy keys this is the plain join.
     """
     if not heavy:
         return facts.join(lookup, keys, how)

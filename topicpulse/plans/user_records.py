@@ -38,7 +38,8 @@ class RunOptions:
     closeness_direction: str = "in"
     wasserman_faust: bool = False
     betweenness: str = "exact"
-    pivots: int = paths.PIVOTS
+    sample_share: float = paths.SHARE
+    sample_seed: int = 0
     rounds: int = PAGERANK_ROUNDS
     damping: float = PAGERANK_DAMPING
     tolerance: float | None = None
@@ -91,24 +92,6 @@ class RunResult:
         return report.stage_counts(self.stages)
 
 
-def topics_and_span(daily: DataFrame) -> tuple[list[str], int]:
-    """The topics in ascending order and the whole days covered, from one aggregation."""
-    rows = (
-        daily.groupBy("category")
-        .agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
-        .limit(act.MAX_TOPICS + 2)
-        .collect()
-    )
-    names = sorted(row["category"] for row in rows if row["category"] is not None)
-    if len(names) > act.MAX_TOPICS:
-        raise ValueError(f"more than {act.MAX_TOPICS} topics; they cannot become columns")
-    dated = [row for row in rows if row["first_at"] is not None]
-    if not dated:
-        return names, 0
-    span = max(row["last_at"] for row in dated) - min(row["first_at"] for row in dated)
-    return names, span.days
-
-
 def path_measures(graph: TopicGraph, options: RunOptions) -> DataFrame:
     """Sparse ``Category, id, closeness, betweenness``.
 
@@ -124,11 +107,11 @@ def path_measures(graph: TopicGraph, options: RunOptions) -> DataFrame:
             paths.closeness_value(node_count, options.wasserman_faust).alias("closeness"),
             F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"),
         )
-    near = paths.closeness(
-        graph, options.closeness_direction, options.wasserman_faust, **limits
-    )
+    near = paths.closeness(graph, options.closeness_direction, options.wasserman_faust)
     if options.betweenness == "sampled":
-        between = paths.betweenness_sampled(graph, options.pivots, **limits)
+        between = paths.betweenness_sampled(
+            graph, options.sample_share, options.sample_seed, **limits
+        )
     else:
         between = paths.betweenness(graph, **limits)
     return near.join(between, ["Category", "id"])
@@ -154,7 +137,7 @@ def run(
             act.daily_activity(dated), spam if options.drop_spam_posts else None
         )
     )
-    names, span_days = topics_and_span(daily)
+    names, span_days = act.topics_and_span(daily)
     per_user = cut(
         act.user_activity(clean_users, daily, names, options.count_inactive_as_zero)
     )

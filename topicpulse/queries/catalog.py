@@ -14,21 +14,20 @@ from topicpulse.operators import activity as act
 from topicpulse.operators import cleaning, graph, labelling, pagerank, paths, records, report
 from topicpulse.operators.lineage import cut
 from topicpulse.operators.scaling import scale_records, unnest
-from topicpulse.operators.skew import heavy_endpoints, heavy_keys
+from topicpulse.operators.skew import heavy_endpoints
 from topicpulse.plans import RunOptions, run
-from topicpulse.plans.user_records import path_measures, topics_and_span
+from topicpulse.plans.user_records import path_measures
 from topicpulse.sources import readers, shared_tables, sinks
 from topicpulse.sources.schemas import CENTRALITY_MEASURES, FEATURE_MEASURES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-PIVOTS = 20
+SHARE = 0.2
 GRAPH_COLUMNS = ["degree", "closeness", "betweenness", "pagerank"]
 
 
 def rounded(value: Column) -> Column:
-    """Six digits; exact halves go up even if a sum comes out one bit short."""
-    return F.floor(value * 1e6 + 0.5001) / 1e6
+    return F.round(value, 6)
 
 
 class Inputs:
@@ -54,7 +53,7 @@ class Inputs:
 
     @cached_property
     def names_and_span(self) -> tuple[list[str], int]:
-        return topics_and_span(self.daily)
+        return act.topics_and_span(self.daily)
 
     @property
     def names(self) -> list[str]:
@@ -76,16 +75,28 @@ class Inputs:
     def features(self) -> DataFrame:
         return act.features_long(self.activity, self.names, self.span_days)
 
+    @cached_property
+    def posts(self) -> DataFrame:
+        """Posts with ``posted_at`` of users that aren't flagged."""
+        return cleaning.exclude_spam_posts(cleaning.with_posted_at(self.raw_posts), self.spam)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return cut(cleaning.dedup_edges(self.raw_edges))
+
+    @cached_property
+    def heavy_ends(self) -> dict:
+        return heavy_endpoints(self.pairs)
+
     @cached_property
     def edges(self) -> DataFrame:
-        return cleaning.exclude_spam_edges(cleaning.dedup_edges(self.raw_edges), self.spam)
+        return cleaning.exclude_spam_edges(self.pairs, self.spam, self.heavy_ends)
 
     @cached_property
     def shared(self) -> DataFrame:
-        pairs = cut(cleaning.dedup_edges(self.raw_edges))
         return cut(
             labelling.with_shared_topics(
-                pairs, self.topics_of_users, heavy_endpoints(pairs), self.spam
+                self.pairs, self.topics_of_users, self.heavy_ends, self.spam
             )
         )
 
@@ -136,8 +147,7 @@ def users_clean(i: Inputs) -> DataFrame:
 
 @query
 def posts_clean(i: Inputs) -> DataFrame:
-    posts = i.raw_posts.select("tweetId", "userId", "category")
-    return cleaning.exclude_spam_posts(posts, i.spam, heavy_keys(posts, ["userId"]))
+    return i.posts.select("tweetId", "userId", "category")
 
 
 @query
@@ -180,7 +190,7 @@ def most_active_users(i: Inputs) -> DataFrame:
 
 @query
 def dataset_span(i: Inputs) -> DataFrame:
-    return act.dataset_span(i.daily).select(
+    return act.dataset_span(i.posts, "posted_at", "posted_at").select(
         F.date_format("first_at", "yyyy-MM-dd HH:mm:ss").alias("first_at"),
         F.date_format("last_at", "yyyy-MM-dd HH:mm:ss").alias("last_at"),
         "span_days",
@@ -189,7 +199,7 @@ def dataset_span(i: Inputs) -> DataFrame:
 
 @query
 def topics(i: Inputs) -> DataFrame:
-    return act.topics(i.daily)
+    return act.topics(i.posts)
 
 
 @query
@@ -219,8 +229,7 @@ for _name in act.FEATURE_COLUMNS:
 
 @query
 def user_features(i: Inputs) -> DataFrame:
-    totals = i.activity.select("id", "tweets_total")
-    return i.features.join(totals, "id").select(
+    return i.features.select(
         "id",
         "category",
         "tweets_total",
@@ -297,6 +306,18 @@ def closeness(i: Inputs) -> DataFrame:
     return paths.closeness(i.graph).withColumn("closeness", rounded(F.col("closeness")))
 
 
+@query
+def closeness_out(i: Inputs) -> DataFrame:
+    scores = paths.closeness(i.graph, "out")
+    return scores.withColumn("closeness", rounded(F.col("closeness")))
+
+
+@query
+def closeness_both(i: Inputs) -> DataFrame:
+    scores = paths.closeness(i.graph, "both", wasserman_faust=True)
+    return scores.withColumn("closeness", rounded(F.col("closeness")))
+
+
 @query
 def betweenness(i: Inputs) -> DataFrame:
     return paths.betweenness(i.graph).withColumn("betweenness", rounded(F.col("betweenness")))
@@ -304,7 +325,7 @@ def betweenness(i: Inputs) -> DataFrame:
 
 @query
 def betweenness_sampled(i: Inputs) -> DataFrame:
-    estimated = paths.betweenness_sampled(i.graph, PIVOTS)
+    estimated = paths.betweenness_sampled(i.graph, SHARE)
     return estimated.withColumn("betweenness", rounded(F.col("betweenness")))
 
 

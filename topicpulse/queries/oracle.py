@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from topicpulse.queries.catalog import PIVOTS
+from topicpulse.queries.catalog import SHARE
 
 # Longest walk looked at by the recursive path query; far above the longest shortest
 # path of the test tables, which a test checks.
@@ -31,9 +31,8 @@ PARTS: dict[str, tuple[str, str]] = {
     ),
     "edges0": (
         "",
-        """SELECT * FROM (SELECT CAST(user_id AS VARCHAR) AS "Source",
-        regexp_extract(props, '"k": *([0-9]+)', 1) AS "Target" FROM events)
-        WHERE "Source" <> "Target" """,
+        """SELECT CAST(user_id AS VARCHAR) AS "Source",
+        regexp_extract(props, '"k": *([0-9]+)', 1) AS "Target" FROM events""",
     ),
     "pairs": ("edges0", 'SELECT DISTINCT "Source", "Target" FROM edges0'),
     "edges1": (
@@ -139,20 +138,41 @@ PARTS: dict[str, tuple[str, str]] = {
         FROM nc LEFT JOIN through x ON x.c = nc.c AND x.v = nc.id GROUP BY 1, 2""",
     ),
     "members": ("deg", "SELECT * FROM deg WHERE degree > 0"),
-    "pivots": (
+    "sampled": (
         "members",
-        f"""SELECT c, id FROM members
-        QUALIFY row_number() OVER (PARTITION BY c ORDER BY degree DESC, id) <= {PIVOTS}""",
+        f"""SELECT * FROM (SELECT c, id, least(1.0::DOUBLE, {SHARE}::DOUBLE * greatest(1.0::DOUBLE,
+            degree / (sum(degree) OVER (PARTITION BY c) / count(*) OVER (PARTITION BY c))))
+            AS chance FROM members)
+        WHERE CAST('0x' || substr(md5('0:' || c || ':' || id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE
+            < chance""",
     ),
     "betws": (
-        "through nc pivots members",
-        f"""SELECT nc.c, nc.id, coalesce(sum(x.part), 0) * max(m.scale) AS betweenness FROM nc
-        JOIN (SELECT c, count(*) / least(count(*), {PIVOTS})::DOUBLE AS scale
-            FROM members GROUP BY c) m ON m.c = nc.c
-        LEFT JOIN (SELECT through.* FROM through JOIN pivots
-            ON pivots.c = through.c AND pivots.id = through.s) x
+        "through nc sampled",
+        """SELECT nc.c, nc.id, coalesce(sum(x.part / x.chance), 0) AS betweenness FROM nc
+        LEFT JOIN (SELECT through.*, sampled.chance FROM through JOIN sampled
+            ON sampled.c = through.c AND sampled.id = through.s) x
         ON x.c = nc.c AND x.v = nc.id GROUP BY 1, 2""",
     ),
+    "closeo": (
+        "sp nc",
+        """SELECT nc.c, nc.id, coalesce(CAST(count(sp.d) AS DOUBLE) / sum(sp.d), 0) AS closeness
+        FROM nc LEFT JOIN sp ON sp.c = nc.c AND sp.s = nc.id AND sp.d > 0 GROUP BY 1, 2""",
+    ),
+    "steps2": ("tr", "SELECT c, s, t FROM tr UNION SELECT c, t, s FROM tr"),
+    "walks2": (
+        "steps2 nc",
+        f"""SELECT 0 AS l, c, id AS s, id AS v FROM nc
+        UNION
+        SELECT w.l + 1, w.c, w.s, x.t FROM walks2 w
+        JOIN steps2 x ON x.c = w.c AND x.s = w.v WHERE w.l < {WALK_LIMIT}""",
+    ),
+    "closeb": (
+        "walks2 nc gnodes",
+        """SELECT nc.c, nc.id, coalesce(CAST(count(d) AS DOUBLE) / sum(d) * count(d)
+            / ((SELECT count(*) FROM gnodes) - 1), 0) AS closeness FROM nc
+        LEFT JOIN (SELECT c, s, v, min(l) AS d FROM walks2 GROUP BY 1, 2, 3) p
+        ON p.c = nc.c AND p.v = nc.id AND p.d > 0 GROUP BY 1, 2""",
+    ),
     "cent": (
         "deg close betw pr",
         """SELECT deg.id, deg.c AS category, degree, closeness, betweenness, pr.r AS pagerank
@@ -197,11 +217,11 @@ PARTS: dict[str, tuple[str, str]] = {
     ),
 }
 
-RECURSIVE = ("pr", "walks")
+RECURSIVE = ("pr", "walks", "walks2")
 
 
 def r6(column: str) -> str:
-    return f"floor({column} * 1e6 + 0.5001) / 1e6 AS {column}"
+    return f"round({column}, 6) AS {column}"
 
 
 def with_parts(needed: str, select: str) -> str:
@@ -283,11 +303,13 @@ ORACLE: dict[str, str] = {
     "degree": _measure("degree", "deg", "degree"),
     "degree_by_user": _measure("degree", "deg", "degree") + " ORDER BY id DESC",
     "closeness": _measure("closeness", "close"),
+    "closeness_out": _measure("closeness", "closeo"),
+    "closeness_both": _measure("closeness", "closeb"),
     "betweenness": _measure("betweenness", "betw"),
     "betweenness_sampled": _measure("betweenness", "betws"),
     "pagerank": with_parts(
         "pr",
-        'SELECT c AS "Category", id, floor(r * 1e6 + 0.5001) / 1e6 AS pagerank '
+        'SELECT c AS "Category", id, round(r, 6) AS pagerank '
         "FROM pr WHERE i = 100",
     ),
     "centralities": with_parts(

@@ -17,19 +17,15 @@ def load(
     location: str | None,
     fmt: str = "parquet",
     schema: StructType | None = None,
-    sampling_ratio: float | None = None,
     **options: str,
 ) -> DataFrame:
     """Load with an explicit schema when there is one.
 
-    Without a schema JSON and CSV sources infer it; ``sampling_ratio`` limits the share
-    of rows read for that.
+    Without a schema JSON and CSV sources infer it from all rows, so no field is lost.
     """
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    elif sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
     return reader.load(location) if location else reader.load()
 
 
@@ -58,11 +54,10 @@ def read_users(
     location: str | None,
     fmt: str = "json",
     schema: StructType | None = None,
-    sampling_ratio: float | None = None,
     **options: str,
 ) -> DataFrame:
     """Users with every column kept; pass ``schema`` to skip inference."""
-    return shape_users(load(spark, location, fmt, schema, sampling_ratio, **options))
+    return shape_users(load(spark, location, fmt, schema, **options))
 
 
 def read_posts(

@@ -47,14 +47,19 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, folder: str) -> DataFrame:
-    """``Source, Target`` with duplicates, without self references.
+    """``Source, Target`` with duplicates and self references.
 
     ``inline`` makes the parsed target a column of its own: filters on it then read that
     column, where they would otherwise repeat the parsing.
     """
     target = F.struct(F.get_json_object("props", "$.k").alias("Target"))
-    return (
-        spark.read.parquet(f"{folder}/events.parquet")
-        .select(F.col("user_id").cast("string").alias("Source"), F.inline(F.array(target)))
-        .filter(F.col("Source") != F.col("Target"))
+    return spark.read.parquet(f"{folder}/events.parquet").select(
+        F.col("user_id").cast("string").alias("Source"), F.inline(F.array(target))
+    )
+
+
+def raw_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The users in the shape of the original documents, with both ids."""
+    return users(spark, folder).withColumnRenamed("id", "id_str").withColumn(
+        "id", F.col("id_str").cast("long")
     )
