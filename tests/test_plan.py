@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -158,3 +159,15 @@ def test_command_line(spark, tmp_path):
     enriched = spark.read.parquet(str(tmp_path / "enriched"))
     assert {r.id_str for r in enriched.collect()} == {"u1", "u2", "u3"}
     assert spark.read.parquet(str(tmp_path / "graph" / "edges")).count() == 2
+
+
+def test_a_released_run_leaves_no_table_behind(spark, tmp_path):
+    from topicpulse.operators import lineage
+
+    folder = lineage.shared_folder(spark)
+    result = run(users(spark), posts(spark), edges(spark), RunOptions(rounds=2))
+    local = result.written.folder.removeprefix("file:")
+    assert local.startswith(folder.removeprefix("file:")) and Path(local).is_dir()
+    assert result.records.count() == 3
+    result.release()
+    assert not Path(local).exists()

@@ -1,38 +1,68 @@
-"""Cutting lineage between stages and pinning the layout of iterative jobs."""
+"""Tables written between stages, lineage cuts of loops, and the layout of iterative jobs."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, else one in the warehouse."""
+    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
 
-    Only a local session may fall back to a temporary folder.  On a cluster such a
-    folder is lost with its machine, so there a missing setting is an error.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="topicpulse-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let checkpoints go to the shared folder, whatever the master is."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """Compute ``frame`` once into the reliable checkpoint folder."""
+    """Compute ``frame`` once into the reliable checkpoint folder.
+
+    For loops, and for columns that must not be computed twice, as generated keys.
+    """
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
 
 
+class Stages:
+    """Tables that are written once, as Parquet in the shared folder, and read several times.
+
+    Readers get column pruning, pushed filters and sizes.  ``release`` removes the files;
+    what is left goes when the driver ends.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def _path(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        target = f"{self.folder}/{self.count}"
+        self.count += 1
+        frame.write.parquet(target)
+        if self.count == 1:
+            path, system = self._path()
+            system.deleteOnExit(path)
+        return self.spark.read.schema(frame.schema).parquet(target)
+
+    def release(self) -> None:
+        if self.count:
+            path, system = self._path()
+            system.delete(path, True)
+
+
 @contextmanager
 def fixed_layout(spark: SparkSession, partitions: int) -> Iterator[None]:
     """Settings for loops that join the same keys again and again.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -66,16 +66,17 @@ def centrality_record(
     column: str = "centralities",
     damping: float = PAGERANK_DAMPING,
     topics: Sequence[str] | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda frame: frame,
 ) -> DataFrame:
     """``id`` and one nested struct for every node of the unlabelled edges.
 
     Nodes outside the graph have null scores.  ``topics`` can widen the dictionaries to
     topics without labelled edges, which are null there.  Without any topic there is
-    nothing to nest and the struct is left out.
+    nothing to nest and the struct is left out.  ``keep`` may write the flat scores.
     """
     if not (graph.topics if topics is None else topics):
         return nodes.select("id")
-    wide = _scores_by_node(graph, paths, ranks, damping)
+    wide = keep(_scores_by_node(graph, paths, ranks, damping))
     at = {topic: i for i, topic in enumerate(graph.topics)}
     names = list(graph.topics if topics is None else topics)
 

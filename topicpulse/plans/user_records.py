@@ -14,7 +14,7 @@ from topicpulse.operators.graph import (
     TopicGraph,
     topic_graph,
 )
-from topicpulse.operators.lineage import cut
+from topicpulse.operators.lineage import Stages
 from topicpulse.operators.pagerank import pagerank_scores
 from topicpulse.operators.scaling import METHODS, scale_records
 from topicpulse.operators.skew import HEAVY_ROWS, heavy_endpoints
@@ -78,8 +78,13 @@ class RunResult:
     centrality_topics: list[str]
     span_days: int
     graph: TopicGraph
+    written: Stages
     stages: dict[str, DataFrame] = field(default_factory=dict)
 
+    def release(self) -> None:
+        """Remove the tables of the run; its frames can't be read any more."""
+        self.written.release()
+
     @property
     def labelled_edges(self) -> DataFrame:
         return self.graph.edges.select("Source", "Target", "Category")
@@ -126,25 +131,26 @@ def run(
     and ``category``, ``edges`` has ``Source`` and ``Target``.
     """
     options = options or RunOptions()
+    written = Stages(users.sparkSession)
     spam = cleaning.spam_ids(users, options.spam_flag)
     if spam is not None:
-        spam = cut(spam)
+        spam = written.keep(spam)
     clean_users = cleaning.exclude_spam_users(users, spam)
 
     dated = cleaning.with_posted_at(posts, options.on_bad_date)
-    daily = cut(
+    daily = written.keep(
         cleaning.exclude_spam_posts(
             act.daily_activity(dated), spam if options.drop_spam_posts else None
         )
     )
     names, span_days = act.topics_and_span(daily)
-    per_user = cut(
+    per_user = written.keep(
         act.user_activity(clean_users, daily, names, options.count_inactive_as_zero)
     )
     features = act.feature_record(per_user, names, span_days, options.features_column)
 
-    pairs = cut(cleaning.dedup_edges(edges))
-    shared = cut(
+    pairs = written.keep(cleaning.dedup_edges(edges))
+    shared = written.keep(
         labelling.with_shared_topics(
             pairs,
             act.user_topics(per_user, names),
@@ -161,8 +167,9 @@ def run(
         options.centralities_column,
         options.damping,
         names if options.all_topics else None,
+        written.keep,
     )
-    merged = cut(records.merge_records(features, centralities, options.how))
+    merged = records.merge_records(features, centralities, options.how)
     scaled = scale_records(
         merged,
         names,
@@ -180,6 +187,7 @@ def run(
         centrality_topics=graph.topics,
         span_days=span_days,
         graph=graph,
+        written=written,
         stages={
             "users": users,
             "users_clean": clean_users,

@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topicpulse.operators import activity as act
 from topicpulse.operators import cleaning, graph, labelling, pagerank, paths, records, report
-from topicpulse.operators.lineage import cut
+from topicpulse.operators.lineage import Stages
 from topicpulse.operators.scaling import scale_records, unnest
 from topicpulse.operators.skew import heavy_endpoints
-from topicpulse.plans import RunOptions, run
+from topicpulse.plans import RunOptions, RunResult, run
 from topicpulse.plans.user_records import path_measures
 from topicpulse.sources import readers, shared_tables, sinks
 from topicpulse.sources.schemas import CENTRALITY_MEASURES, FEATURE_MEASURES
@@ -34,13 +34,14 @@ class Inputs:
     """The shared tables of one folder and what the queries derive from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        self.keep = Stages(spark).keep
         self.raw_users = shared_tables.users(spark, folder)
         self.raw_posts = shared_tables.posts(spark, folder)
         self.raw_edges = shared_tables.edges(spark, folder)
 
     @cached_property
     def spam(self) -> DataFrame:
-        return cut(cleaning.spam_ids(self.raw_users))
+        return self.keep(cleaning.spam_ids(self.raw_users))
 
     @cached_property
     def users(self) -> DataFrame:
@@ -49,7 +50,7 @@ class Inputs:
     @cached_property
     def daily(self) -> DataFrame:
         dated = cleaning.with_posted_at(self.raw_posts)
-        return cut(cleaning.exclude_spam_posts(act.daily_activity(dated), self.spam))
+        return self.keep(cleaning.exclude_spam_posts(act.daily_activity(dated), self.spam))
 
     @cached_property
     def names_and_span(self) -> tuple[list[str], int]:
@@ -65,11 +66,11 @@ class Inputs:
 
     @cached_property
     def activity(self) -> DataFrame:
-        return act.user_activity(self.users, self.daily, self.names)
+        return self.keep(act.user_activity(self.users, self.daily, self.names))
 
     @cached_property
     def topics_of_users(self) -> DataFrame:
-        return cut(act.user_topics(self.activity, self.names))
+        return self.keep(act.user_topics(self.activity, self.names))
 
     @cached_property
     def features(self) -> DataFrame:
@@ -82,7 +83,7 @@ class Inputs:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return cut(cleaning.dedup_edges(self.raw_edges))
+        return self.keep(cleaning.dedup_edges(self.raw_edges))
 
     @cached_property
     def heavy_ends(self) -> dict:
@@ -94,7 +95,7 @@ class Inputs:
 
     @cached_property
     def shared(self) -> DataFrame:
-        return cut(
+        return self.keep(
             labelling.with_shared_topics(
                 self.pairs, self.topics_of_users, self.heavy_ends, self.spam
             )
@@ -116,9 +117,9 @@ class Inputs:
     def merged(self) -> DataFrame:
         features = act.feature_record(self.activity, self.names, self.span_days)
         centralities = records.centrality_record(
-            labelling.nodes(self.shared), self.graph, *self.scores
+            labelling.nodes(self.shared), self.graph, *self.scores, keep=self.keep
         )
-        return cut(records.merge_records(features, centralities))
+        return records.merge_records(features, centralities)
 
     def scaled(self, method: str = "minmax") -> DataFrame:
         return scale_records(self.merged, self.names, self.graph.topics, method)
@@ -360,7 +361,7 @@ def merged(i: Inputs) -> DataFrame:
 
 def _scaled_features(i: Inputs, method: str) -> DataFrame:
     features = act.feature_record(i.activity, i.names, i.span_days)
-    present = cut(features.join(labelling.nodes(i.edges), "id", "left_semi"))
+    present = features.join(i.keep(labelling.nodes(i.edges)), "id", "left_semi")
     scaled = scale_records(present, i.names, [], method)
     return unnest(scaled, "user_features", FEATURE_MEASURES, i.names)
 
@@ -394,13 +395,22 @@ def users_enriched(i: Inputs) -> DataFrame:
     return enriched.select("id_str", "screen_name", F.inline(F.array(*cells)))
 
 
-def user_records(spark: SparkSession, folder: str) -> DataFrame:
-    """The complete run, unnested."""
-    result = run(
-        shared_tables.users(spark, folder),
-        shared_tables.posts(spark, folder),
-        shared_tables.edges(spark, folder),
+def run_on_documents(
+    spark: SparkSession, folder: str, options: RunOptions | None = None
+) -> RunResult:
+    """The complete run from documents in their original shape, with dates as text."""
+    return run(
+        readers.shape_users(shared_tables.raw_users(spark, folder)),
+        readers.shape_posts(
+            shared_tables.raw_posts(spark, folder), "experiment_test.category_rf"
+        ),
+        readers.shape_edges(shared_tables.edges(spark, folder)),
+        options,
     )
+
+
+def _records(spark: SparkSession, folder: str, options: RunOptions | None = None) -> DataFrame:
+    result = run_on_documents(spark, folder, options)
     features = unnest(result.records, "user_features", FEATURE_MEASURES, result.topics)
     scores = unnest(
         result.records, "centralities", CENTRALITY_MEASURES, result.centrality_topics
@@ -408,7 +418,52 @@ def user_records(spark: SparkSession, folder: str) -> DataFrame:
     return features.unionByName(scores)
 
 
-QUERIES["user_records"] = user_records
+def user_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The complete run, unnested."""
+    return _records(spark, folder)
+
+
+def user_records_left(spark: SparkSession, folder: str) -> DataFrame:
+    """All users, spam posts shaping topics and span, closeness by the share reached."""
+    options = RunOptions(how="left", drop_spam_posts=False, wasserman_faust=True)
+    return _records(spark, folder, options)
+
+
+def user_records_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts that ``keep_raw`` carries along, inactive users counted as 0."""
+    options = RunOptions(keep_raw=True, count_inactive_as_zero=True, betweenness="sampled")
+    result = run_on_documents(spark, folder, options)
+    record = F.col("user_features")
+    cells = [
+        F.struct(
+            F.lit(t).alias("category"),
+            record["tweets_total"].alias("tweets_total"),
+            record["dict_tweet_by_topic"].getField(t).alias("posts"),
+            record["dict_days_posted_by_topic"].getField(t).alias("days"),
+        )
+        for t in result.topics
+    ]
+    return result.records.select("id", F.inline(F.array(*cells)))
+
+
+for _run in (user_records, user_records_left, user_records_raw):
+    QUERIES[_run.__name__] = _run
+
+
+def users_shaped(spark: SparkSession, folder: str) -> DataFrame:
+    """Users by their text id, the numeric one dropped."""
+    users = readers.shape_users(shared_tables.raw_users(spark, folder))
+    return users.select("id", "screen_name", "experiment_spam.category_rf")
+
+
+def users_without_flag(spark: SparkSession, folder: str) -> DataFrame:
+    """Users that carry no spam flag: nobody is removed."""
+    users = readers.shape_users(shared_tables.raw_users(spark, folder)).drop("experiment_spam")
+    return cleaning.exclude_spam_users(users, cleaning.spam_ids(users))
+
+
+QUERIES["users_shaped"] = users_shaped
+QUERIES["users_without_flag"] = users_without_flag
 
 
 @query

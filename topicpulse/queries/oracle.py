@@ -224,18 +224,19 @@ def r6(column: str) -> str:
     return f"round({column}, 6) AS {column}"
 
 
-def with_parts(needed: str, select: str) -> str:
-    """``select`` behind the definitions it needs."""
+def with_parts(needed: str, select: str, **other: tuple[str, str]) -> str:
+    """``select`` behind the definitions it needs; ``other`` replaces some of them."""
+    parts = PARTS | other
     wanted: set[str] = set()
     stack = needed.split()
     while stack:
         name = stack.pop()
         if name not in wanted:
             wanted.add(name)
-            stack += PARTS[name][0].split()
-    ordered = [name for name in PARTS if name in wanted]
+            stack += parts[name][0].split()
+    ordered = [name for name in parts if name in wanted]
     recursive = "RECURSIVE " if wanted & set(RECURSIVE) else ""
-    body = ",\n".join(f"{name} AS ({PARTS[name][1]})" for name in ordered)
+    body = ",\n".join(f"{name} AS ({parts[name][1]})" for name in ordered)
     return f"WITH {recursive}{body}\n{select}"
 
 
@@ -349,6 +350,32 @@ ORACLE: dict[str, str] = {
     "user_records": with_parts(
         "featm centm", "SELECT * FROM featm UNION ALL SELECT * FROM centm"
     ),
+    "user_records_left": with_parts(
+        "featm centm",
+        "SELECT * FROM featm UNION ALL SELECT * FROM centm",
+        posts1=("posts0", "SELECT * FROM posts0"),
+        nodes1=("users1", "SELECT id FROM users1"),
+        close=(
+            "sp nc gnodes",
+            """SELECT nc.c, nc.id, coalesce(CAST(count(sp.d) AS DOUBLE) / sum(sp.d)
+            * (CAST(count(sp.d) AS DOUBLE) / ((SELECT count(*) FROM gnodes) - 1)), 0) AS closeness
+            FROM nc LEFT JOIN sp ON sp.c = nc.c AND sp.v = nc.id AND sp.d > 0 GROUP BY 1, 2""",
+        ),
+    ),
+    "user_records_raw": with_parts(
+        "feats nodes1",
+        """SELECT id, category, tweets_total, posts, days FROM feats
+        WHERE id IN (SELECT id FROM nodes1)""",
+        totals=(
+            "users1 posts1",
+            """SELECT u.id, count(p."tweetId") AS tweets_total FROM users1 u
+            LEFT JOIN posts1 p ON u.id = p."userId" GROUP BY u.id""",
+        ),
+    ),
+    "users_shaped": with_parts(
+        "users0", "SELECT id, screen_name, flag AS category_rf FROM users0"
+    ),
+    "users_without_flag": with_parts("users0", "SELECT id, screen_name FROM users0"),
     "stage_counts": with_parts(
         "users0 users1 posts0 edges0 edges1 tr nodes1",
         " UNION ALL ".join(
