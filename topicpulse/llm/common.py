@@ -23,7 +23,7 @@ STABLE_CUT = re.compile(r" (?=\S)")
 
 
 # Rows of a table that is broadcast, at most; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 50_000
 
 
 def small(frame: DataFrame, rows: int | None = None) -> DataFrame:

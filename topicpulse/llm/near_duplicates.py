@@ -11,10 +11,12 @@ class, and from there on only classes count.
 * Candidates are confirmed on their full sets.
 
 Only the components are wanted, so a bucket is never expanded into its pairs.  In a round each
-class is compared with the most promising of the representatives of its buckets, which differ
-from bucket to bucket and from round to round.  What is linked is merged.  At last, in buckets
-that still hold several components, all pairs across components are compared, the members of
-the largest component on one side only.  So no link between different components is left out.
+class is compared with the most promising of the representatives of its buckets.  These are
+the most central members at first, which agree with the most others in their bands and so are
+likely what the others are copies of, and random ones in the later rounds.  What is linked is
+merged.  Few classes are left outside the largest component of their bucket after that.  At
+last these are compared with the members of other components, once in the first bucket that
+a pair shares and only if the sketches allow it.  So no link between components is left out.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import math
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topicpulse.llm.common import cut, map_rows, small
 
@@ -32,7 +34,9 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 SKETCH_WORDS = SKETCH_BITS // 64
 SIMILARITY_PERCENT = 80
-STAR_ROUNDS = 2
+STAR_ROUNDS = 4
+# Representatives a class is compared with in a round, the most promising first.
+COMPARED = 2
 WORDS_HELD = 300_000
 
 
@@ -213,13 +217,14 @@ class Linker:
 
     def __init__(self, docs: DataFrame, classes: DataFrame, percent: int):
         self.percent = percent
-        entries = classes.select("cid", F.explode("bands").alias("key"))
+        entries = classes.select("cid", F.posexplode("bands").alias("band", "key"))
         shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        self.members = cut(entries.join(shared.select("key"), "key").select("key", "cid"))
-        self.nodes = cut(self.members.select("cid").distinct())
+        found = cut(entries.join(shared, "key").select("key", "band", "cid", "n"))
+        self.nodes = cut(found.groupBy("cid").agg(F.sum("n").alias("central")))
         self.size = self.nodes.count()
-        held = classes.join(small(self.nodes, self.size), "cid", "left_semi")
-        self.sketches = cut(held.select("cid", "sketch"))
+        self.members = found.select("key", "band", "cid")
+        held = classes.join(small(self.nodes.select("cid"), self.size), "cid", "left_semi")
+        self.sketches = cut(held.select("cid", "sketch", "bands"))
         self.tested: DataFrame | None = None
         picked = held.select("cid", "pick.doc_id", "pick.text_key").select(
             "cid", F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")
@@ -237,8 +242,8 @@ class Linker:
         self.roots = cut(self.nodes.select("cid", F.col("cid").alias("root")))
 
     def placed(self) -> DataFrame:
-        """``key, cid, root`` in buckets that hold several components."""
-        rooted = self.members.join(self.roots, "cid").select("key", "cid", "root")
+        """``key, band, cid, root`` in buckets that hold several components."""
+        rooted = self.members.join(self.roots, "cid").select("key", "band", "cid", "root")
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         mixed = mixed.filter("low < high").select("key")
         return cut(rooted.join(mixed, "key"))
@@ -246,36 +251,56 @@ class Linker:
     def star(self, placed: DataFrame, seed: int) -> DataFrame:
         """``a, b``: each member with the representative of its bucket."""
         order = F.xxhash64("cid", "key", F.lit(seed))
+        if seed == 0:
+            placed = placed.join(self.nodes, "cid")
+            order = -F.col("central")
         chosen = placed.groupBy("key").agg(F.min(F.struct(order.alias("o"), "cid", "root")).alias("r"))
         chosen = chosen.select("key", F.col("r.cid").alias("rep"), F.col("r.root").alias("rep_root"))
         paired = placed.join(chosen, "key").filter("root <> rep_root")
         return paired.select(F.col("cid").alias("a"), F.col("rep").alias("b")).distinct()
 
     def across(self, placed: DataFrame) -> DataFrame:
-        """``a, b``: all pairs of a bucket across its components."""
+        """``a, b``: pairs across the components of a bucket that the sketches allow.
+
+        Those in the largest component of a bucket don't meet each other, and a pair comes
+        from the first of the bands it shares.
+        """
         counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         major = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"))
-        outside = placed.join(major.select("key", F.col("m.root").alias("major")), "key")
+        held = placed.join(self.sketches, "cid")
+        outside = held.join(major.select("key", F.col("m.root").alias("major")), "key")
         outside = outside.filter("root <> major").select(
-            F.col("key").alias("_key"), F.col("cid").alias("a"), F.col("root").alias("_root"), "major"
-        )
-        paired = placed.join(outside, placed["key"] == outside["_key"])
+            F.col("key").alias("_key"), F.col("cid").alias("a"), F.col("root").alias("_root"),
+            "major", F.col("sketch").alias("_sketch"), F.col("bands").alias("_bands"),
+        )
         # Two outside the largest component meet from both sides; one is enough.
         once = (F.col("root") == F.col("major")) | (F.col("a") < F.col("cid"))
-        return (
-            paired.filter((F.col("root") != F.col("_root")) & once)
-            .select("a", F.col("cid").alias("b"))
-            .distinct()
+        near = differing_bits(F.col("sketch"), F.col("_sketch")) <= SKETCH_LIMIT
+        earlier = F.zip_with(
+            F.slice("bands", F.lit(1), F.col("band")),
+            F.slice("_bands", F.lit(1), F.col("band")),
+            lambda x, y: x == y,
+        )
+        first = ~F.exists(earlier, lambda same: same)
+        differ = F.col("root") != F.col("_root")
+        paired = held.join(
+            outside, (F.col("key") == F.col("_key")) & differ & once & near & first
         )
+        return paired.select("a", F.col("cid").alias("b"))
+
+    def untested(self, pairs: DataFrame) -> DataFrame:
+        """``a, b`` of the pairs that weren't tested yet."""
+        if self.tested is None:
+            return pairs
+        ordered = pairs.select("a", "b", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        return ordered.join(self.tested, ["x", "y"], "left_anti").select("a", "b")
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """``a, b, bits`` of the pairs that the sketches allow and that weren't tested yet."""
-        ordered = pairs.select("a", "b", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        if self.tested is not None:
-            ordered = ordered.join(self.tested, ["x", "y"], "left_anti")
         one = self.sketches.select(F.col("cid").alias("a"), F.col("sketch").alias("sa"))
         other = self.sketches.select(F.col("cid").alias("b"), F.col("sketch").alias("sb"))
-        both = ordered.join(small(one, self.size), "a").join(small(other, self.size), "b")
+        both = self.untested(pairs).join(small(one, self.size), "a")
+        both = both.join(small(other, self.size), "b")
         bits = differing_bits(F.col("sa"), F.col("sb")).alias("bits")
         return both.select("a", "b", bits).filter(F.col("bits") <= SKETCH_LIMIT)
 
@@ -318,11 +343,13 @@ class Linker:
             if placed.isEmpty():
                 return self.roots
             pairs = self.estimated(self.star(placed, seed))
-            best = pairs.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("p"))
-            self.merge(self.confirm(best.select("a", F.col("p.b").alias("b"))))
+            # A class has a representative for each of its bands at most.
+            order = Window.partitionBy("a").orderBy("bits", "b")
+            best = pairs.withColumn("place", F.row_number().over(order))
+            self.merge(self.confirm(best.filter(F.col("place") <= COMPARED)))
         placed = self.placed()
         if not placed.isEmpty():
-            self.merge(self.confirm(self.estimated(self.across(placed))))
+            self.merge(self.confirm(self.untested(self.across(placed))))
         return self.roots
 
 
