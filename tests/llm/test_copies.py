@@ -68,7 +68,7 @@ def near_docs():
 def test_components_are_those_of_all_pairs(table, monkeypatch, broadcast):
     if not broadcast:
         monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
-        monkeypatch.setattr(near_duplicates, "STAR_ROUNDS", 0)
+        monkeypatch.setattr(near_duplicates, "COMPARED", 0)
     rows = near_docs()
     found = {r.doc_id: r for r in near_duplicates.components(table(rows)).collect()}
     expected = plain.near_components(rows)

@@ -10,13 +10,14 @@ class, and from there on only classes count.
   beyond ``SKETCH_LIMIT`` are no candidates; that loses a link with a chance of about 1e-6.
 * Candidates are confirmed on their full sets.
 
-Only the components are wanted, so a bucket is never expanded into its pairs.  In a round each
-class is compared with the most promising of the representatives of its buckets.  These are
-the most central members at first, which agree with the most others in their bands and so are
-likely what the others are copies of, and random ones in the later rounds.  What is linked is
-merged.  Few classes are left outside the largest component of their bucket after that.  At
-last these are compared with the members of other components, once in the first bucket that
-a pair shares and only if the sketches allow it.  So no link between components is left out.
+Only the components are wanted, so a bucket is never expanded into its pairs.  First each
+class is compared with the most promising of the representatives of its buckets.  A bucket has
+two: a random one, and the most central one, which agrees with the most others in their bands
+and so is likely what they are copies of.  What is linked is merged.  Then the shingles that
+occur in several components are counted for each class: a pair across components has no others
+in common, so a class with too few of them has no link to find, and in a bucket only those
+pairs meet that have enough for their sizes, whose sketches allow it and that share no earlier
+bucket.  So no link between components is left out, and few pairs are tested in vain.
 """
 
 from __future__ import annotations
@@ -34,8 +35,7 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 SKETCH_WORDS = SKETCH_BITS // 64
 SIMILARITY_PERCENT = 80
-STAR_ROUNDS = 4
-# Representatives a class is compared with in a round, the most promising first.
+# Representatives a class is compared with, the most promising first.
 COMPARED = 2
 WORDS_HELD = 300_000
 
@@ -188,7 +188,9 @@ def connected(edges: DataFrame) -> DataFrame:
     rounds end when nothing changes any more.
     """
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    state = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")))
+    state = both.groupBy(F.col("a").alias("node")).agg(
+        F.least(F.min("a"), F.min("b")).alias("root")
+    )
     total = None
     while True:
         offered = (
@@ -199,7 +201,6 @@ def connected(edges: DataFrame) -> DataFrame:
         lower = state.join(offered, state["node"] == offered["a"], "left").select(
             "node", F.least("root", F.coalesce("offered", "root")).alias("root")
         )
-        lower = cut(lower)
         above = lower.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
         state = cut(
             lower.join(above, lower["root"] == above["_node"]).select(
@@ -248,17 +249,27 @@ class Linker:
         mixed = mixed.filter("low < high").select("key")
         return cut(rooted.join(mixed, "key"))
 
-    def star(self, placed: DataFrame, seed: int) -> DataFrame:
-        """``a, b``: each member with the representative of its bucket."""
-        order = F.xxhash64("cid", "key", F.lit(seed))
-        if seed == 0:
-            placed = placed.join(self.nodes, "cid")
-            order = -F.col("central")
-        chosen = placed.groupBy("key").agg(F.min(F.struct(order.alias("o"), "cid", "root")).alias("r"))
-        chosen = chosen.select("key", F.col("r.cid").alias("rep"), F.col("r.root").alias("rep_root"))
-        paired = placed.join(chosen, "key").filter("root <> rep_root")
+    def star(self) -> DataFrame:
+        """``a, b``: each member with the representatives of its bucket."""
+        central = self.members.join(self.nodes, "cid")
+        random = F.struct(F.xxhash64("cid", "key").alias("o"), "cid")
+        chosen = central.groupBy("key").agg(
+            F.min(random).alias("random"), F.max(F.struct("central", "cid")).alias("best")
+        )
+        chosen = chosen.select("key", F.explode(F.array("random.cid", "best.cid")).alias("rep"))
+        paired = self.members.join(chosen, "key").filter("cid <> rep")
         return paired.select(F.col("cid").alias("a"), F.col("rep").alias("b")).distinct()
 
+    def outer_shingles(self, placed: DataFrame) -> DataFrame:
+        """``cid, n_shingles, outer``: how many shingles occur in other components too."""
+        rooted = placed.select("cid", "root").distinct().join(self.sets, "cid")
+        listed = rooted.select("cid", "root", F.explode("shingles").alias("shingle"))
+        across = listed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        shared = across.filter("lo < hi").select("shingle")
+        outer = listed.join(shared, "shingle").groupBy("cid").agg(F.count(F.lit(1)).alias("outer"))
+        sizes = rooted.select("cid", F.size("shingles").alias("n_shingles"))
+        return sizes.join(outer, "cid")
+
     def across(self, placed: DataFrame) -> DataFrame:
         """``a, b``: pairs across the components of a bucket that the sketches allow.
 
@@ -267,12 +278,19 @@ class Linker:
         """
         counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         major = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"))
-        held = placed.join(self.sketches, "cid")
+        enough = self.outer_shingles(placed)
+        # With J = percent / 100, common shingles are at least J of either set.
+        possible = enough.filter(100 * F.col("outer") >= self.percent * F.col("n_shingles"))
+        held = placed.join(possible, "cid").join(self.sketches, "cid")
         outside = held.join(major.select("key", F.col("m.root").alias("major")), "key")
         outside = outside.filter("root <> major").select(
             F.col("key").alias("_key"), F.col("cid").alias("a"), F.col("root").alias("_root"),
             "major", F.col("sketch").alias("_sketch"), F.col("bands").alias("_bands"),
+            F.col("outer").alias("_outer"), F.col("n_shingles").alias("_n"),
         )
+        # ... and at least J / (1 + J) of the sum of both sizes.
+        fewer = F.least("outer", "_outer") * (100 + self.percent)
+        fits = fewer >= self.percent * (F.col("n_shingles") + F.col("_n"))
         # Two outside the largest component meet from both sides; one is enough.
         once = (F.col("root") == F.col("major")) | (F.col("a") < F.col("cid"))
         near = differing_bits(F.col("sketch"), F.col("_sketch")) <= SKETCH_LIMIT
@@ -284,7 +302,7 @@ class Linker:
         first = ~F.exists(earlier, lambda same: same)
         differ = F.col("root") != F.col("_root")
         paired = held.join(
-            outside, (F.col("key") == F.col("_key")) & differ & once & near & first
+            outside, (F.col("key") == F.col("_key")) & differ & once & fits & near & first
         )
         return paired.select("a", F.col("cid").alias("b"))
 
@@ -338,15 +356,12 @@ class Linker:
 
     def run(self) -> DataFrame:
         """``cid, root`` of the classes that share a bucket with others."""
-        for seed in range(STAR_ROUNDS):
-            placed = self.placed()
-            if placed.isEmpty():
-                return self.roots
-            pairs = self.estimated(self.star(placed, seed))
-            # A class has a representative for each of its bands at most.
-            order = Window.partitionBy("a").orderBy("bits", "b")
-            best = pairs.withColumn("place", F.row_number().over(order))
-            self.merge(self.confirm(best.filter(F.col("place") <= COMPARED)))
+        if not self.size:
+            return self.roots
+        # A class has two representatives for each of its bands at most.
+        order = Window.partitionBy("a").orderBy("bits", "b")
+        best = self.estimated(self.star()).withColumn("place", F.row_number().over(order))
+        self.merge(self.confirm(best.filter(F.col("place") <= COMPARED)))
         placed = self.placed()
         if not placed.isEmpty():
             self.merge(self.confirm(self.untested(self.across(placed))))

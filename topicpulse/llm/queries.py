@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicpulse.llm import (
     bpe,
@@ -13,6 +13,7 @@ from topicpulse.llm import (
     kd_sharding,
     line_dedup,
     near_duplicates,
+    oracle,
     quality_model,
     quality_rules,
     secrets,
@@ -39,12 +40,12 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.apply_rules(
+    judged = quality_rules.apply_rules(
         read(spark, folder, "documents"), read(spark, folder, "labels")
-    ).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "rejected_by",
-    )
+    )
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    reasons = F.array_join("rejected_by", ",").alias("rejected_by")
+    return judged.select("doc_id", *counts, "base_failed", "kept", reasons)
 
 
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,4 +90,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
