@@ -62,7 +62,9 @@ def ranked(places: DataFrame, pair: list[str]) -> DataFrame:
         .select(*pair, "first")
     )
     ordered = cut(groups.orderBy(*pair).withColumn("_rank", F.monotonically_increasing_id()))
-    joined = places.join(small(ordered), pair)
+    # A shuffle join: the groups are too many for the driver, and adaptive execution splits
+    # the places of a frequent line.
+    joined = places.join(ordered, pair)
     later = F.struct(*PLACE) > F.col("first")
     return cut(joined.select(*PLACE, "words", F.col("_rank").alias("rank"), later.alias("later")))
 
