@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from topicpulse.llm.common import map_rows, segments, split_long
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 200_000
+PAIRS_HELD = 500_000
 # Units over this length are not kept in the memo.
 MEMO_LENGTH = 64
 PART_CHARS = 1 << 20
@@ -53,7 +54,7 @@ class MergeReplay:
         pair = (left, right)
         found = self.pair_ranks.get(pair)
         if found is None:
-            if len(self.pair_ranks) > 2_000_000:
+            if len(self.pair_ranks) > PAIRS_HELD:
                 self.pair_ranks.clear()
             found = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
             self.pair_ranks[pair] = found
