@@ -30,7 +30,9 @@ MEMO_ENTRIES = 200_000
 PAIRS_HELD = 500_000
 # Units over this length are not kept in the memo.
 MEMO_LENGTH = 64
-PART_CHARS = 1 << 20
+PART_CHARS = 1 << 19
+# Texts that are split into units at a time.
+PORTION_BYTES = 1 << 20
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -247,7 +249,7 @@ def encode(
 
     frame = docs.select(F.col(id_col), F.col(text_col).cast("string").alias(text_col))
     kind = frame.schema[id_col].dataType.simpleString()
-    return map_rows(frame, make, f"`{id_col}` {kind}, ids binary", text_col)
+    return map_rows(frame, make, f"`{id_col}` {kind}, ids binary", text_col, PORTION_BYTES)
 
 
 def decode(
