@@ -164,3 +164,18 @@ def test_many_windows_are_joined_by_a_shuffle(table, benchmark_table, monkeypatc
     assert leaks(table, benchmark_table, [(1, "x " + ITEM), (2, "y")], [(100, ITEM)]) == [(1, 100)]
     kept = decontaminate.remove_leaks(table([(1, "x " + ITEM), (2, "y")]), benchmark_table([(100, ITEM)]))
     assert [r.doc_id for r in kept.collect()] == [2]
+
+
+QUESTION = (
+    "Tom has 12 red apples and 5 green pears in the old basket. Mary takes 7 of them home on Monday "
+    "and gives 3 plums back. How many pieces of fruit are there in the basket of Tom at the end?"
+)
+
+
+def test_a_conflict_takes_only_its_windows(table, benchmark_table):
+    meet = QUESTION.replace("12", "30").replace("5", "30")
+    taken = QUESTION.replace("5", "3")
+    several = QUESTION.replace("Tom has", "Ann has")
+    other = "Ann bought 9 blue hats and 4 red scarves in the new market. Bob left 2 of them there."
+    docs = [(1, "before " + meet), (2, taken + " after"), (3, several), (4, other)]
+    assert leaks(table, benchmark_table, docs, [(1, QUESTION)]) == [(1, 1), (2, 1), (3, 1)]
