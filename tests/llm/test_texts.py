@@ -179,3 +179,15 @@ def test_a_conflict_takes_only_its_windows(table, benchmark_table):
     other = "Ann bought 9 blue hats and 4 red scarves in the new market. Bob left 2 of them there."
     docs = [(1, "before " + meet), (2, taken + " after"), (3, several), (4, other)]
     assert leaks(table, benchmark_table, docs, [(1, QUESTION)]) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_names_without_the_case_of_the_document(table, benchmark_table):
+    renamed = QUESTION.replace("Tom", "Ann").replace("Mary", "Bob")
+    docs = [
+        (1, renamed), (2, renamed.lower()), (3, renamed.upper()), (4, QUESTION.upper()), (5, QUESTION.lower()),
+        (6, QUESTION.replace(" ", "\n")), (7, "It is so that " + renamed), (8, "Ann has 12 hats. How many are there?"),
+    ]
+    german = "Der Hund von Anna Berger frisst am Abend 3 Knochen und der Kater Moritz Maier trinkt am Morgen 2 Liter Milch"
+    docs += [(9, german.upper()), (10, german.replace(" ", "\r\n")), (11, german.lower())]
+    found = leaks(table, benchmark_table, docs, [(1, QUESTION), (2, german)])
+    assert found == [*((n, 1) for n in range(1, 8)), (9, 2), (10, 2), (11, 2)]
