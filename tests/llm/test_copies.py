@@ -44,6 +44,13 @@ def test_lines_by_shuffles_and_of_repeated_rows(table, monkeypatch):
     assert line_dedup.dedup_lines(table([])).count() == 0
 
 
+def test_equal_rows_of_many_lines_are_one_document(table):
+    text = "\n".join(f"line {k} of a document of many lines" for k in range(200))
+    assert line_dedup.line_places(table([(1, text), (1, text)])).count() == 200
+    found = line_dedup.dedup_lines(table([(1, text), (1, text), (2, text)])).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (1, 0), (2, 200)]
+
+
 def near_docs():
     draw = random.Random(11)
     vocabulary = ["".join(draw.choices("abcdefghijklmnop", k=4)) for _ in range(3000)]

@@ -40,7 +40,9 @@ def _keyed(docs: DataFrame, *extra) -> DataFrame:
 def line_places(docs: DataFrame) -> DataFrame:
     """``doc_order, text_key, at, words, id_low, id_high``: one row for each line with a word."""
     lines = F.split(F.col("text").cast("string"), _LINE_END)
-    placed = _keyed(docs, F.posexplode_outer(lines).alias("at", "line"))
+    # Rows equal in id and text are one document: places must be unique for ``doubled``.
+    single = _keyed(docs, F.col("text").cast("string").alias("text")).dropDuplicates(DOC)
+    placed = single.select(*DOC, F.posexplode_outer(lines).alias("at", "line"))
     trimmed = placed.select(*PLACE, F.regexp_replace("line", _EDGES, "").alias("line"))
     return trimmed.filter("line <> ''").select(
         *PLACE,
