@@ -27,6 +27,13 @@ def test_article_without_what_surrounds_it():
     ]
 
 
+def test_parts_of_names_hide_no_text():
+    page = """<article><h1>Head</h1><section id="related-work"><h2 id="social-history">History</h2>
+    <p id="share-price">The price <math><mi>x</mi><mo>+</mo><mn>1</mn></math> of a share.</p></section>
+    <div class="section-header">Start</div><div class="ad">Buy this now</div></article>"""
+    assert html_text.main_text(page).split("\n") == ["Head", "History", "The price x+1 of a share.", "Start"]
+
+
 def test_density_finds_unmarked_text():
     body = "".join(f"<p>{'Words that go on and on in a paragraph. ' * 5}</p>" for _ in range(5))
     links = "".join(f'<li><a href="/{i}">go to page number {i}</a></li>' for i in range(30))

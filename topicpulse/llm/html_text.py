@@ -30,11 +30,14 @@ from topicpulse.llm.common import map_rows
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = set(
     "script style noscript template svg canvas iframe object embed audio video map head title "
-    "nav footer aside form button select textarea input label fieldset dialog menu math".split()
+    "nav footer aside form button select textarea input label fieldset dialog menu annotation "
+    "annotation-xml".split()
 )
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr br img".split()
+    "samp small span strike strong sub sup time tt u var wbr br img "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mtable "
+    "mtr mtd mstyle mpadded mphantom menclose merror mspace mmultiscripts semantics".split()
 )
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_BLOCK = {"p"}
@@ -82,15 +85,20 @@ def _hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) ->
     return False
 
 
-def _named_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether class or id name a menu, an advert, comments and the like."""
-    if tag in ("main", "article", "h1"):
+def _named_aside(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    """Whether class or id name a menu, an advert, comments and the like.
+
+    A heading is never hidden by its name; a section or paragraph, and what stands inside an
+    article, only by a whole name and not by a part of one.
+    """
+    if tag in ("main", "article") or tag in HEADINGS:
         return False
+    split = str.split if in_article or tag in ("section", "p") else _PARTS.findall
     return any(
         word.lower() in ASIDE_WORDS
         for name, value in attrs
         if value and name in ("class", "id")
-        for word in _PARTS.findall(value)
+        for word in split(value)
     )
 
 
@@ -120,7 +128,7 @@ class TreeBuilder(HTMLParser):
                 self._close(SELF_CLOSING[tag], SCOPES[tag])
         parent = self.open[-1]
         in_article = any(n.tag in ("article", "main") for n in self.open)
-        named = bool(attrs) and _named_aside(tag, attrs)
+        named = bool(attrs) and _named_aside(tag, attrs, in_article)
         node = Node(tag, parent, _hidden(tag, attrs, in_article), named)
         parent.children.append(node)
         if tag in ("article", "main") and not named:
