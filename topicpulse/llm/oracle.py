@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from topicpulse.llm import sharded_lloyd as lloyd
 from topicpulse.llm.near_duplicates import SIMILARITY_PERCENT
 from topicpulse.llm.quality_rules import ERROR, GRID_FACTOR, GRID_STEPS, RISK, RULES
 
@@ -113,4 +114,46 @@ SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM judged j LEFT JOIN rejected r ON r.doc_id = j.doc_id
 """
 
-ORACLE = {"op4_quality_rules": QUALITY_RULES, "op5_near_duplicates": NEAR_DUPLICATES}
+
+
+def _lloyd_round(n: int) -> str:
+    """Nearest centroid of every vector, and the means of what each centroid got."""
+    return f"""
+a{n} AS MATERIALIZED (
+    SELECT r, vec_id, xs, j, d FROM (
+        SELECT v.*, c.j, list_sum(list_transform(list_zip(v.xs, c.xs),
+            lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v CROSS JOIN c{n} c)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1),
+m{n} AS (
+    SELECT j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS xs FROM (
+        SELECT j, i, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+            SELECT j, unnest(xs) AS x, unnest(range(1, len(xs) + 1)) AS i FROM a{n})
+        GROUP BY 1, 2) GROUP BY 1),
+c{n + 1} AS MATERIALIZED (
+    SELECT c.j, coalesce(m.xs, c.xs) AS xs FROM c{n} c LEFT JOIN m{n} m ON m.j = c.j)"""
+
+
+SHARDED_LLOYD = f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding,
+        lambda x: floor({lloyd.SCALE} * x::DOUBLE)::BIGINT) AS xs
+    FROM embeddings WHERE len(embedding) = {lloyd.DIMENSIONS} AND len(list_filter(embedding,
+        lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = {lloyd.DIMENSIONS}),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY mark NULLS LAST, xs) - 1 AS j, xs FROM (
+        SELECT sha256('1:' || vec_id) AS mark, xs FROM v
+        ORDER BY mark NULLS LAST, xs LIMIT {lloyd.K})),
+{",".join(_lloyd_round(n) for n in range(lloyd.ROUNDS + 1))}
+SELECT a.vec_id, a.j::INT AS cluster, a.d AS distance,
+    (sum(a.d) OVER (PARTITION BY a.j))::BIGINT AS cluster_inertia,
+    (sum(a.d) OVER ())::BIGINT AS inertia,
+    sha256(list_aggregate(list_transform(c.xs, lambda x: x::VARCHAR), 'string_agg', ','))
+        AS centroid_sha256
+FROM a{lloyd.ROUNDS} a JOIN c{lloyd.ROUNDS} c ON c.j = a.j
+"""
+
+ORACLE = {
+    "op4_quality_rules": QUALITY_RULES,
+    "op5_near_duplicates": NEAR_DUPLICATES,
+    "op11_sharded_lloyd": SHARDED_LLOYD,
+}

@@ -17,6 +17,7 @@ from topicpulse.llm import (
     quality_model,
     quality_rules,
     secrets,
+    sharded_lloyd,
     token_counts,
 )
 from topicpulse.llm.common import read
@@ -74,6 +75,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_counts(read(spark, folder, "documents"))
 
 
+def op11_sharded_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    return sharded_lloyd.cluster(read(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_scores,
         op9_token_counts,
         op10_secrets,
+        op11_sharded_lloyd,
     )
 }
 
