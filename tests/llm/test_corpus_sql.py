@@ -23,8 +23,8 @@ def test_query_matches_sql(spark, name):
     cursor = connection.execute(queries.ORACLE[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(frame.columns)
-    got = sorted(tuple(r[c] for c in columns) for r in frame.collect())
-    assert got == sorted(cursor.fetchall())
+    order = lambda rows: sorted(rows, key=lambda r: [(x is not None, x) for x in r])
+    assert order(tuple(r[c] for c in columns) for r in frame.collect()) == order(cursor.fetchall())
 
 
 def odd_rows():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from topicpulse.llm import sharded_lloyd as lloyd
+from topicpulse.llm import conversation_trie as trie, sharded_lloyd as lloyd
 from topicpulse.llm.near_duplicates import SIMILARITY_PERCENT
 from topicpulse.llm.quality_rules import ERROR, GRID_FACTOR, GRID_STEPS, RISK, RULES
 
@@ -152,8 +152,57 @@ SELECT a.vec_id, a.j::INT AS cluster, a.d AS distance,
 FROM a{lloyd.ROUNDS} a JOIN c{lloyd.ROUNDS} c ON c.j = a.j
 """
 
+_CRC_STEP = """list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"""
+
+# The conversation with the smallest id in a node has the node's ancestors as its prefixes.
+CONVERSATION_TRIE = f"""
+WITH turns AS MATERIALIZED (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % {trie.FAMILY} AS head, count(*) AS n,
+        xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''),
+            lambda s: ascii(s)::BIGINT), lambda c, b: {_CRC_STEP}), 4294967295) % {trie.HEADS} AS h
+    FROM turns GROUP BY 1),
+given AS (
+    SELECT c.*, least(c.h, coalesce(t.n, 0)) AS g FROM convs c LEFT JOIN convs t ON t.conv_id = c.head),
+rebuilt AS (
+    SELECT c.conv_id, t.i AS pos, role, text
+    FROM given c JOIN turns t ON t.conv_id = c.head AND t.i <= c.g
+    UNION ALL SELECT c.conv_id, c.g + t.i - c.h, role, text
+    FROM given c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h),
+path AS MATERIALIZED (
+    SELECT conv_id, pos, octet_length(encode(text)) AS bytes, md5(string_agg(
+        length(role) || ':' || role || length(text) || ':' || text, '') OVER (
+        PARTITION BY conv_id ORDER BY pos)) AS k FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+ended AS (SELECT *, pos = max(pos) OVER (PARTITION BY conv_id) AS is_end FROM path),
+nodes AS MATERIALIZED (
+    SELECT k, pos AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), ''))
+            AS ends_sha256
+    FROM ended GROUP BY 1, 2),
+tied AS MATERIALIZED (
+    SELECT n.*, p.k AS parent FROM nodes n
+    LEFT JOIN path p ON p.conv_id = n.conv_id AND p.pos = n.depth - 1),
+kids AS (SELECT parent, count(*) AS n FROM tied WHERE parent IS NOT NULL GROUP BY 1),
+sums AS (
+    SELECT a.k, sum((n.n_convs - 1) * n.bytes) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+    FROM nodes n LEFT JOIN kids ON kids.parent = n.k
+    JOIN path a ON a.conv_id = n.conv_id AND a.pos <= n.depth GROUP BY 1)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs,
+    coalesce(kids.n, 0) AS n_children, sums.leaves AS n_leaves,
+    sums.saved::BIGINT AS saved_tokens, t.ends_sha256
+FROM tied t JOIN sums ON sums.k = t.k
+LEFT JOIN kids ON kids.parent = t.k LEFT JOIN nodes p ON p.k = t.parent
+"""
+
 ORACLE = {
     "op4_quality_rules": QUALITY_RULES,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op11_sharded_lloyd": SHARDED_LLOYD,
+    "op12_conversation_trie": CONVERSATION_TRIE,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicpulse.llm import (
     bpe,
+    conversation_trie,
     decontaminate,
     html_text,
     kd_sharding,
@@ -79,6 +80,10 @@ def op11_sharded_lloyd(spark: SparkSession, folder: str) -> DataFrame:
     return sharded_lloyd.cluster(read(spark, folder, "embeddings"))
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(read(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_secrets,
         op11_sharded_lloyd,
+        op12_conversation_trie,
     )
 }
 
