@@ -12,6 +12,7 @@ from topicpulse.llm import (
     decontaminate,
     html_text,
     kd_sharding,
+    kneser_ney,
     line_dedup,
     near_duplicates,
     oracle,
@@ -84,6 +85,10 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.prefix_trie(read(spark, folder, "conversations"))
 
 
+def op13_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.score_corpus(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_secrets,
         op11_sharded_lloyd,
         op12_conversation_trie,
+        op13_kneser_ney,
     )
 }
 
