@@ -110,3 +110,152 @@ def test_publish_in_batches_covers_every_row(spark):
 def test_names_of_run_variants():
     assert sinks.suffixed("user_features", "rf") == "user_features_rf"
     assert sinks.suffixed("user_features") == "user_features"
+
+
+def _rows(*values):
+    return [(v, v * 2) for v in values]
+
+
+def test_a_run_is_appended_once(spark, tmp_path):
+    target = str(tmp_path / "t")
+    users = spark.createDataFrame([("a", "ann"), ("c", "cy")], "id string, screen_name string")
+    records = spark.createDataFrame([("a", (1.0,)), ("b", (2.0,))], RECORDS)
+    schema = sinks.enrich_users(users, records).schema
+    assert sinks.read_appended(spark, target, schema).count() == 0
+    for _ in range(2):
+        sinks.append_enriched_users(users, records, target, run="2024-01")
+    sinks.append_enriched_users(users.limit(1), records, target, run="2024-02")
+    # Two runs that were killed before their marker: one is repeated, with fewer rows left.
+    for run in ("2024-03", "2024-04"):
+        sinks.enrich_users(users, records).write.parquet(f"{target}/run={run}")
+    assert sinks.append_once(sinks.enrich_users(users.limit(1), records), target, "2024-03")
+    stored = sinks.read_appended(spark, target, schema)
+    assert stored.columns == ["id_str", "screen_name", "score", "run"]
+    assert sorted(r.run for r in stored.collect()) == ["2024-01", "2024-01", "2024-02", "2024-03"]
+
+
+def test_names_of_runs_are_checked(spark, tmp_path):
+    rows = spark.createDataFrame([("1",)], "run string")
+    for name in ("", "_x", "a/b", "a=b", ".."):
+        with pytest.raises(ValueError, match="letters"):
+            sinks.append_once(rows.toDF("id"), str(tmp_path), name)
+    with pytest.raises(ValueError, match="named"):
+        sinks.append_once(rows, str(tmp_path), "one")
+
+
+EDGES = "Source string, Target string, Category string"
+
+
+def graph_at(spark, location):
+    nodes, edges = sinks.read_graph(spark, location)
+    return sorted(r.id for r in nodes.collect()), sorted(map(tuple, edges.collect()))
+
+
+def test_overlapping_graphs_merge_to_their_union(spark, tmp_path, monkeypatch):
+    location = str(tmp_path / "g")
+    first = [("a", "b", "1"), ("b", "c", "1"), ("a", "b", "x/y"), ("a", "a", None), ("a", "b", "1")]
+    second = [("b", "c", "1"), ("c", "d", "1"), ("d", "a", "x/y"), ("e", "f", "z")]
+    assert graph_at(spark, location) == ([], [])
+    assert sinks.merge_graph(spark.createDataFrame(first, EDGES), location, "one")
+    assert sinks.merge_graph(spark.createDataFrame(second, EDGES), location, "two")
+    assert not sinks.merge_graph(spark.createDataFrame([("x", "y", "q")], EDGES), location, "one")
+    nodes, edges = sinks.read_graph(spark, location)
+    assert sorted(r.id for r in nodes.collect()) == list("abcdef")
+    order = lambda rows: sorted(rows, key=str)
+    assert order(map(tuple, edges.collect())) == order(set(first) | set(second))
+    assert sinks.merge_graph(spark.createDataFrame([], EDGES), location, "none")
+    assert sinks.read_graph(spark, location)[1].count() == len(set(first) | set(second))
+
+
+def test_a_merge_that_broke_off_is_finished(spark, tmp_path, monkeypatch):
+    location = str(tmp_path / "g")
+    monkeypatch.setattr(sinks, "EDGE_PARTS", 1)
+    sinks.merge_graph(spark.createDataFrame([("a", "b", "A"), ("c", "d", "B")], EDGES), location, "one")
+    swap = sinks.KeyedTable.swap
+
+    def broken(table, folder):
+        if table.location.endswith("edges"):
+            raise OSError("gone")
+        swap(table, folder)
+
+    monkeypatch.setattr(sinks.KeyedTable, "swap", broken)
+    more = spark.createDataFrame([("a", "e", "A")], EDGES)
+    with pytest.raises(OSError):
+        sinks.merge_graph(more, location, "two")
+    assert (tmp_path / "g" / "_staged" / "two").is_dir()
+    monkeypatch.setattr(sinks.KeyedTable, "swap", swap)
+    # A partition was already emptied when it broke off.
+    gone = next((tmp_path / "g" / "edges").glob("Category=A/part=*"))
+    for file in gone.iterdir():
+        file.unlink()
+    assert not sinks.merge_graph(more, location, "two")  # finished before it is looked up
+    assert graph_at(spark, location) == (list("abcde"), [("a", "b", "A"), ("a", "e", "A"), ("c", "d", "B")])
+    assert not list((tmp_path / "g" / "_staged").glob("*"))
+
+
+def test_a_merge_leaves_other_partitions_alone(spark, tmp_path):
+    location = str(tmp_path / "g")
+    sinks.merge_graph(spark.createDataFrame([("a", "b", "A"), ("c", "d", "B")], EDGES), location, "one")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "g" / "edges").glob("Category=B/*/*.parquet")}
+    sinks.merge_graph(spark.createDataFrame([("a", "e", "A")], EDGES), location, "two")
+    assert before and {p: p.stat().st_mtime_ns for p in before} == before
+
+
+def test_the_newest_row_of_a_key_stays(spark):
+    schema = "k string, v int, w string"
+    stored = spark.createDataFrame([("a", 9, "old"), ("b", 1, None), (None, 1, "old")], schema)
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("c", None, None), (None, 0, "new")], schema)
+    found = {tuple(r) for r in sinks.newest(rows, stored, ["k"]).collect()}
+    assert found == {("a", 1, "y"), ("b", 1, None), ("c", None, None), (None, 0, "new")}
+
+
+def receiver(folder, fails=()):
+    """Writes a file for every delivery, and fails once for some batches."""
+    folder = str(folder)
+
+    def send(batch_id, rows):
+        import os
+        import uuid
+
+        os.makedirs(folder, exist_ok=True)
+        name = batch_id.replace("/", "_")
+        if name.rpartition("_")[2] in fails and not os.path.exists(f"{folder}/failed_{name}"):
+            open(f"{folder}/failed_{name}", "w").close()
+            raise OSError("the store is away")
+        with open(f"{folder}/{name}.{uuid.uuid4().hex}", "w") as out:
+            out.writelines(f"{r.Source} {r.Target}\n" for r in rows)
+
+    return send
+
+
+def deliveries(folder):
+    return {p.name: p.read_text().split("\n")[:-1] for p in folder.iterdir() if "failed" not in p.name}
+
+
+def test_batches_are_sent_once_though_sending_fails(spark, tmp_path):
+    edges = [(f"n{k}", f"m{k % 7}", "A") for k in range(200)] + [("hot", "x", "A")] * 100
+    frame = spark.createDataFrame(edges, EDGES)
+    ledger = str(tmp_path / "ledger")
+    whole = receiver(tmp_path / "whole")
+    sinks.publish_once(frame, whole, ["Source"], str(tmp_path / "other"), "p", size=20)
+    assert all(len(rows) <= 20 for rows in deliveries(tmp_path / "whole").values())
+    halting = receiver(tmp_path / "sent", fails=("3-0", "5-0", "9-0"))
+    with pytest.raises(Exception, match="the store is away"):
+        sinks.publish_once(frame, halting, ["Source"], ledger, "p", size=20)
+    before = deliveries(tmp_path / "sent")
+    for attempt in range(6):
+        try:
+            sinks.publish_once(frame.repartition(5 + attempt), halting, ["Source"], ledger, "p", size=20)
+            break
+        except Exception as error:
+            assert "the store is away" in str(error)
+    after = deliveries(tmp_path / "sent")
+    assert before.items() <= after.items() and len(before) < len(after)
+    ids = [name.partition(".")[0] for name in after]
+    assert len(ids) == len(set(ids))
+    assert sorted(x for rows in after.values() for x in rows) == sorted(f"{s} {t}" for s, t, _ in edges)
+    of = lambda found: {n.partition(".")[0]: rows for n, rows in found.items()}
+    assert of(after) == of(deliveries(tmp_path / "whole"))
+    with pytest.raises(ValueError, match="not those it began with"):
+        sinks.publish_once(frame.limit(50), halting, ["Source"], ledger, "p", size=20)
+    assert deliveries(tmp_path / "sent") == after

@@ -34,7 +34,8 @@ class Inputs:
     """The shared tables of one folder and what the queries derive from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.keep = Stages(spark).keep
+        self.written = Stages(spark)
+        self.keep = self.written.keep
         self.raw_users = shared_tables.users(spark, folder)
         self.raw_posts = shared_tables.posts(spark, folder)
         self.raw_edges = shared_tables.edges(spark, folder)
@@ -121,6 +122,17 @@ class Inputs:
         )
         return records.merge_records(features, centralities)
 
+    @cached_property
+    def merged_graph(self) -> tuple[DataFrame, DataFrame]:
+        """The labelled graph and then its mirror merged into the same tables, both twice."""
+        folder = f"{self.written.folder}/graph"
+        mirror = self.labelled.select(
+            F.col("Target").alias("Source"), F.col("Source").alias("Target"), "Category"
+        )
+        for name in ("first", "first", "second", "first", "second"):
+            sinks.merge_graph(self.labelled if name == "first" else mirror, folder, name)
+        return sinks.read_graph(self.labelled.sparkSession, folder)
+
     def scaled(self, method: str = "minmax") -> DataFrame:
         return scale_records(self.merged, self.names, self.graph.topics, method)
 
@@ -289,6 +301,16 @@ def graph_nodes(i: Inputs) -> DataFrame:
     return sinks.graph_nodes(i.labelled)
 
 
+@query
+def merged_edges(i: Inputs) -> DataFrame:
+    return i.merged_graph[1]
+
+
+@query
+def merged_nodes(i: Inputs) -> DataFrame:
+    return i.merged_graph[0]
+
+
 # Graph measures
 
 
@@ -381,6 +403,18 @@ def scaled_centralities(i: Inputs) -> DataFrame:
     return unnest(i.scaled(), "centralities", CENTRALITY_MEASURES, i.graph.topics)
 
 
+@query
+def users_appended(i: Inputs) -> DataFrame:
+    """Users and their degrees appended by two runs, each of them twice, and one cut short."""
+    scores = graph.degree_scores(i.graph)
+    users = sinks.enrich_users(i.users, scores)
+    folder = f"{i.written.folder}/appended"
+    for name in ("one", "two", "one", "two"):
+        sinks.append_once(users, folder, name)
+    users.write.parquet(f"{folder}/run=killed")
+    return sinks.read_appended(users.sparkSession, folder, users.schema)
+
+
 @query
 def users_enriched(i: Inputs) -> DataFrame:
     enriched = sinks.enrich_users(i.users, i.scaled())

@@ -301,6 +301,12 @@ ORACLE: dict[str, str] = {
     ),
     "edge_topics": with_parts("tr", 'SELECT DISTINCT c AS "Category" FROM tr'),
     "graph_nodes": with_parts("gnodes", "SELECT id FROM gnodes"),
+    "merged_edges": with_parts(
+        "tr",
+        """SELECT s AS "Source", t AS "Target", c AS "Category" FROM tr
+        UNION SELECT t, s, c FROM tr""",
+    ),
+    "merged_nodes": with_parts("gnodes", "SELECT id FROM gnodes"),
     "degree": _measure("degree", "deg", "degree"),
     "degree_by_user": _measure("degree", "deg", "degree") + " ORDER BY id DESC",
     "closeness": _measure("closeness", "close"),
@@ -338,6 +344,14 @@ ORACLE: dict[str, str] = {
     "scaled_centralities": with_parts(
         "centm", "SELECT id, measure, category, value FROM centm"
     ),
+    "users_appended": with_parts(
+        "users1 tr",
+        """SELECT u.id AS id_str, u.screen_name, d.c AS "Category", d.degree, r.run
+        FROM users1 u LEFT JOIN (
+            SELECT c, id, CAST(count(*) AS DOUBLE) AS degree
+            FROM (SELECT c, s AS id FROM tr UNION ALL SELECT c, t FROM tr) GROUP BY 1, 2) d
+        ON d.id = u.id CROSS JOIN (VALUES ('one'), ('two')) r(run)""",
+    ),
     "users_enriched": with_parts(
         "users1 names featm centm",
         """SELECT u.id AS id_str, u.screen_name, n.category, f.value AS focus_rate,

@@ -1 +1,10 @@
-"""Readers, writers and schemas."""
+"""Where tables come from and where results go.
+
+Functions that run inside tasks travel by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
