@@ -5,7 +5,8 @@ turns are sorted over all partitions, and the places before a partition are adde
 row for each conversation in a partition.  The key of a prefix is the sum of 128 hashed bits of
 its turns and their places, in chunks of bounded length, so equal prefixes have equal keys.
 
-Totals of subtrees come from contraction, in rounds of joins on the keys of the nodes:
+Totals of subtrees come from contraction, in rounds that bring together what
+meets at the key of a node:
 
 * *Rake*: a leaf is finished.  It is taken out, and what it holds is added to its parent.
 * *Compress*: of a chain of nodes with one child each, those that come before their neighbours
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -40,6 +42,8 @@ ROWS_PER_PARTITION = 500_000
 
 KEY, UP = ["k1", "k2"], ["p1", "p2"]
 TOTALS = ["leaves", "saved"]
+# What a node gets from several children in a round.
+SUMMED = ["children", *[f"g_{t}" for t in TOTALS]]
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -215,43 +219,67 @@ def _order(depth: str) -> Column:
     return F.struct(d.bitwiseAND(-d), d)
 
 
+def _by_key(rows: list[DataFrame]) -> DataFrame:
+    """Rows of several tables that meet at a node: one row of what each of them has for it.
+
+    A sum and a group, and no join: what a common prefix is told by very many children is
+    reduced before it moves.
+    """
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    values = [c for c in both.columns if c not in KEY]
+    found = both.groupBy(*KEY).agg(*[(F.sum if c in SUMMED else F.max)(c).alias(c) for c in values])
+    return found
+
+
+def _keyed(frame: DataFrame, key: list[str], **values: Column) -> DataFrame:
+    """Messages to the nodes whose key is in the columns ``key``."""
+    named = [F.col(c).alias(k) for c, k in zip(key, KEY)]
+    return frame.select(*named, *[v.alias(c) for c, v in values.items()])
+
+
 def _contract(live: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One round: the nodes that stay, the raked ones, and the compressed ones with their child.
 
     ``live`` is ``k1, k2, p1, p2, depth`` with ``leaves, saved``, what a node holds so far, and
     ``up_leaves, up_saved``, what compressed nodes between it and its parent held.
     """
-    child = F.max(F.struct(*[F.col(c).alias(f"c{c[1]}") for c in KEY], F.col("depth").alias("c_depth")))
-    children = live.filter("depth > 0").groupBy(*UP).agg(F.count(F.lit(1)).alias("_n"), child.alias("_c"))
-    of = children.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), "_n", "_c.*")
-    marked = cut(live.join(of, KEY, "left"))
-    raked = marked.filter("depth > 0 AND _n IS NULL")
-    chain = marked.filter("depth > 0 AND _n = 1")
-    # A node is alone under its parent if that has one child, so these joins are one to one.
-    above = chain.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("depth").alias("a_depth"))
-    below = marked.select(
-        F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("_n").alias("c_n"),
-        *[F.col(f"up_{t}").alias(f"c_{t}") for t in TOTALS],
-    )
-    near = chain.join(above, UP, "left").join(below, ["c1", "c2"])
-    first = F.col("a_depth").isNull() | (_order("depth") < _order("a_depth"))
-    next_first = (F.col("c_n") > 1) | (_order("depth") < _order("c_depth"))
-    packed = cut(near.filter(F.col("c_n").isNotNull() & first & next_first))
-    given = raked.groupBy(*UP).agg(*[F.sum(F.col(t) + F.col(f"up_{t}")).alias(f"g_{t}") for t in TOTALS])
-    given = given.withColumnsRenamed({"p1": "k1", "p2": "k2"})
-    lifted = packed.select(
-        F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.col("p1").alias("n1"), F.col("p2").alias("n2"),
-        *[(F.col(t) + F.col(f"up_{t}")).alias(f"l_{t}") for t in TOTALS],
-    )
-    stay = marked.filter("depth = 0 OR _n IS NOT NULL").join(packed.select(*KEY), KEY, "left_anti")
-    moved = stay.join(given, KEY, "left").join(lifted, KEY, "left").select(
+    one = F.lit(1).cast("bigint")
+    child = F.struct(*KEY, F.col("depth"), *[f"up_{t}" for t in TOTALS])
+    to_parent = _keyed(live.filter("depth > 0"), UP, children=one, child=child)
+    marked = cut(_by_key([live, to_parent]))
+    raked = marked.filter("depth > 0 AND children IS NULL")
+    alone = (F.col("depth") > 0) & (F.col("children") == 1)
+    # A node of a chain hears of its parent, if that is in the chain too, and of its child.
+    below = marked.filter(alone).select(F.col("child.k1").alias("b1"), F.col("child.k2").alias("b2"), "depth")
+    from_parent = _keyed(below, ["b1", "b2"], a_depth=F.col("depth"))
+    from_child = _keyed(marked.filter("depth > 0"), UP, grand=F.coalesce("children", F.lit(0)))
+    known = cut(_by_key([marked, from_parent, from_child]))
+    before = F.col("a_depth").isNull() | (_order("depth") < _order("a_depth"))
+    after = (F.col("grand") > 1) | (_order("depth") < _order("child.depth"))
+    # Its child is no leaf, as that is raked now.
+    out = alone & (F.col("grand") > 0) & before & after
+    packed = known.filter(out)
+    given = {f"g_{t}": F.col(t) + F.col(f"up_{t}") for t in TOTALS}
+    lifted = {f"l_{t}": F.col(t) + F.col(f"up_{t}") for t in TOTALS} | {"n1": F.col("p1"), "n2": F.col("p2")}
+    moved = _by_key(
+        [
+            known.filter("depth = 0 OR children IS NOT NULL").filter(~out).select(*KEY, *UP, "depth", *TOTALS, *[f"up_{t}" for t in TOTALS]),
+            _keyed(known.filter("depth > 0 AND children IS NULL"), UP, **given),
+            _keyed(packed.withColumns({"b1": F.col("child.k1"), "b2": F.col("child.k2")}), ["b1", "b2"], **lifted),
+        ]
+    ).select(
         *KEY,
         *[F.coalesce(f"n{i}", f"p{i}").alias(f"p{i}") for i in (1, 2)],
         "depth",
         *[(F.col(t) + F.coalesce(f"g_{t}", F.lit(0))).alias(t) for t in TOTALS],
         *[(F.col(f"up_{t}") + F.coalesce(f"l_{t}", F.lit(0))).alias(f"up_{t}") for t in TOTALS],
     )
-    kept = packed.select(*KEY, "c1", "c2", *[(F.col(t) + F.col(f"c_{t}")).alias(t) for t in TOTALS])
+    kept = packed.select(
+        *KEY,
+        F.col("child.k1").alias("c1"),
+        F.col("child.k2").alias("c2"),
+        *[(F.col(t) + F.col(f"child.up_{t}")).alias(t) for t in TOTALS],
+    )
     return cut(moved), raked.select(*KEY, *TOTALS), kept
 
 
@@ -272,11 +300,12 @@ def subtree_totals(nodes: DataFrame) -> DataFrame:
         totals = totals.unionByName(raked)
     totals = cut(totals)
     for chain in reversed(packed):
-        under = totals.select(
-            F.col("k1").alias("c1"), F.col("k2").alias("c2"), *[F.col(t).alias(f"c_{t}") for t in TOTALS]
-        )
-        found = chain.join(under, ["c1", "c2"]).select(
-            *KEY, *[(F.col(t) + F.col(f"c_{t}")).alias(t) for t in TOTALS]
+        # A node is the child of one compressed node in a round.
+        parent = F.struct(*KEY, *TOTALS)
+        met = _by_key([totals, _keyed(chain, ["c1", "c2"], parent=parent)]).filter("parent IS NOT NULL")
+        found = met.select(
+            *[F.col(f"parent.{k}").alias(k) for k in KEY],
+            *[(F.col(t) + F.col(f"parent.{t}")).alias(t) for t in TOTALS],
         )
         totals = cut(totals.unionByName(found))
     return totals
