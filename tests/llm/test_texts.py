@@ -154,9 +154,10 @@ def test_leaks_by_template(table, benchmark_table):
     ]
     items = [(100, ITEM), (101, None), (102, ""), (103, "two words"), (100, None)]
     found = leaks(table, benchmark_table, [d for d in docs if d[0] is not None], items)
-    assert found == [(1, 100), (2, 100), (8, 100), (10, 100)]
+    # The whole item in capitals is a copy of it; of document 3 too few windows are left.
+    assert found == [(1, 100), (2, 100), (5, 100), (8, 100), (10, 100)]
     kept = decontaminate.remove_leaks(table(docs), benchmark_table(items)).collect()
-    assert sorted(r.doc_id for r in kept) == [3, 4, 5, 6, 7, 9]
+    assert sorted(r.doc_id for r in kept) == [3, 4, 6, 7, 9]
 
 
 def test_short_items_and_empty_tables(table, benchmark_table):
