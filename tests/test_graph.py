@@ -126,7 +126,7 @@ def test_closeness_in_blocks_is_that_of_single_searches(spark, direction, end, h
 def test_many_batches_end_in_one_table(spark):
     edges = _random_edges(5, [f"n{i:02}" for i in range(60)], 120)
     graph = g.topic_graph(labelled(spark, edges))
-    most = max(120 * 60 // 50, 1)
+    most = max(paths._Search(graph, paths.MAX_VISITS, None)._most_visits() // 50, 1)
     search = paths._Search(graph, most, None)
     assert search.batches >= 50
     batched = paths.path_scores(graph, None, max_visits=most)
