@@ -9,7 +9,7 @@ import struct
 
 import pytest
 
-from topicpulse.llm import bpe, secrets, token_counts
+from topicpulse.llm import bpe, secrets, token_counts, unit_table
 
 tiktoken = pytest.importorskip("tiktoken")
 tokenizers = pytest.importorskip("tokenizers")
@@ -49,6 +49,25 @@ def test_ids_are_those_of_the_library(table, library):
         assert found[n].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_encode_and_decode_of_a_frame(table, library):
+    rows = list(enumerate(texts()[:600]))
+    found = {r.doc_id: r for r in bpe.decode(bpe.encode(table(rows))).collect()}
+    for n, text in rows:
+        ids = library.encode_ordinary(text or "")
+        assert bytes(found[n].ids) == struct.pack(f"<{len(ids)}I", *ids)
+        assert bytes(found[n].decoded) == (text or "").encode()
+
+
+def test_many_buckets_and_small_gatherings_change_nothing(table, monkeypatch):
+    rows = list(enumerate(texts()[:700]))
+    expected = sorted(bpe.round_trip(table(rows)).collect())
+    monkeypatch.setattr(unit_table, "UNITS_HELD", 20)
+    monkeypatch.setattr(unit_table, "UNITS_ENCODED", 3)
+    monkeypatch.setattr(unit_table, "BUCKET_BYTES", 3000)
+    assert sorted(bpe.round_trip(table(rows).repartition(3)).collect()) == expected
+    assert bpe.round_trip(table([])).count() == 0
+
+
 def test_replay_goes_back_to_lower_ranks(library):
     """Merges that make a pair of a lower rank than their own."""
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256 + 9, b"abc": 256 + 1, b"abcd": 256}

@@ -8,9 +8,10 @@ joins the symbols there, and enters only the pairs with the two touched neighbou
 new pair of a lower rank is replayed before the rest of the current one, which makes each word
 come out as if it had been encoded alone.
 
-The portion is a task's share of the texts, cut into parts of bounded size: a join of all
-words of the corpus with a table of all distinct words would move every text several times.
-What a worker has encoded stays in a memo of bounded size.
+``round_trip`` replays over the distinct units of the whole corpus, see ``unit_table``, and
+puts the texts together from the table, which workers map: no text is moved.  ``encode`` is
+for frames that are read once: it replays over the words of a portion of the texts, and what
+a worker has encoded stays in a memo of bounded size.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ from collections.abc import Callable, Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from topicpulse.llm.common import map_rows, segments, split_long
+from topicpulse.llm.common import cut, map_rows, segments, split_long
+from topicpulse.llm.unit_table import UnitTable, coded_units, ragged, write_unit_table
+from topicpulse.operators.lineage import Stages
 
 MEMO_ENTRIES = 200_000
 PAIRS_HELD = 500_000
@@ -287,12 +290,74 @@ def decode(
 
 
 def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``"""
-    coded = decode(encode(docs, vocabulary=vocabulary), vocabulary=vocabulary)
-    ids = F.coalesce(F.col("ids"), F.lit(b""))
-    return coded.select(
-        "doc_id",
-        F.floor(F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
-        F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row.
+
+    The merges are replayed once over the distinct units of the corpus; texts are put together
+    from the table of their ids, and decoded from the ids.
+    """
+    spark = docs.sparkSession
+    shared = _share(docs, vocabulary, None)
+    frame = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    stages = Stages(spark)
+
+    def make_encoder() -> Callable[[list[bytes]], list[bytes]]:
+        import regex
+
+        held = shared.value
+        if "replay" not in held:
+            held["replay"] = MergeReplay(read_ranks(held["content"]))
+        replay, find = held["replay"], regex.compile(held["pattern"]).findall
+
+        def encode_units(units: list[bytes]) -> list[bytes]:
+            split = [find(u.decode("utf-8", "surrogatepass")) for u in units]
+            words = list({w: None for ws in split for w in ws})
+            coded = replay.encode([w.encode("utf-8", "surrogatepass") for w in words])
+            packed = {w: struct.pack(f"<{len(ids)}I", *ids) for w, ids in zip(words, coded)}
+            return [b"".join([packed[w] for w in ws]) for ws in split]
+
+        return encode_units
+
+    folder, buckets = write_unit_table(frame, stages, make_encoder)
+
+    def make() -> Callable[[pa.RecordBatch], dict]:
+        import hashlib
+
+        import numpy as np
+
+        held = shared.value
+        if "token_bytes" not in held:
+            ranks = read_ranks(held["content"])
+            of = {rank: token for token, rank in ranks.items()}
+            tokens = [of.get(n, b"") for n in range(max(of) + 1)]
+            lengths = np.array([len(t) for t in tokens], dtype=np.int64)
+            flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+            held["token_bytes"] = flat, np.cumsum(lengths) - lengths, lengths
+        flat, token_starts, token_lengths = held["token_bytes"]
+        table = UnitTable(folder, buckets)
+
+        def digests(data, ends) -> list[str]:
+            view, starts = memoryview(data).cast("B"), [0, *ends[:-1]]
+            return [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(starts, ends)]
+
+        def apply(batch: pa.RecordBatch) -> dict:
+            units, at, counts = coded_units(batch.column(1))
+            lengths, known = table.ids(units)
+            starts = np.cumsum(lengths) - lengths
+            ids = known[ragged(starts[at], lengths[at])]
+            ends = np.concatenate([[0], np.cumsum(lengths[at])])[np.cumsum(counts)]
+            decoded = flat[ragged(token_starts[ids], token_lengths[ids])]
+            byte_ends = np.concatenate([[0], np.cumsum(token_lengths[ids])])[ends]
+            return {
+                "doc_id": batch.column(0),
+                "n_tokens": np.diff(ends, prepend=0).tolist(),
+                "ids_sha256": digests(ids.astype("<u4"), (ends * 4).tolist()),
+                "decoded_sha256": digests(decoded, byte_ends.tolist()),
+            }
+
+        return apply
+
+    kind = frame.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    found = cut(map_rows(frame, make, schema, "text"))
+    stages.release()
+    return found
