@@ -39,9 +39,9 @@ HELD_OUT_PART = 10
 BASE_ADDED = 0.1
 PARTS = 5000
 # Tokens that are counted together in a task, and tokens of a bucket.
-TOKENS_HELD = 2_000_000
-BUCKET_TOKENS = 4_000_000
-PORTION_BYTES = 8 << 20
+TOKENS_HELD = 1_000_000
+BUCKET_TOKENS = 1_500_000
+PORTION_BYTES = 4 << 20
 # Discounts where a level has no n-gram of one of the counts 1 to 4.
 FALLBACK = (0.5, 1.0, 1.5)
 
@@ -243,6 +243,7 @@ def _portions(batches: Iterator[pa.RecordBatch], order: int):
             if size >= TOKENS_HELD:
                 yield [np.concatenate(x) for x in zip(*held)]
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield [np.concatenate(x) for x in zip(*held)]
 
