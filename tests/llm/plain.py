@@ -44,24 +44,24 @@ def near_components(docs: list[tuple[int, str | None]], percent: int = 80) -> di
 
 
 def removed_lines(docs: list[tuple[int, str | None]], min_words: int) -> dict[int, set[int]]:
-    """Windows of 1, 2, 4, ... lines that stand earlier, of enough words."""
+    """Runs of any number of lines that stand earlier, of enough words."""
     lines = {d: [x.strip(SPACES) for x in LINE_END.split(t or "")] for d, t in docs}
-    removed, length = defaultdict(set), 1
-    while True:
+    removed = defaultdict(set)
+    for length in range(1, max(map(len, lines.values()), default=0) + 1):
         seen, again = set(), False
         for d in sorted(lines):
             for i in range(len(lines[d]) - length + 1):
-                window = tuple(lines[d][i : i + length])
-                if not all(window):
+                run = tuple(lines[d][i : i + length])
+                if not all(run):
                     continue
-                if window in seen:
+                if run in seen:
                     again = True
-                    if sum(len(WORD.findall(x)) for x in window) >= min_words:
+                    if sum(len(WORD.findall(x)) for x in run) >= min_words:
                         removed[d].update(range(i, i + length))
-                seen.add(window)
+                seen.add(run)
         if not again:
-            return removed
-        length *= 2
+            break
+    return removed
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:

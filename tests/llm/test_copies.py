@@ -11,6 +11,7 @@ import pytest
 import corpus_pipeline
 import plain
 from topicpulse.llm import common, kd_sharding, line_dedup, near_duplicates, queries
+from topicpulse.operators.lineage import Stages
 
 EDGES = [None, "", " \n ", "\n\nx\n\n", "one", "tie tie", "tie tie", "a b c d e f\n" * 300]
 
@@ -24,7 +25,7 @@ def lined_docs():
     return list(enumerate(EDGES + docs))
 
 
-@pytest.mark.parametrize("min_words", [1, 5])
+@pytest.mark.parametrize("min_words", [1, 4, 5, 9])
 def test_lines_that_stand_earlier_go(table, min_words):
     rows = lined_docs()
     found = {r.doc_id: r for r in line_dedup.dedup_lines(table(rows), min_words).collect()}
@@ -44,13 +45,23 @@ def test_lines_by_shuffles_and_of_repeated_rows(table, monkeypatch):
     assert line_dedup.dedup_lines(table([])).count() == 0
 
 
-def test_equal_rows_of_many_lines_are_one_document(table):
+def test_equal_rows_of_many_lines_are_one_document(spark, table):
     text = "\n".join(f"line {k} of a document of many lines" for k in range(200))
-    assert line_dedup.line_places(table([(1, text), (1, text)])).count() == 200
+    stages = Stages(spark)
+    assert line_dedup.line_places(table([(1, text), (1, text)]), stages).count() == 200
+    stages.release()
     found = line_dedup.dedup_lines(table([(1, text), (1, text), (2, text)])).collect()
     assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (1, 0), (2, 200)]
 
 
+def test_a_run_is_judged_as_a_whole(table):
+    """Runs of three lines of two words, and of seven lines of one word."""
+    three, seven = "a b\nc d\ne f", "\n".join("stuvwxy")
+    rows = [(1, f"{three}\nx1"), (2, f"y1\n{three}"), (3, f"{seven}\nx2"), (4, f"{seven}\ny2"), (5, "a b\nc d\nz1")]
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(table(rows)).collect()}
+    assert found == {1: rows[0][1], 2: "y1", 3: rows[2][1], 4: "y2", 5: "a b\nc d\nz1"}
+
+
 def near_docs():
     draw = random.Random(11)
     vocabulary = ["".join(draw.choices("abcdefghijklmnop", k=4)) for _ in range(3000)]
