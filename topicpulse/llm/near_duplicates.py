@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topicpulse.llm.common import cut, map_rows, small
+from topicpulse.operators.lineage import Stages
 
 BANDS, ROWS = 30, 4
 SAMPLES = BANDS * ROWS
@@ -187,7 +188,10 @@ def connected(edges: DataFrame) -> DataFrame:
     A round takes the least root among the neighbours and then the root of that root.  The
     rounds end when nothing changes any more.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    # Tables of a round are written: a checkpoint keeps the sizes that Spark estimates for joins,
+    # products that grow over the rounds to numbers of millions of digits on the driver.
+    stages = Stages(edges.sparkSession)
+    both = stages.keep(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     state = both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("a"), F.min("b")).alias("root")
     )
@@ -202,13 +206,15 @@ def connected(edges: DataFrame) -> DataFrame:
             "node", F.least("root", F.coalesce("offered", "root")).alias("root")
         )
         above = lower.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-        state = cut(
+        state = stages.keep(
             lower.join(above, lower["root"] == above["_node"]).select(
                 "node", F.least("root", "_root").alias("root")
             )
         )
         now = state.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
         if now == total or now is None:
+            state = cut(state)
+            stages.release()
             return state
         total = now
 
