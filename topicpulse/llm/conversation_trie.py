@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topicpulse.llm.common import cut
-from topicpulse.operators.lineage import fixed_layout, partitions_for
 from topicpulse.operators.skew import HEAVY_ROWS, heaviest, salted_join
 
 # A conversation shares its first turns with the one whose id is its own less the remainder by
@@ -38,7 +37,6 @@ FAMILY, HEADS = 5, 9
 CHUNK = 1024
 # Characters of a list of ids that are hashed as one row.
 IDS = 1 << 16
-ROWS_PER_PARTITION = 500_000
 
 KEY, UP = ["k1", "k2"], ["p1", "p2"]
 TOTALS = ["leaves", "saved"]
@@ -319,14 +317,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     Columns other than ``conv_id, turn, role, text`` are not read.  Without a conversation
     there is no node, not even a root.
     """
-    spark = conversations.sparkSession
-    turns = cut(numbered_turns(conversations))
-    with fixed_layout(spark, partitions_for(turns.count(), ROWS_PER_PARTITION, least=8)):
-        return _trie(turns)
-
-
-def _trie(turns: DataFrame) -> DataFrame:
-    rows, lengths = rebuilt(turns)
+    rows, lengths = rebuilt(cut(numbered_turns(conversations)))
     lengths = cut(lengths)
     steps = cut(prefixes(rows))
     zero = F.lit(0).cast("bigint")
