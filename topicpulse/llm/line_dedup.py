@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from topicpulse.llm import common
-from topicpulse.llm.common import cut, small
+from topicpulse.llm.common import cut
 from topicpulse.operators.lineage import Stages
 
 MIN_WORDS = 5
@@ -202,8 +202,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     text = F.col("text").cast("string")
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     docs = docs.drop("n_lines", "n_removed")
+    # The only time that texts move, whatever the number of runs.
     joined = docs.join(
-        small(runs),
+        runs,
         (order == F.col("_doc_order")) & (F.xxhash64(text) == F.col("_text_key")),
         "left",
     )
