@@ -7,7 +7,8 @@ import pytest
 import brute_force
 from fixtures import labelled
 from topicpulse.operators import graph as g
-from topicpulse.operators import labelling, pagerank, paths
+from topicpulse.operators import labelling, pagerank, paths, reduction, sketches
+from topicpulse.operators.lineage import Stages
 
 
 def _scores(frame, column):
@@ -126,9 +127,9 @@ def test_closeness_in_blocks_is_that_of_single_searches(spark, direction, end, h
 def test_many_batches_end_in_one_table(spark):
     edges = _random_edges(5, [f"n{i:02}" for i in range(60)], 120)
     graph = g.topic_graph(labelled(spark, edges))
-    most = max(paths._Search(graph, paths.MAX_VISITS, None)._most_visits() // 50, 1)
+    most = max(paths._Search(graph, paths.MAX_VISITS, None)._most_visits() // 16, 1)
     search = paths._Search(graph, most, None)
-    assert search.batches >= 50
+    assert search.batches >= 16
     batched = paths.path_scores(graph, None, max_visits=most)
     whole = paths.path_scores(graph, None)
     assert len(str(batched._jdf.queryExecution().optimizedPlan()).splitlines()) == len(
@@ -137,6 +138,103 @@ def test_many_batches_end_in_one_table(spark):
     assert _scores(batched, "betweenness") == pytest.approx(_scores(whole, "betweenness"))
 
 
+@pytest.mark.parametrize("direction", ["in", "out", "both"])
+def test_closeness_by_sketches_of_few_nodes_is_exact(spark, direction):
+    names = [f"n{i:02}" for i in range(40)]
+    edges = _random_edges(3, names, 90)
+    heavy_rows = 4 if direction == "in" else 1_000_000
+    graph = g.topic_graph(labelled(spark, edges).repartition(3), heavy_rows)
+    got = _scores(sketches.closeness_sketched(graph, direction, True), "closeness")
+    expected = _scores(paths.closeness(graph, direction, True), "closeness")
+    assert got == pytest.approx(expected)
+    with pytest.raises(ValueError):
+        sketches.closeness_sketched(graph, "up")
+
+
+def test_closeness_by_small_sketches_is_near(spark):
+    names = [f"n{i:03}" for i in range(400)]
+    edges = [(s, t, "A") for s, t, _ in _random_edges(4, names, 1500)]
+    graph = g.topic_graph(labelled(spark, edges))
+    exact = _scores(paths.closeness(graph), "closeness")
+    for lg_k, error in ((6, 0.13), (10, 0.0325)):
+        got = _scores(sketches.closeness_sketched(graph, lg_k=lg_k), "closeness")
+        apart = [abs(got[k] / v - 1) for k, v in exact.items() if v]
+        # A ratio of two counts of one sketch; three standard errors for nearly all.
+        assert sum(x <= 3 * error for x in apart) >= 0.97 * len(apart)
+        assert all((got[k] == 0) == (v == 0) for k, v in exact.items())
+
+
+def _tree(seed, size, both=0.3):
+    """A random tree whose edges go down, up or both ways."""
+    draw = random.Random(seed)
+    edges = []
+    for k in range(1, size):
+        pair = (f"t{draw.randrange(k):02}", f"t{k:02}")
+        way = draw.random()
+        edges += [pair] if way > both else []
+        edges += [pair[::-1]] if way < 0.6 else []
+    return [(s, t, "A") for s, t in edges]
+
+
+def _stars(seed):
+    """Senders and receivers with equal neighbours around a small random graph, with trees."""
+    draw = random.Random(seed)
+    core = [f"c{k}" for k in range(7)]
+    edges = {(s, t) for s in core for t in core if s != t and draw.random() < 0.3}
+    for k in range(12):
+        ends = draw.choice([core[:2], core[2:5], core[4:6]])
+        edges |= {(f"s{k}", c) for c in ends} if k % 2 else {(c, f"r{k}") for c in ends}
+    edges |= {("x1", "s1"), ("s3", "x2"), ("x2", "s3"), ("r0", "x3"), ("x3", "x4"), ("c1", "c1"), ("i", "j"), ("j", "i")}
+    return sorted((s, t, "A") for s, t in edges)
+
+
+REDUCIBLE = {
+    "tree": _tree(1, 40),
+    "another tree": _tree(7, 30, both=0.6),
+    "path": [(f"p{k:02}", f"p{k + 1:02}", "A") for k in range(20)],
+    "star": [("hub", f"l{k}", "A") for k in range(9)] + [(f"m{k}", "hub", "A") for k in range(5)],
+    "stars": _stars(2),
+    "more stars": _stars(5),
+    "loops": [("a", "a", "A"), ("a", "b", "A"), ("c", "c", "B")],
+}
+
+
+@pytest.mark.parametrize("rounds", [30, 1])
+@pytest.mark.parametrize("name", list(REDUCIBLE))
+def test_betweenness_on_the_reduced_graph(spark, name, rounds):
+    edges = REDUCIBLE[name]
+    graph = g.topic_graph(labelled(spark, edges))
+    got = _scores(paths.betweenness_reduced(graph, rounds=rounds), "betweenness")
+    nodes = {v for e in edges for v in e[:2]}
+    for topic in graph.topics:
+        expected = brute_force.betweenness(edges, topic, nodes)
+        assert {v: got[topic, v] for v in nodes} == pytest.approx(expected), topic
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_betweenness_on_reduced_random_graphs(spark, seed):
+    draw = random.Random(seed)
+    names = [f"n{i:02}" for i in range(24)]
+    edges = sorted({(draw.choice(names), draw.choice(names), draw.choice("AAB")) for _ in range(30)})
+    graph = g.topic_graph(labelled(spark, edges).repartition(seed), 2 if seed == 6 else 1_000_000)
+    most = 40 if seed == 5 else paths.MAX_VISITS
+    got = _scores(paths.betweenness_reduced(graph, most), "betweenness")
+    nodes = {v for e in edges for v in e[:2]}
+    for topic in graph.topics:
+        expected = brute_force.betweenness(edges, topic, nodes)
+        assert {v: got[topic, v] for v in nodes} == pytest.approx(expected), topic
+
+
+def test_reduction_leaves_few_nodes_to_search(spark):
+    stages = Stages(spark)
+    star = g.topic_graph(labelled(spark, REDUCIBLE["star"]))
+    assert reduction.reduce_graph(star, stages).edges.count() == 0
+    graph = g.topic_graph(labelled(spark, REDUCIBLE["stars"]))
+    reduced = reduction.smaller_graph(reduction.reduce_graph(graph, stages), graph.heavy_rows)
+    assert reduced.degrees.count() <= 7 + 6
+    stages.release()
+
+
 def _random_edges(seed, nodes, count):
     pick = random.Random(seed)
     found = set()

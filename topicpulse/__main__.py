@@ -29,7 +29,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--category", help="path of the topic field; default category_METHOD")
     parser.add_argument("--method-name", default="", help="suffix of the run variant")
     parser.add_argument("--scale", choices=METHODS, default="minmax")
-    parser.add_argument("--betweenness", choices=("exact", "sampled"), default="exact")
+    parser.add_argument("--betweenness", choices=("exact", "reduced", "sampled"), default="exact")
+    parser.add_argument("--closeness", choices=("exact", "sketched"), default="exact")
     parser.add_argument("--sample-share", type=float, default=SHARE)
     parser.add_argument("--keep-raw", action="store_true")
     parser.add_argument("--single-file", action="store_true")
@@ -43,6 +44,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     options = RunOptions(
         method_name=given.method_name,
         scale_method=given.scale,
+        closeness=given.closeness,
         betweenness=given.betweenness,
         sample_share=given.sample_share,
         keep_raw=given.keep_raw,

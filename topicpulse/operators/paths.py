@@ -25,6 +25,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from topicpulse.operators import reduction
 from topicpulse.operators.graph import (
     TopicGraph,
     named,
@@ -32,7 +33,7 @@ from topicpulse.operators.graph import (
     reversed_both_ways,
     topic_graph,
 )
-from topicpulse.operators.lineage import cut, fixed_layout, partitions_for
+from topicpulse.operators.lineage import Stages, cut, fixed_layout, partitions_for
 from topicpulse.operators.skew import (
     SLOT,
     heavy_frame,
@@ -56,10 +57,19 @@ KEY = ["source", "node"]
 class _Search:
     """Links laid out for the searches of one call, and the size of a batch."""
 
-    def __init__(self, graph: TopicGraph, max_visits: int, sample: DataFrame | None):
+    def __init__(
+        self,
+        graph: TopicGraph,
+        max_visits: int,
+        sample: DataFrame | None,
+        targets: DataFrame | None = None,
+    ):
         self.graph = graph
         self.sample = sample
         self.links = graph.links.filter(F.col("src") != F.col("dst"))
+        if targets is not None:
+            told = targets.select(F.col("key").alias("dst"), "target")
+            self.links = cut(self.links.join(told, "dst"))
         visits = self._most_visits()
         self.batches = max(1, -(-visits // max_visits))
         self.partitions = partitions_for(
@@ -69,6 +79,9 @@ class _Search:
         self.by_source = ["src", SLOT] if self.split else ["src"]
         # Degrees a reached node has to carry along.
         self.carried = ["out_degree"] + (["in_degree"] if graph.split_targets else [])
+        self.carried += [] if targets is None else ["target"]
+        # How many nodes a reached node stands for.
+        self.counted = F.lit(1.0) if targets is None else F.col("target")
         self.step_key = KEY + ([SLOT] if graph.split_targets else [])
         # What a search takes along from its source: how many sources it stands for.
         self.taken = [] if sample is None else ["weight"]
@@ -92,7 +105,7 @@ class _Search:
         return self.links.select(*columns, *self._reached_node()).repartition(*self.by_source)
 
     def _reached_node(self) -> list[Column]:
-        degrees = {"out_degree": "dst_out", "in_degree": "dst_in"}
+        degrees = {"out_degree": "dst_out", "in_degree": "dst_in", "target": "target"}
         return [F.col("dst").alias("node")] + [
             F.col(degrees[name]).alias(name) for name in self.carried
         ]
@@ -226,7 +239,7 @@ def _dependencies(
     current = levels[-1].withColumn("dependency", F.lit(0.0))
     parts = [current.select("node", "dependency")]
     for level, step in zip(reversed(levels[:-1]), reversed(steps)):
-        share = (search.weight + F.col("dependency")) / F.col("paths")
+        share = (search.weight * search.counted + F.col("dependency")) / F.col("paths")
         received = (
             step.withColumnRenamed("paths", "part")
             .join(search.ends(current, share.alias("share")), search.step_key)
@@ -259,19 +272,32 @@ def _distances(levels: list[DataFrame], end: str) -> DataFrame:
     )
 
 
+def _ends_met(levels: list[DataFrame]) -> DataFrame:
+    """``key, out, came``: what a node reaches by ``target`` and is reached by, by ``weight``."""
+    ends = F.array(
+        F.struct(F.col("source").alias("key"), F.col("target").alias("out"), F.lit(0.0).alias("came")),
+        F.struct(F.col("node").alias("key"), F.lit(0.0).alias("out"), F.col("weight").alias("came")),
+    )
+    met = reduce(DataFrame.unionByName, [x.select(F.inline(ends)) for x in levels])
+    return met.groupBy("key").agg(F.sum("out").alias("out"), F.sum("came").alias("came"))
+
+
 def path_scores(
     graph: TopicGraph,
     closeness_end: str | None = "node",
     with_betweenness: bool = True,
     sample: DataFrame | None = None,
     max_visits: int = MAX_VISITS,
+    targets: DataFrame | None = None,
 ) -> DataFrame:
     """Sparse ``Category, id, reached, distance, betweenness`` from one set of searches.
 
     ``closeness_end`` says for which end of a path the distances are added up.  Every
-    batch is added to one running table, and what it searched is dropped.
+    batch is added to one running table, and what it searched is dropped.  ``targets`` gives
+    the ``target`` that a reached ``key`` counts as, together with a ``sample`` of weighted
+    sources; then ``out`` and ``came``, the sums of both over paths, are found too.
     """
-    search = _Search(graph, max_visits, sample)
+    search = _Search(graph, max_visits, sample, targets)
     with fixed_layout(graph.links.sparkSession, search.partitions):
         link_table = search.link_table().persist()
         try:
@@ -282,6 +308,8 @@ def path_scores(
                     parts.append(_distances(levels, closeness_end))
                 if with_betweenness:
                     parts.append(_dependencies(search, levels, steps))
+                if targets is not None:
+                    parts.append(_ends_met(levels))
                 merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
                 values = [c for c in merged.columns if c != "key"]
                 total = cut(merged.groupBy("key").agg(*[F.sum(c).alias(c) for c in values]))
@@ -419,6 +447,28 @@ def betweenness(graph: TopicGraph, max_visits: int = MAX_VISITS) -> DataFrame:
     return on_grid(graph, scores, "betweenness")
 
 
+def betweenness_reduced(
+    graph: TopicGraph, max_visits: int = MAX_VISITS, rounds: int = reduction.PEEL_ROUNDS
+) -> DataFrame:
+    """Exact betweenness, as ``betweenness``, by searches on the reduced graph."""
+    stages = Stages(graph.links.sparkSession)
+    reduced = reduction.reduce_graph(graph, stages, rounds)
+    searched = reduction.smaller_graph(reduced, graph.heavy_rows)
+    nodes = reduction.search_weights(reduced, searched, stages)
+    sources = nodes.filter("out_degree > 0").select(
+        "Category", "key", "out_degree", F.col("sends").alias("weight")
+    )
+    targets = nodes.select("key", F.col("takes").alias("target"))
+    none = "Category string, id string, betweenness double, out double, came double"
+    found = graph.links.sparkSession.createDataFrame([], none)
+    if searched.sizes:
+        scores = path_scores(searched, None, sample=sources, max_visits=max_visits, targets=targets)
+        found = stages.keep(scores.select("Category", "id", "betweenness", "out", "came"))
+    whole = cut(reduction.restored(graph, reduced, found, stages))
+    stages.release()
+    return on_grid(graph, whole, "betweenness")
+
+
 def sample_sources(graph: TopicGraph, share: float = SHARE, seed: int = 0) -> DataFrame:
     """``Category, key, out_degree, weight``: a sample of the sources of each topic.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from topicpulse.operators import activity as act
-from topicpulse.operators import cleaning, labelling, paths, records, report
+from topicpulse.operators import cleaning, labelling, paths, records, report, sketches
 from topicpulse.operators.graph import (
     PAGERANK_DAMPING,
     PAGERANK_ROUNDS,
@@ -37,6 +37,7 @@ class RunOptions:
     all_topics: bool = False
     closeness_direction: str = "in"
     wasserman_faust: bool = False
+    closeness: str = "exact"
     betweenness: str = "exact"
     sample_share: float = paths.SHARE
     sample_seed: int = 0
@@ -49,7 +50,8 @@ class RunOptions:
     def __post_init__(self) -> None:
         allowed = {
             "scale_method": METHODS,
-            "betweenness": ("exact", "sampled"),
+            "closeness": ("exact", "sketched"),
+            "betweenness": ("exact", "reduced", "sampled"),
             "closeness_direction": ("in", "out", "both"),
             "how": ("inner", "left"),
             "on_bad_date": ("raise", "null"),
@@ -103,7 +105,8 @@ def path_measures(graph: TopicGraph, options: RunOptions) -> DataFrame:
     Exact betweenness and directed closeness share one set of searches.
     """
     limits = {"max_visits": options.max_visits}
-    if options.betweenness == "exact" and options.closeness_direction != "both":
+    shared = options.betweenness == options.closeness == "exact"
+    if shared and options.closeness_direction != "both":
         end = "source" if options.closeness_direction == "out" else "node"
         node_count = graph.nodes.count() if options.wasserman_faust else 0
         return paths.path_scores(graph, end, **limits).select(
@@ -112,8 +115,11 @@ def path_measures(graph: TopicGraph, options: RunOptions) -> DataFrame:
             paths.closeness_value(node_count, options.wasserman_faust).alias("closeness"),
             F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"),
         )
-    near = paths.closeness(graph, options.closeness_direction, options.wasserman_faust)
-    if options.betweenness == "sampled":
+    by = sketches.closeness_sketched if options.closeness == "sketched" else paths.closeness
+    near = by(graph, options.closeness_direction, options.wasserman_faust)
+    if options.betweenness == "reduced":
+        between = paths.betweenness_reduced(graph, **limits)
+    elif options.betweenness == "sampled":
         between = paths.betweenness_sampled(
             graph, options.sample_share, options.sample_seed, **limits
         )

@@ -11,7 +11,7 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topicpulse.operators import activity as act
-from topicpulse.operators import cleaning, graph, labelling, pagerank, paths, records, report
+from topicpulse.operators import cleaning, graph, labelling, pagerank, paths, records, report, sketches
 from topicpulse.operators.lineage import Stages
 from topicpulse.operators.scaling import scale_records, unnest
 from topicpulse.operators.skew import heavy_endpoints
@@ -341,11 +341,23 @@ def closeness_both(i: Inputs) -> DataFrame:
     return scores.withColumn("closeness", rounded(F.col("closeness")))
 
 
+@query
+def closeness_sketched(i: Inputs) -> DataFrame:
+    scores = sketches.closeness_sketched(i.graph)
+    return scores.withColumn("closeness", rounded(F.col("closeness")))
+
+
 @query
 def betweenness(i: Inputs) -> DataFrame:
     return paths.betweenness(i.graph).withColumn("betweenness", rounded(F.col("betweenness")))
 
 
+@query
+def betweenness_reduced(i: Inputs) -> DataFrame:
+    reduced = paths.betweenness_reduced(i.graph)
+    return reduced.withColumn("betweenness", rounded(F.col("betweenness")))
+
+
 @query
 def betweenness_sampled(i: Inputs) -> DataFrame:
     estimated = paths.betweenness_sampled(i.graph, SHARE)
@@ -407,7 +419,7 @@ def scaled_centralities(i: Inputs) -> DataFrame:
 def users_appended(i: Inputs) -> DataFrame:
     """Users and their degrees appended by two runs, each of them twice, and one cut short."""
     scores = graph.degree_scores(i.graph)
-    users = sinks.enrich_users(i.users, scores)
+    users = sinks.enrich_users(i.users.select("id", "screen_name"), scores)
     folder = f"{i.written.folder}/appended"
     for name in ("one", "two", "one", "two"):
         sinks.append_once(users, folder, name)

@@ -313,6 +313,8 @@ ORACLE: dict[str, str] = {
     "closeness_out": _measure("closeness", "closeo"),
     "closeness_both": _measure("closeness", "closeb"),
     "betweenness": _measure("betweenness", "betw"),
+    "betweenness_reduced": _measure("betweenness", "betw"),
+    "closeness_sketched": _measure("closeness", "close"),
     "betweenness_sampled": _measure("betweenness", "betws"),
     "pagerank": with_parts(
         "pr",
