@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from topicpulse.operators.lineage import Stages
 from topicpulse.operators.paths import SHARE
 from topicpulse.operators.scaling import METHODS
 from topicpulse.plans import RunOptions, run
@@ -50,8 +51,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         keep_raw=given.keep_raw,
     )
     category = given.category or sinks.suffixed("category", given.method_name)
+    read = Stages(spark)
     result = run(
-        readers.read_users(spark, given.users, given.input_format),
+        readers.read_users(spark, given.users, given.input_format, stages=read),
         readers.read_posts(spark, given.posts, given.input_format, category),
         readers.read_edges(spark, given.edges, given.input_format),
         options,

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from topicpulse.operators.lineage import Stages
+from topicpulse.sources.inference import read_json_lines
 from topicpulse.sources.schemas import EDGES_SCHEMA, posts_schema
 
 
@@ -54,9 +56,17 @@ def read_users(
     location: str | None,
     fmt: str = "json",
     schema: StructType | None = None,
+    stages: Stages | None = None,
     **options: str,
 ) -> DataFrame:
-    """Users with every column kept; pass ``schema`` to skip inference."""
+    """Users with every column kept; pass ``schema`` to skip inference.
+
+    With ``stages`` JSON lines are read by the schema of a sample and written there, see
+    ``inference.read_json_lines``: a field that only few users have isn't lost, and the source
+    is read once if there is none.
+    """
+    if stages is not None and fmt == "json" and schema is None and not options:
+        return shape_users(read_json_lines(spark, location, stages))
     return shape_users(load(spark, location, fmt, schema, **options))
 
 
