@@ -39,15 +39,17 @@ HELD_OUT_PART = 10
 BASE_ADDED = 0.1
 PARTS = 5000
 # Tokens that are counted together in a task, and tokens of a bucket.
-TOKENS_HELD = 1_000_000
+TOKENS_HELD = 1_500_000
 BUCKET_TOKENS = 1_500_000
 PORTION_BYTES = 4 << 20
+# N-grams of a row on their way to a bucket: its numbers fit into 16 bits.
+ROW_GRAMS = 32_000
 # Discounts where a level has no n-gram of one of the counts 1 to 4.
 FALLBACK = (0.5, 1.0, 1.5)
 
 PACKED = (
-    "kind string, bucket int, chain array<bigint>, runs array<int>, words array<bigint>, "
-    "nth array<int>, counts array<bigint>, more array<bigint>"
+    "kind string, bucket int, chain array<bigint>, runs array<smallint>, words array<bigint>, "
+    "nth array<smallint>, seen array<int>, counts array<bigint>, more array<bigint>"
 )
 
 
@@ -138,7 +140,7 @@ def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def packed(kind: str, chain: list[np.ndarray], word, count, heavy, buckets: int) -> list[dict]:
-    """N-grams with counts as one row for each bucket; ``chain`` has the longest context last."""
+    """N-grams with counts as rows of one bucket each; ``chain`` has the longest context last."""
     gram = mixed(chain[-1], word)
     at, count = summed(gram, count)
     chain, word = [c[at] for c in chain], word[at]
@@ -147,7 +149,8 @@ def packed(kind: str, chain: list[np.ndarray], word, count, heavy, buckets: int)
     chain, word, count, bucket = [c[order] for c in chain], word[order], count[order], bucket[order]
     ends = np.flatnonzero(np.concatenate([bucket[1:] != bucket[:-1], [True]])) + 1 if len(word) else []
     rows, start = [], 0
-    for end in ends:
+    pieces = [p for a, b in zip([0, *ends], ends) for p in [*range(a + ROW_GRAMS, b, ROW_GRAMS), b]]
+    for end in pieces:
         own = chain[-1][start:end]
         first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         words, nth = np.unique(word[start:end], return_inverse=True)
@@ -156,10 +159,10 @@ def packed(kind: str, chain: list[np.ndarray], word, count, heavy, buckets: int)
                 "kind": kind,
                 "bucket": bucket[start],
                 "chain": np.concatenate([c[start:end][first] for c in chain]).view(np.int64),
-                "runs": np.diff(np.append(first, end - start)).astype(np.int32),
+                "runs": np.diff(np.append(first, end - start)).astype(np.int16),
                 "words": words.view(np.int64),
-                "nth": nth.astype(np.int32),
-                "counts": count[start:end],
+                "nth": nth.astype(np.int16),
+                "seen": count[start:end].astype(np.int32),
             }
         )
         start = end
@@ -174,14 +177,15 @@ def _unpacked(table: pa.Table, levels: int) -> tuple[list[np.ndarray], np.ndarra
         for k, one in enumerate(flat("chain", n).view(np.uint64).reshape(levels, len(runs))):
             chain[k].append(np.repeat(one, runs))
         words.append(flat("words", n).view(np.uint64)[flat("nth", n)])
-        counts.append(flat("counts", n))
+        counts.append(flat("seen", n).astype(np.int64))
     return [np.concatenate(c) for c in chain], np.concatenate(words), np.concatenate(counts)
 
 
 def _rows(found: list[dict]) -> pa.RecordBatch:
+    wide, narrow = pa.list_(pa.int64()), pa.list_(pa.int16())
     types = {
-        "kind": pa.string(), "bucket": pa.int32(),
-        **{c: pa.list_(pa.int32() if c in ("runs", "nth") else pa.int64()) for c in ("chain", "runs", "words", "nth", "counts", "more")},
+        "kind": pa.string(), "bucket": pa.int32(), "chain": wide, "runs": narrow, "words": wide,
+        "nth": narrow, "seen": pa.list_(pa.int32()), "counts": wide, "more": wide,
     }
     return pa.RecordBatch.from_arrays(
         [pa.array([r.get(c) for r in found], type=t) for c, t in types.items()], names=list(types)
