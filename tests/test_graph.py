@@ -153,7 +153,7 @@ def test_closeness_by_sketches_of_few_nodes_is_exact(spark, direction):
 
 def test_closeness_by_small_sketches_is_near(spark):
     names = [f"n{i:03}" for i in range(400)]
-    edges = [(s, t, "A") for s, t, _ in _random_edges(4, names, 1500)]
+    edges = sorted({(s, t, "A") for s, t, _ in _random_edges(4, names, 1500)})
     graph = g.topic_graph(labelled(spark, edges))
     exact = _scores(paths.closeness(graph), "closeness")
     for lg_k, error in ((6, 0.13), (10, 0.0325)):
@@ -164,6 +164,52 @@ def test_closeness_by_small_sketches_is_near(spark):
         assert all((got[k] == 0) == (v == 0) for k, v in exact.items())
 
 
+def test_intervals_cover_the_exact_betweenness(spark):
+    """What a seed draws is weighed as the query does, for many seeds and two levels."""
+    edges = sorted({(s, t, "A") for s, t, _ in _random_edges(9, [f"n{i:02}" for i in range(60)], 220)})
+    nodes = sorted({v for e in edges for v in e[:2]})
+    graph = g.topic_graph(labelled(spark, edges))
+    names = {r.key: r.id for r in graph.degrees.collect()}
+    alone = {v: brute_force.betweenness(edges, "A", nodes, sources=[v]) for v in nodes}
+    exact = brute_force.betweenness(edges, "A", nodes)
+    covered = {1.96: [], 4.0: []}
+    for seed in range(25):
+        drawn = [(names[r.key], r.weight) for r in paths.sample_sources(graph, 0.5, seed).collect()]
+        for v in nodes:
+            near = sum(w * alone[s][v] for s, w in drawn)
+            apart = sum((1 - 1 / w) * (w * alone[s][v]) ** 2 for s, w in drawn) ** 0.5
+            if exact[v] > 20:
+                for level, found in covered.items():
+                    found.append(abs(near - exact[v]) <= level * apart)
+        if seed == 3:
+            got = {r.id: r for r in paths.betweenness_estimated(graph, 0.5, seed).collect()}
+            for v in nodes:
+                near = sum(w * alone[s][v] for s, w in drawn)
+                apart = sum((1 - 1 / w) * (w * alone[s][v]) ** 2 for s, w in drawn) ** 0.5
+                assert (got[v].betweenness, got[v].std_error) == pytest.approx((near, apart))
+    # What the docstring of ``betweenness_within`` says of skewed sums.
+    assert 0.75 < sum(covered[1.96]) / len(covered[1.96]) < 0.95
+    assert sum(covered[4.0]) / len(covered[4.0]) > 0.87
+
+
+def test_sources_are_added_until_the_error_holds(spark):
+    edges = _random_edges(9, [f"n{i:02}" for i in range(30)], 90)
+    graph = g.topic_graph(labelled(spark, edges))
+    nodes = sorted({v for e in edges for v in e[:2]})
+    for error in (0.0, 0.4):
+        found = paths.betweenness_within(graph, error, share=0.3).collect()
+        for topic in graph.topics:
+            own = [r for r in found if r.Category == topic]
+            most = max(r.betweenness for r in own)
+            assert all(4 * r.std_error <= error * most + 1e-9 for r in own)
+            assert all(r.low <= r.betweenness <= r.high for r in own)
+            if not error:
+                expected = brute_force.betweenness(edges, topic, nodes)
+                assert {r.id: r.betweenness for r in own} == pytest.approx(expected)
+    with pytest.raises(ValueError):
+        paths.betweenness_within(graph, -1)
+
+
 def _tree(seed, size, both=0.3):
     """A random tree whose edges go down, up or both ways."""
     draw = random.Random(seed)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from fixtures import M2_EDGES, labelled, rows_of
-from topicpulse.sources import readers, schemas, sinks
+from topicpulse.sources import ledger, readers, schemas, sinks
 
 RECORDS = "id string, score struct<v: double>"
 
@@ -67,6 +67,36 @@ def test_export_refuses_to_overwrite(spark, tmp_path):
         sinks.export_records(records, target)
 
 
+def test_one_file_holds_all_parts_in_order(spark, tmp_path):
+    records = spark.range(1000).selectExpr("id", "concat('x', id) AS name").repartitionByRange(7, "id")
+    records.write.json(str(tmp_path / "many"))
+    parts = "".join(p.read_text() for p in sorted((tmp_path / "many").glob("part-*")))
+    target = tmp_path / "one"
+    for mode in ("errorifexists", "overwrite"):
+        sinks.export_records(records, str(target), mode=mode, single_file=True)
+        files = [p for p in target.iterdir() if not p.name.startswith(".")]
+        assert [p.name for p in files] == ["part-00000.json"]
+        assert files[0].read_text() == parts
+    with pytest.raises(Exception, match="already exists"):
+        sinks.export_records(records, str(target), single_file=True)
+    assert [p.name for p in tmp_path.iterdir() if "_draft" in p.name] == []
+    with pytest.raises(ValueError, match="joined"):
+        sinks.export_records(records, str(tmp_path / "p"), "parquet", single_file=True)
+    empty = tmp_path / "none"
+    sinks.export_records(records.limit(0), str(empty), single_file=True)
+    assert (empty / "part-00000.json").read_text() == ""
+
+
+def test_one_file_is_not_written_by_one_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", lambda *a: pytest.fail("one task"))
+    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda *a: pytest.fail("one task"))
+    joined = []
+    monkeypatch.setattr(ledger.SharedFiles, "join", lambda self, folder, target: joined.append(self.names(folder)) or
+                        self.system.create(self._path(target), True).close())
+    sinks.export_records(spark.range(100), str(tmp_path / "o"), single_file=True)
+    assert sum(n.startswith("part-") for n in joined[0]) == 4
+
+
 def test_enriched_users_are_appended(spark, tmp_path):
     users = spark.createDataFrame([("a", "ann"), ("c", "cy")], "id string, screen_name string")
     records = spark.createDataFrame([("a", (1.0,)), ("b", (2.0,))], RECORDS)
@@ -235,17 +265,17 @@ def deliveries(folder):
 def test_batches_are_sent_once_though_sending_fails(spark, tmp_path):
     edges = [(f"n{k}", f"m{k % 7}", "A") for k in range(200)] + [("hot", "x", "A")] * 100
     frame = spark.createDataFrame(edges, EDGES)
-    ledger = str(tmp_path / "ledger")
+    marks = str(tmp_path / "ledger")
     whole = receiver(tmp_path / "whole")
     sinks.publish_once(frame, whole, ["Source"], str(tmp_path / "other"), "p", size=20)
     assert all(len(rows) <= 20 for rows in deliveries(tmp_path / "whole").values())
     halting = receiver(tmp_path / "sent", fails=("3-0", "5-0", "9-0"))
     with pytest.raises(Exception, match="the store is away"):
-        sinks.publish_once(frame, halting, ["Source"], ledger, "p", size=20)
+        sinks.publish_once(frame, halting, ["Source"], marks, "p", size=20)
     before = deliveries(tmp_path / "sent")
     for attempt in range(6):
         try:
-            sinks.publish_once(frame.repartition(5 + attempt), halting, ["Source"], ledger, "p", size=20)
+            sinks.publish_once(frame.repartition(5 + attempt), halting, ["Source"], marks, "p", size=20)
             break
         except Exception as error:
             assert "the store is away" in str(error)
@@ -257,5 +287,5 @@ def test_batches_are_sent_once_though_sending_fails(spark, tmp_path):
     of = lambda found: {n.partition(".")[0]: rows for n, rows in found.items()}
     assert of(after) == of(deliveries(tmp_path / "whole"))
     with pytest.raises(ValueError, match="not those it began with"):
-        sinks.publish_once(frame.limit(50), halting, ["Source"], ledger, "p", size=20)
+        sinks.publish_once(frame.limit(50), halting, ["Source"], marks, "p", size=20)
     assert deliveries(tmp_path / "sent") == after

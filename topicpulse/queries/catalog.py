@@ -364,6 +364,12 @@ def betweenness_sampled(i: Inputs) -> DataFrame:
     return estimated.withColumn("betweenness", rounded(F.col("betweenness")))
 
 
+@query
+def betweenness_errors(i: Inputs) -> DataFrame:
+    estimated = paths.betweenness_estimated(i.graph, SHARE)
+    return estimated.withColumns({c: rounded(F.col(c)) for c in ("betweenness", "std_error")})
+
+
 @query
 def pagerank_scores(i: Inputs) -> DataFrame:
     return pagerank.pagerank(i.graph).withColumn("pagerank", rounded(F.col("pagerank")))

@@ -153,6 +153,15 @@ PARTS: dict[str, tuple[str, str]] = {
             ON sampled.c = through.c AND sampled.id = through.s) x
         ON x.c = nc.c AND x.v = nc.id GROUP BY 1, 2""",
     ),
+    "betwe": (
+        "through nc sampled",
+        """SELECT nc.c, nc.id, coalesce(sum(x.part / x.chance), 0) AS betweenness,
+        sqrt(coalesce(sum((1 - x.chance) * (x.part / x.chance) ^ 2), 0)) AS std_error FROM nc
+        LEFT JOIN (SELECT t.c, t.s, t.v, sampled.chance, sum(t.part) AS part
+            FROM through t JOIN sampled ON sampled.c = t.c AND sampled.id = t.s
+            GROUP BY 1, 2, 3, 4) x
+        ON x.c = nc.c AND x.v = nc.id GROUP BY 1, 2""",
+    ),
     "closeo": (
         "sp nc",
         """SELECT nc.c, nc.id, coalesce(CAST(count(sp.d) AS DOUBLE) / sum(sp.d), 0) AS closeness
@@ -316,6 +325,10 @@ ORACLE: dict[str, str] = {
     "betweenness_reduced": _measure("betweenness", "betw"),
     "closeness_sketched": _measure("closeness", "close"),
     "betweenness_sampled": _measure("betweenness", "betws"),
+    "betweenness_errors": with_parts(
+        "betwe",
+        f'''SELECT c AS "Category", id, {r6("betweenness")}, {r6("std_error")} FROM betwe''',
+    ),
     "pagerank": with_parts(
         "pr",
         'SELECT c AS "Category", id, round(r, 6) AS pagerank '

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby, islice
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from topicpulse.sources.ledger import Ledger, TaskMarkers, checked_name
+from topicpulse.sources.ledger import Ledger, SharedFiles, TaskMarkers, checked_name
 
 # Rows handed to an external system in one call.
 BATCH_ROWS = 7000
@@ -28,11 +29,36 @@ def export_records(
 ) -> None:
     """Write the result records, by default as JSON lines that must not exist yet.
 
-    ``single_file=True`` squeezes the output through one task; leave it off for results
-    that do not fit there.
+    ``single_file=True`` gives a folder with one file, for formats of lines: all tasks write
+    their parts, and the file system joins them in their order.
     """
-    output = records.coalesce(1) if single_file else records
-    output.write.format(fmt).mode(mode).save(location)
+    if single_file:
+        return _export_one_file(records, location, fmt, mode)
+    records.write.format(fmt).mode(mode).save(location)
+
+
+# Formats whose files can be joined: each is a sequence of lines.
+LINE_FORMATS = {"json": "json", "text": "txt", "csv": "csv"}
+
+
+def _export_one_file(records: DataFrame, location: str, fmt: str, mode: str) -> None:
+    """Parts are written beside ``location`` and joined there; a rename makes it appear whole."""
+    if fmt not in LINE_FORMATS:
+        raise ValueError(f"files of {fmt!r} can't be joined; use one of {sorted(LINE_FORMATS)}")
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r} is not for a single file")
+    files = SharedFiles(records.sparkSession, location)
+    if mode == "errorifexists" and files.exists(location):
+        raise FileExistsError(f"{location} already exists")
+    draft = f"{location}._draft-{uuid4().hex}"
+    try:
+        records.write.format(fmt).save(f"{draft}/parts")
+        files.join(f"{draft}/parts", f"{draft}/whole/part-00000.{LINE_FORMATS[fmt]}")
+        if mode == "overwrite":
+            files.remove(location)
+        files.rename(f"{draft}/whole", location)
+    finally:
+        files.remove(draft)
 
 
 def enrich_users(users: DataFrame, records: DataFrame) -> DataFrame:
@@ -151,7 +177,7 @@ class KeyedTable:
 
     def read(self, folder: str | None = None) -> DataFrame:
         folder = folder or self.location
-        if not Ledger(self.spark, folder).exists(folder):
+        if not SharedFiles(self.spark, folder).exists(folder):
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(folder)
 
@@ -216,13 +242,13 @@ def merge_graph(labelled: DataFrame, location: str, run: str) -> bool:
 
 def _finish(spark: SparkSession, ledger: Ledger, location: str) -> None:
     """Swap in what is staged completely, write the markers, remove the staging folders."""
-    for run in ledger.names(f"{location}/_staged"):
+    for run in ledger.files.names(f"{location}/_staged"):
         staged = f"{location}/_staged/{run}"
         if Ledger(spark, staged).holds("complete") and not ledger.holds(run):
             for name, table in _graph_tables(spark, location).items():
                 table.swap(f"{staged}/{name}")
             ledger.commit(run)
-        ledger.remove(staged)
+        ledger.files.remove(staged)
 
 
 def read_graph(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
