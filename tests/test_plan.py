@@ -171,3 +171,25 @@ def test_a_released_run_leaves_no_table_behind(spark, tmp_path):
     assert result.records.count() == 3
     result.release()
     assert not Path(local).exists()
+
+
+def test_stages_are_counted_while_they_are_written(spark):
+    result = run(users(spark), posts(spark), edges(spark), RunOptions(rounds=2))
+    counted = set(result.rows)
+    assert counted == {"users", "users_clean", "edges_distinct", "edges_clean", "edges_labelled", "records"}
+    again = {name: frame.count() for name, frame in result.stages.items()}
+    assert result.rows == {name: again[name] for name in counted}
+    assert {r.stage: r.rows for r in result.stage_counts().collect()} == again
+    # Only the stage that isn't written has to be read for the report.
+    plan = result.stage_counts()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [count(1)") <= 1
+    result.release()
+
+
+def test_counts_of_a_run_without_users(spark):
+    for none in (users(spark).limit(0), spark.createDataFrame([], users(spark).schema)):
+        result = run(none, posts(spark), edges(spark), RunOptions(rounds=2))
+        # What the optimiser takes away is not counted on the way, but when it is asked for.
+        found = {r.stage: r.rows for r in result.stage_counts().collect()}
+        assert found["users"] == found["users_clean"] == found["records"] == 0
+        result.release()

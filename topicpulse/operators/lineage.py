@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,6 +33,14 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def observed_rows(seen: Observation) -> int | None:
+    """The count ``rows`` of an observation; None if the optimiser found nothing to run there."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return None
+
+
 class Stages:
     """Tables that are written once, as Parquet in the shared folder, and read several times.
 
@@ -43,15 +52,24 @@ class Stages:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
         self.count = 0
+        self.rows: dict[str, int] = {}
 
     def _path(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def keep(self, frame: DataFrame) -> DataFrame:
+    def keep(self, frame: DataFrame, name: str | None = None) -> DataFrame:
+        """Write ``frame`` and read it back; with a name its rows are counted on the way."""
         target = f"{self.folder}/{self.count}"
         self.count += 1
-        frame.write.parquet(target)
+        if name is None:
+            frame.write.parquet(target)
+        else:
+            seen = Observation()
+            frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(target)
+            rows = observed_rows(seen)
+            if rows is not None:
+                self.rows[name] = rows
         if self.count == 1:
             path, system = self._path()
             system.deleteOnExit(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from topicpulse.functions import topic_struct, zero_if_null
 from topicpulse.sources.schemas import CENTRALITY_MEASURES, FEATURE_MEASURES, RAW_FIELDS
@@ -63,13 +63,15 @@ def scale_records(
     keep_raw: bool = False,
     features_column: str = "user_features",
     centralities_column: str = "centralities",
+    counted: Observation | None = None,
 ) -> DataFrame:
     """Records with scaled measures, nested like the input.
 
     ``minmax`` maps each column to [0, 1] (0.5 if constant); ``std`` divides features by
     their sample deviation without centring (0 if constant).  Centralities always use
     ``minmax``.  Nulls count as 0.  ``keep_raw`` carries the per-user counts along.  A
-    struct that has no topics or that ``merged`` lacks is left out.
+    struct that has no topics or that ``merged`` lacks is left out.  ``counted`` gets the
+    ``rows`` of ``merged`` while the bounds are found.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
@@ -85,7 +87,10 @@ def scale_records(
         for measure in measures
         for topic in names
     }
-    bounds = _bounds(merged, cells, methods)
+    source = merged
+    if counted is not None and cells:
+        source = merged.observe(counted, F.count(F.lit(1)).alias("rows"))
+    bounds = _bounds(source, cells, methods)
     output = [F.col("id")]
     for column, measures, names in layout:
         fields = [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from topicpulse.operators import activity as act
 from topicpulse.operators import cleaning, labelling, paths, records, report, sketches
@@ -14,7 +14,7 @@ from topicpulse.operators.graph import (
     TopicGraph,
     topic_graph,
 )
-from topicpulse.operators.lineage import Stages
+from topicpulse.operators.lineage import Stages, observed_rows
 from topicpulse.operators.pagerank import pagerank_scores
 from topicpulse.operators.scaling import METHODS, scale_records
 from topicpulse.operators.skew import HEAVY_ROWS, heavy_endpoints
@@ -82,6 +82,7 @@ class RunResult:
     graph: TopicGraph
     written: Stages
     stages: dict[str, DataFrame] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
 
     def release(self) -> None:
         """Remove the tables of the run; its frames can't be read any more."""
@@ -96,7 +97,8 @@ class RunResult:
         return act.screen_names(self.users)
 
     def stage_counts(self) -> DataFrame:
-        return report.stage_counts(self.stages)
+        """``stage, rows``, from what was counted while the stages were written."""
+        return report.stage_counts(self.stages, self.rows)
 
 
 def path_measures(graph: TopicGraph, options: RunOptions) -> DataFrame:
@@ -150,19 +152,25 @@ def run(
         )
     )
     names, span_days = act.topics_and_span(daily)
+    # The users are counted where they are read anyway, before and after the spam is gone.
+    seen = {name: Observation() for name in ("users", "users_clean")}
+    counted = lambda frame, name: frame.observe(seen[name], F.count(F.lit(1)).alias("rows"))
+    all_users = counted(users, "users")
+    kept_users = counted(cleaning.exclude_spam_users(all_users, spam), "users_clean")
     per_user = written.keep(
-        act.user_activity(clean_users, daily, names, options.count_inactive_as_zero)
+        act.user_activity(kept_users, daily, names, options.count_inactive_as_zero)
     )
     features = act.feature_record(per_user, names, span_days, options.features_column)
 
-    pairs = written.keep(cleaning.dedup_edges(edges))
+    pairs = written.keep(cleaning.dedup_edges(edges), "edges_distinct")
     shared = written.keep(
         labelling.with_shared_topics(
             pairs,
             act.user_topics(per_user, names),
             heavy_endpoints(pairs, options.heavy_rows),
             spam,
-        ).select("Source", "Target", "Categories")
+        ).select("Source", "Target", "Categories"),
+        "edges_clean",
     )
     graph = topic_graph(labelling.one_row_per_topic(shared), options.heavy_rows, written=True)
     centralities = records.centrality_record(
@@ -176,6 +184,7 @@ def run(
         written.keep,
     )
     merged = records.merge_records(features, centralities, options.how)
+    seen["records"] = Observation()
     scaled = scale_records(
         merged,
         names,
@@ -184,7 +193,11 @@ def run(
         options.keep_raw,
         options.features_column,
         options.centralities_column,
+        seen["records"],
     )
+    rows = written.rows | {"edges_labelled": graph.edge_count}
+    told = {n: observed_rows(o) for n, o in seen.items() if n != "records" or names}
+    rows |= {name: count for name, count in told.items() if count is not None}
     return RunResult(
         records=scaled,
         merged=merged,
@@ -203,4 +216,5 @@ def run(
             "graph_nodes": graph.nodes,
             "records": merged,
         },
+        rows=rows,
     )
