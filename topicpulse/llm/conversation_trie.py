@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topicpulse.llm.common import cut
+from topicpulse.operators.lineage import partitions_for
 from topicpulse.operators.skew import HEAVY_ROWS, heaviest, salted_join
 
 # A conversation shares its first turns with the one whose id is its own less the remainder by
@@ -38,6 +39,9 @@ CHUNK = 1024
 # Characters of a list of ids that are hashed as one row.
 IDS = 1 << 16
 
+# Rows of a task in the tables of the rounds: their partitions follow the data.
+ROWS_PER_PARTITION = 200_000
+
 KEY, UP = ["k1", "k2"], ["p1", "p2"]
 TOTALS = ["leaves", "saved"]
 # What a node gets from several children in a round.
@@ -235,7 +239,7 @@ def _keyed(frame: DataFrame, key: list[str], **values: Column) -> DataFrame:
     return frame.select(*named, *[v.alias(c) for c, v in values.items()])
 
 
-def _contract(live: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _contract(live: DataFrame, parts: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One round: the nodes that stay, the raked ones, and the compressed ones with their child.
 
     ``live`` is ``k1, k2, p1, p2, depth`` with ``leaves, saved``, what a node holds so far, and
@@ -244,14 +248,14 @@ def _contract(live: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     one = F.lit(1).cast("bigint")
     child = F.struct(*KEY, F.col("depth"), *[f"up_{t}" for t in TOTALS])
     to_parent = _keyed(live.filter("depth > 0"), UP, children=one, child=child)
-    marked = cut(_by_key([live, to_parent]))
+    marked = cut(_by_key([live, to_parent]).coalesce(parts))
     raked = marked.filter("depth > 0 AND children IS NULL")
     alone = (F.col("depth") > 0) & (F.col("children") == 1)
     # A node of a chain hears of its parent, if that is in the chain too, and of its child.
     below = marked.filter(alone).select(F.col("child.k1").alias("b1"), F.col("child.k2").alias("b2"), "depth")
     from_parent = _keyed(below, ["b1", "b2"], a_depth=F.col("depth"))
     from_child = _keyed(marked.filter("depth > 0"), UP, grand=F.coalesce("children", F.lit(0)))
-    known = cut(_by_key([marked, from_parent, from_child]))
+    known = cut(_by_key([marked, from_parent, from_child]).coalesce(parts))
     before = F.col("a_depth").isNull() | (_order("depth") < _order("a_depth"))
     after = (F.col("grand") > 1) | (_order("depth") < _order("child.depth"))
     # Its child is no leaf, as that is raked now.
@@ -278,7 +282,7 @@ def _contract(live: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.col("child.k2").alias("c2"),
         *[(F.col(t) + F.col(f"child.up_{t}")).alias(t) for t in TOTALS],
     )
-    return cut(moved), raked.select(*KEY, *TOTALS), kept
+    return cut(moved.coalesce(parts)), raked.select(*KEY, *TOTALS), kept
 
 
 def subtree_totals(nodes: DataFrame) -> DataFrame:
@@ -287,16 +291,17 @@ def subtree_totals(nodes: DataFrame) -> DataFrame:
     ``p1, p2`` is the key of the parent, whose depth is less by one; the root has depth 0.
     """
     live = nodes.select(*KEY, *UP, F.col("depth").cast("bigint").alias("depth"), *TOTALS)
-    live = cut(live.withColumns({f"up_{t}": F.lit(0).cast("bigint") for t in TOTALS}).repartition(*KEY))
+    live = cut(live.withColumns({f"up_{t}": F.lit(0).cast("bigint") for t in TOTALS}))
+    parts = partitions_for(live.count(), ROWS_PER_PARTITION, least=8)
     done, packed = [], []
     while live.filter("depth > 0").limit(1).count():
-        live, raked, chain = _contract(live)
+        live, raked, chain = _contract(live, parts)
         done.append(raked)
         packed.append(chain)
     totals = live.select(*KEY, *TOTALS)
     for raked in done:
         totals = totals.unionByName(raked)
-    totals = cut(totals)
+    totals = cut(totals.coalesce(parts))
     for chain in reversed(packed):
         # A node is the child of one compressed node in a round.
         parent = F.struct(*KEY, *TOTALS)
@@ -305,7 +310,7 @@ def subtree_totals(nodes: DataFrame) -> DataFrame:
             *[F.col(f"parent.{k}").alias(k) for k in KEY],
             *[(F.col(t) + F.col(f"parent.{t}")).alias(t) for t in TOTALS],
         )
-        totals = cut(totals.unionByName(found))
+        totals = cut(totals.unionByName(found).coalesce(parts))
     return totals
 
 
@@ -317,9 +322,11 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     Columns other than ``conv_id, turn, role, text`` are not read.  Without a conversation
     there is no node, not even a root.
     """
-    rows, lengths = rebuilt(cut(numbered_turns(conversations)))
-    lengths = cut(lengths)
-    steps = cut(prefixes(rows))
+    turns = cut(numbered_turns(conversations))
+    parts = partitions_for(turns.count(), ROWS_PER_PARTITION, least=8)
+    rows, lengths = rebuilt(turns.coalesce(parts))
+    lengths = cut(lengths.coalesce(parts))
+    steps = cut(prefixes(rows).coalesce(parts))
     zero = F.lit(0).cast("bigint")
     root = lengths.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).filter("n_convs > 0")
     inner = steps.groupBy(*KEY, *UP, F.col("pos").alias("depth")).agg(
@@ -328,7 +335,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     top = root.select(
         *[zero.alias(c) for c in (*KEY, *UP, "depth")], "conv_id", "n_convs", zero.alias("bytes")
     )
-    plain = cut(inner.unionByName(top))
+    plain = cut(inner.unionByName(top).coalesce(parts))
     counts = plain.filter("depth > 0").groupBy(*UP).agg(F.count(F.lit(1)).alias("n_children"))
     counts = cut(counts)
     below = counts.withColumnsRenamed({"p1": "k1", "p2": "k2"})
@@ -339,7 +346,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
                 "leaves": F.when(F.col("n_children").isNull(), 1).otherwise(0).cast("bigint"),
                 "saved": (F.col("n_convs") - 1) * F.col("bytes"),
             }
-        )
+        ).coalesce(parts)
     )
     totals = subtree_totals(nodes)
     at_end = steps.join(lengths, "conv_id").filter("pos = length").select(*KEY, "conv_id")
