@@ -280,19 +280,25 @@ class Linker:
         """``a, b``: pairs across the components of a bucket that the sketches allow.
 
         Those in the largest component of a bucket don't meet each other, and a pair comes
-        from the first of the bands it shares.
+        from the first of the bands it shares.  Both bring half of the bits of their shingles,
+        so that the join gives pairs that are links, but for equal halves of unequal shingles:
+        near copies just below the least similarity are many pairs and few links.
         """
         counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         major = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"))
         enough = self.outer_shingles(placed)
         # With J = percent / 100, common shingles are at least J of either set.
         possible = enough.filter(100 * F.col("outer") >= self.percent * F.col("n_shingles"))
-        held = placed.join(possible, "cid").join(self.sketches, "cid")
+        halves = F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int"))
+        short = self.sets.join(possible.select("cid"), "cid", "left_semi").select(
+            "cid", halves.alias("short"), (F.size("shingles") - F.size(F.array_distinct(halves))).alias("lost")
+        )
+        held = placed.join(possible, "cid").join(self.sketches, "cid").join(cut(short), "cid")
         outside = held.join(major.select("key", F.col("m.root").alias("major")), "key")
         outside = outside.filter("root <> major").select(
             F.col("key").alias("_key"), F.col("cid").alias("a"), F.col("root").alias("_root"),
             "major", F.col("sketch").alias("_sketch"), F.col("bands").alias("_bands"),
-            F.col("outer").alias("_outer"), F.col("n_shingles").alias("_n"),
+            F.col("outer").alias("_outer"), F.col("n_shingles").alias("_n"), F.col("short").alias("_short"),
         )
         # ... and at least J / (1 + J) of the sum of both sizes.
         fewer = F.least("outer", "_outer") * (100 + self.percent)
@@ -307,8 +313,11 @@ class Linker:
         )
         first = ~F.exists(earlier, lambda same: same)
         differ = F.col("root") != F.col("_root")
+        # Shingles of one set with equal halves count once, so they are added: no link is lost.
+        common = F.size(F.array_intersect("short", "_short")) + F.col("lost")
+        linked = common * (100 + self.percent) >= self.percent * (F.col("n_shingles") + F.col("_n"))
         paired = held.join(
-            outside, (F.col("key") == F.col("_key")) & differ & once & fits & near & first
+            outside, (F.col("key") == F.col("_key")) & differ & once & fits & near & first & linked
         )
         return paired.select("a", F.col("cid").alias("b"))
 
