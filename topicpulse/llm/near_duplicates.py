@@ -288,7 +288,7 @@ class Linker:
         major = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"))
         enough = self.outer_shingles(placed)
         # With J = percent / 100, common shingles are at least J of either set.
-        possible = enough.filter(100 * F.col("outer") >= self.percent * F.col("n_shingles"))
+        possible = cut(enough.filter(100 * F.col("outer") >= self.percent * F.col("n_shingles")))
         halves = F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int"))
         short = self.sets.join(possible.select("cid"), "cid", "left_semi").select(
             "cid", halves.alias("short"), (F.size("shingles") - F.size(F.array_distinct(halves))).alias("lost")
