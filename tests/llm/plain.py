@@ -14,15 +14,15 @@ def lower_ascii(text: str) -> str:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
-def shingles(text: str | None) -> set:
+def shingles(text: str | None, length: int = 2) -> set:
     words = WORD.findall(lower_ascii(text or ""))
-    if len(words) < 2:
+    if len(words) < length:
         return {tuple(words)} if words else set()
-    return set(zip(words, words[1:]))
+    return set(zip(*[words[k:] for k in range(length)]))
 
 
-def near_components(docs: list[tuple[int, str | None]], percent: int = 80) -> dict[int, int]:
-    sets = {d: shingles(t) for d, t in docs}
+def near_components(docs: list[tuple[int, str | None]], percent: int = 80, length: int = 2) -> dict[int, int]:
+    sets = {d: shingles(t, length) for d, t in docs}
     holders = defaultdict(list)
     for d, s in sets.items():
         for x in s:

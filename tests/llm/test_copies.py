@@ -82,17 +82,17 @@ def near_docs():
     return list(enumerate(EDGES + docs))
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_components_are_those_of_all_pairs(table, monkeypatch, broadcast):
+@pytest.mark.parametrize("broadcast, words", [(True, 2), (False, 2), (False, 5)])
+def test_components_are_those_of_all_pairs(table, monkeypatch, broadcast, words):
     if not broadcast:
         monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
         monkeypatch.setattr(near_duplicates, "COMPARED", 0)
     rows = near_docs()
-    found = {r.doc_id: r for r in near_duplicates.components(table(rows)).collect()}
-    expected = plain.near_components(rows)
+    found = {r.doc_id: r for r in near_duplicates.components(table(rows), words=words).collect()}
+    expected = plain.near_components(rows, length=words)
     assert {n: r.component_id for n, r in found.items()} == expected
     assert all(r.kept == (n == expected[n]) for n, r in found.items())
-    assert all(r.n_shingles == len(plain.shingles(t)) for (n, t), r in zip(rows, map(found.get, range(len(rows)))))
+    assert all(r.n_shingles == len(plain.shingles(t, words)) for (n, t), r in zip(rows, map(found.get, range(len(rows)))))
 
 
 def test_near_duplicates_of_odd_tables(table):

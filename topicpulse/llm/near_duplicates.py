@@ -1,6 +1,6 @@
 """Near-duplicates by banded MinHash, odd sketches and exact confirmation.
 
-A document is the set of its distinct two-word shingles.  Documents of equal sets are one
+A document is the set of its distinct shingles, of two words each unless told otherwise.  Documents of equal sets are one
 class, and from there on only classes count.
 
 * Each class has ``BANDS * ROWS`` MinHash samples.  Classes that agree in a band share a bucket;
@@ -36,6 +36,7 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 SKETCH_WORDS = SKETCH_BITS // 64
 SIMILARITY_PERCENT = 80
+SHINGLE_WORDS = 2
 # Representatives a class is compared with, the most promising first.
 COMPARED = 2
 WORDS_HELD = 300_000
@@ -54,13 +55,13 @@ SKETCH_LIMIT = _sketch_limit(SIMILARITY_PERCENT)
 
 
 class Shingler:
-    """Texts to shingle sets, samples and sketches."""
+    """Texts to sets of shingles of so many words, samples and sketches."""
 
-    def __init__(self):
+    def __init__(self, words: int = SHINGLE_WORDS):
         import numpy as np
         import xxhash
 
-        self.np = np
+        self.np, self.words = np, words
         self.digest = xxhash.xxh3_64_intdigest
         self.wide = xxhash.xxh3_128_intdigest
         self.held: dict[bytes, int] = {}
@@ -76,7 +77,7 @@ class Shingler:
         return x ^ (x >> np.uint64(32))
 
     def shingles(self, text: bytes | None):
-        """Sorted hashes of the distinct shingles; one for a text of a single word."""
+        """Sorted hashes of the distinct shingles; one for a text of fewer words."""
         np, held = self.np, self.held
         # Of bytes, lower() changes A-Z only and split() knows the six characters only.
         words = (text or b"").lower().split()
@@ -85,10 +86,14 @@ class Shingler:
         for word in set(words).difference(held):
             held[word] = self.digest(word)
         hashes = np.fromiter(map(held.__getitem__, words), np.uint64, len(words))
-        if len(hashes) > 1:
-            first = hashes[:-1] * np.uint64(0xD6E8FEB86659FD93)
-            hashes = self._mix(first ^ (hashes[1:] >> np.uint64(17)) ^ (hashes[1:] << np.uint64(47)))
-        return np.unique(hashes)
+        length = min(self.words, len(hashes))
+        many = len(hashes) - length + 1
+        found = hashes[:many]
+        for k in range(1, length):
+            after = hashes[k : k + many]
+            first = found * np.uint64(0xD6E8FEB86659FD93)
+            found = self._mix(first ^ (after >> np.uint64(17)) ^ (after << np.uint64(47)))
+        return np.unique(found)
 
     def samples(self, shingles):
         """The least hash of a set under each of the functions."""
@@ -117,14 +122,14 @@ class Shingler:
         return low - (1 << 63), high - (1 << 63)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, text_key, n_shingles, set_low, set_high, bands, sketch`` of every row.
 
     A text without words has no shingles, and neither bands nor a sketch.
     """
 
     def make() -> Callable[[pa.RecordBatch], dict]:
-        shingler = Shingler()
+        shingler = Shingler(words)
 
         def apply(batch: pa.RecordBatch) -> dict:
             out = {k: [] for k in ("n_shingles", "set_low", "set_high", "bands", "sketch")}
@@ -154,11 +159,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_rows(frame, make, schema, "_text")
 
 
-def shingle_sets(texts: DataFrame) -> DataFrame:
+def shingle_sets(texts: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """``cid, shingles`` of rows ``cid, _text``: sorted hashes."""
 
     def make() -> Callable[[pa.RecordBatch], dict]:
-        shingler = Shingler()
+        shingler = Shingler(words)
 
         def apply(batch: pa.RecordBatch) -> dict:
             import numpy as np
@@ -222,7 +227,7 @@ def connected(edges: DataFrame) -> DataFrame:
 class Linker:
     """The rounds over the classes of one table."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, percent: int):
+    def __init__(self, docs: DataFrame, classes: DataFrame, percent: int, words: int):
         self.percent = percent
         entries = classes.select("cid", F.posexplode("bands").alias("band", "key"))
         shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -245,7 +250,7 @@ class Linker:
             "cid", F.col("_text").cast("binary").alias("_text")
         )
         # Rows that repeat in id and text give a set several times.
-        self.sets = cut(shingle_sets(chosen).dropDuplicates(["cid"]))
+        self.sets = cut(shingle_sets(chosen, words).dropDuplicates(["cid"]))
         self.roots = cut(self.nodes.select("cid", F.col("cid").alias("root")))
 
     def placed(self) -> DataFrame:
@@ -383,7 +388,9 @@ class Linker:
         return self.roots
 
 
-def components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+def components(
+    docs: DataFrame, percent: int = SIMILARITY_PERCENT, words: int = SHINGLE_WORDS
+) -> DataFrame:
     """``doc_id, text_key, n_shingles, component_id, kept`` of every row of ``docs``.
 
     ``component_id`` is the least id reachable over links, the row's own included; null ids
@@ -391,7 +398,7 @@ def components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     id, so rows that repeat a kept id are all kept.  A row without words is linked with
     nothing, not even with its like.  Other columns are not looked at.
     """
-    signed = cut(signatures(docs))
+    signed = cut(signatures(docs, words))
     grouped = (
         signed.filter("n_shingles > 0")
         .groupBy("set_low", "set_high")
@@ -403,7 +410,7 @@ def components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
         )
     )
     classes = cut(grouped.withColumn("cid", F.monotonically_increasing_id()))
-    roots = Linker(docs, classes, percent).run()
+    roots = Linker(docs, classes, percent, words).run()
     rooted = classes.select("cid", "set_low", "set_high", "least").join(roots, "cid", "left")
     rooted = cut(rooted.select("set_low", "set_high", "least", F.coalesce("root", "cid").alias("root")))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -422,9 +429,11 @@ def components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+def keep_one(
+    docs: DataFrame, percent: int = SIMILARITY_PERCENT, words: int = SHINGLE_WORDS
+) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    dropped = components(docs, percent).filter(~F.col("kept")).select("doc_id", "text_key")
+    dropped = components(docs, percent, words).filter(~F.col("kept")).select("doc_id", "text_key")
     dropped = cut(dropped.distinct()).toDF("_dropped_id", "_dropped_key")
     dropped = small(dropped, dropped.count())
     key = F.xxhash64(docs["text"].cast("string"))
