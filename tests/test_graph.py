@@ -138,6 +138,23 @@ def test_many_batches_end_in_one_table(spark):
     assert _scores(batched, "betweenness") == pytest.approx(_scores(whole, "betweenness"))
 
 
+def test_links_that_no_search_gets_to_ask_for_no_batches(spark):
+    """Links of nodes without incoming ones are visited once; the bound takes them so."""
+    ring = [(f"r{k}", f"r{(k + 1) % 5}", "A") for k in range(5)]
+    fan = [(f"s{k:03}", f"r{(k + j) % 5}", "A") for k in range(200) for j in (0, 2)]
+    graph = g.topic_graph(labelled(spark, ring + fan))
+    search = paths._Search(graph, 2_000, None)
+    # The links of each source, and the five of the ring from each of them.
+    assert search._most_visits() == 405 + 205 * 5
+    assert search.batches == 1
+    alone = paths._Search(graph, 2_000, paths.sample_sources(graph, 1.0))
+    assert alone._most_visits() == 405 + 205 * 5
+    nodes = sorted({v for e in ring + fan for v in e[:2]})
+    expected = brute_force.betweenness(ring + fan, "A", nodes)
+    got = _scores(paths.betweenness(graph, max_visits=2_000), "betweenness")
+    assert {v: got["A", v] for v in nodes} == pytest.approx(expected)
+
+
 @pytest.mark.parametrize("direction", ["in", "out", "both"])
 def test_closeness_by_sketches_of_few_nodes_is_exact(spark, direction):
     names = [f"n{i:02}" for i in range(40)]

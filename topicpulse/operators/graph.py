@@ -29,13 +29,15 @@ PAGERANK_ROUNDS = 100
 
 @dataclass(frozen=True)
 class TopicSize:
-    """Counts of one topic: nodes, nodes with outgoing edges, edges, largest degrees."""
+    """Counts of one topic: nodes, nodes with outgoing edges, edges, largest degrees, and the
+    edges from nodes that have incoming ones."""
 
     members: int
     senders: int
     edges: int
     most_out: int
     most_in: int
+    inner: int
 
 
 @dataclass
@@ -116,6 +118,7 @@ def topic_graph(
             F.sum("out_degree").alias("edges"),
             F.max("out_degree").alias("most_out"),
             F.max("in_degree").alias("most_in"),
+            F.sum(F.when(F.col("in_degree") > 0, F.col("out_degree")).otherwise(0)).alias("inner"),
         )
         .collect()
     )

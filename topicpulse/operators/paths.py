@@ -91,12 +91,16 @@ class _Search:
         self.sampled = sample is not None and targets is None
 
     def _most_visits(self) -> int:
-        """Bound of the visits: a search visits a link of its topic at most once."""
-        searches = {topic: size.senders for topic, size in self.graph.sizes.items()}
+        """Bound of the visits: those of the links of the sources, and then each search visits a
+        link of its topic at most once, if the link leaves a node that has incoming ones."""
+        searches = {topic: (size.senders, size.edges) for topic, size in self.graph.sizes.items()}
         if self.sample is not None:
-            rows = self.sample.groupBy("Category").agg(F.count(F.lit(1))).collect()
-            searches = {row[0]: row[1] for row in rows}
-        return sum(n * self.graph.sizes[topic].edges for topic, n in searches.items())
+            rows = self.sample.groupBy("Category").agg(F.count(F.lit(1)), F.sum("out_degree"))
+            searches = {row[0]: row[1:] for row in rows.collect()}
+        return sum(
+            min(n * self.graph.sizes[topic].edges, first + n * self.graph.sizes[topic].inner)
+            for topic, (n, first) in searches.items()
+        )
 
     def slots(self, degree: str) -> Column:
         return slot_count(F.col(degree), self.graph.heavy_rows)
