@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 
 import pytest
 
@@ -155,6 +156,20 @@ def test_links_that_no_search_gets_to_ask_for_no_batches(spark):
     assert {v: got["A", v] for v in nodes} == pytest.approx(expected)
 
 
+def test_partitions_of_closeness_follow_the_links(spark, m2, monkeypatch):
+    class Told(Exception):
+        pass
+
+    def told(session, partitions):
+        raise Told(partitions)
+
+    sizes = {"A": replace(m2.sizes["A"], edges=8_000_000)}
+    monkeypatch.setattr(paths, "fixed_layout", told)
+    with pytest.raises(Told) as found:
+        paths.reach_sums(replace(m2, sizes=sizes))
+    assert found.value.args[0] >= 32
+
+
 @pytest.mark.parametrize("direction", ["in", "out", "both"])
 def test_closeness_by_sketches_of_few_nodes_is_exact(spark, direction):
     names = [f"n{i:02}" for i in range(40)]

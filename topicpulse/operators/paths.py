@@ -47,6 +47,8 @@ from topicpulse.operators.skew import (
 MAX_VISITS = 10_000_000_000
 # Visits handled by one task.
 VISITS_PER_PARTITION = 4_000_000
+# Links handled by one task of closeness in blocks: each stands for a row for every block.
+LINKS_PER_PARTITION = 250_000
 # Share of the nodes that a sample of the betweenness takes as sources, at least.
 SHARE = 0.1
 # Sources whose searches share one row.
@@ -354,7 +356,7 @@ def reach_sums(graph: TopicGraph, outward: bool = False) -> DataFrame:
     slots = lambda degree: slot_count(F.col(degree), graph.heavy_rows)
     on = ["src", SLOT] if split else ["src"]
     slot = [F.pmod(F.xxhash64("dst"), slots("src_out")).cast("int").alias(SLOT)] if split else []
-    partitions = partitions_for(graph.edge_count, VISITS_PER_PARTITION, least=8)
+    partitions = partitions_for(graph.edge_count, LINKS_PER_PARTITION, least=8)
     with fixed_layout(graph.links.sparkSession, partitions):
         table = links.select(
             "src", *slot, F.col("dst").alias("node"), F.col("dst_out").alias("out")
