@@ -6,6 +6,8 @@ import base64
 import hashlib
 import random
 import struct
+import tracemalloc
+from itertools import accumulate
 
 import pytest
 
@@ -149,3 +151,21 @@ def test_checksums_decide_on_spans_of_their_own(table):
             (2, signed("npm_", "Zq" * 15)), (3, "nsec1vl029mgpspedva04g90vltkh6fvh240zqtv9k0t9af8935ke9laqsnlfe5")]
     spans = {r.doc_id: r.spans for r in secrets.secret_counts(table(rows)).collect()}
     assert spans == {0: "github:2:42", 1: "", 2: "npm:0:40", 3: "nostr:0:63"}
+
+
+def test_a_task_deals_out_few_units_at_a_time():
+    units = {f" unit number {n:015}" for n in range(unit_table.UNITS_HELD)}
+    tracemalloc.start()
+    try:
+        dealt = unit_table._dealt(units, 40)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 64 << 20
+    got = {
+        data[end - length : end].decode()
+        for lengths, data in zip(dealt.column("lengths").to_pylist(), dealt.column("data").to_pylist())
+        for length, end in zip(lengths, accumulate(lengths))
+    }
+    assert got == units
+    assert dealt.column("bucket").to_pylist() == list(range(40))

@@ -20,10 +20,10 @@ from topicpulse.llm.shared_arrays import ArrayStore
 from topicpulse.operators.lineage import Stages
 
 # Units that a task gathers before it deals them out, and that are encoded at a time.
-UNITS_HELD = 500_000
-UNITS_ENCODED = 50_000
+UNITS_HELD = 150_000
+UNITS_ENCODED = 10_000
 # Bytes of text for a bucket; distinct units are far fewer.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 # White space after a space, or a space at the end: units need a closer look there.
 _ODD = (
     " (?:[ \\t\\n\\x0b\\f\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
@@ -78,10 +78,11 @@ def _dealt(units: set[str], buckets: int) -> pa.RecordBatch:
     data = [u.encode("utf-8", "surrogatepass") for u in units]
     high, _ = unit_hashes(data)
     bucket = (high % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
     rows = []
-    for b in np.unique(bucket):
-        own = [data[n] for n in np.flatnonzero(bucket == b)]
-        rows.append((b, [len(u) for u in own], b"".join(own)))
+    for places in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+        own = [data[n] for n in places]
+        rows.append((bucket[places[0]], [len(u) for u in own], b"".join(own)))
     types = [pa.int32(), pa.list_(pa.int32()), pa.binary()]
     columns = zip(*rows) if rows else [[], [], []]
     return pa.RecordBatch.from_arrays(
