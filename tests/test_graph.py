@@ -9,7 +9,7 @@ import brute_force
 from fixtures import labelled
 from topicpulse.operators import graph as g
 from topicpulse.operators import labelling, pagerank, paths, reduction, sketches
-from topicpulse.operators.lineage import Stages
+from topicpulse.operators.lineage import Stages, cut, fixed_layout
 
 
 def _scores(frame, column):
@@ -406,3 +406,37 @@ def test_nothing_stays_cached(spark, m2):
     paths.path_scores(m2)
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("topicpulse")]
+
+
+def test_local_searches_are_the_shuffled_ones(spark, monkeypatch):
+    ring = [(f"r{k}", f"r{(k + 1) % 5}", "A") for k in range(5)]
+    fan = [(f"s{k}", f"r{(k * j) % 5}", "A") for k in range(9) for j in (1, 2)]
+    edges = sorted({*ring, *fan, ("r0", "r3", "A"), ("r1", "r3", "A"), ("r4", "x", "A")})
+    graph = g.topic_graph(labelled(spark, edges))
+    nodes = sorted({v for e in edges for v in e[:2]})
+    expected = brute_force.betweenness(edges, "A", nodes)
+    found = []
+    for most, local in ((paths.LOCAL_LINKS, True), (-1, False)):
+        monkeypatch.setattr(paths, "LOCAL_LINKS", most)
+        assert paths._Search(graph, 100, None).local == local
+        rows = paths.path_scores(graph, "source").collect()
+        found.append({r.id: (r.reached, r.distance) for r in rows if r.reached})
+        between = {r.id: r.betweenness or 0.0 for r in rows}
+        assert {v: between.get(v, 0.0) for v in nodes} == pytest.approx(expected)
+    assert found[0] == found[1]
+
+
+def test_local_searches_do_not_move(spark):
+    """Neither levels nor visits of searches with few links to take are shuffled."""
+    ring = [(f"r{k}", f"r{(k + 1) % 5}", "A") for k in range(5)]
+    fan = [(f"s{k:03}", f"r{(k + j) % 5}", "A") for k in range(60) for j in (0, 2)]
+    graph = g.topic_graph(labelled(spark, ring + fan))
+    search = paths._Search(graph, paths.MAX_VISITS, None)
+    with fixed_layout(spark, search.partitions, by_part_of_keys=True):
+        link_table = search.link_table()
+        levels = [cut(search.first_level(0))]
+        level, steps = search.advance(levels, levels[0].count(), link_table, True)
+        back = steps.join(search.ends(level), search.step_key).groupBy("source", "before").count()
+        plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert link_table.count() == 5

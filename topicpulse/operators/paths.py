@@ -16,6 +16,10 @@ links (slots of its links), a node that very many searches stand on at once (sal
 ``visits``) and a node that one search reaches over very many links (slots of its steps).
 The sources are taken in batches when all searches together could visit more than
 ``max_visits`` links; every batch is exact and the batches add up.
+
+After its first level a search only takes links that leave nodes with incoming ones.  If these
+are counted to be few, every task gets them all and levels and steps are partitioned by source
+alone: then nothing of a search moves any more, and none is larger than those links.
 """
 
 from __future__ import annotations
@@ -49,6 +53,8 @@ MAX_VISITS = 10_000_000_000
 VISITS_PER_PARTITION = 4_000_000
 # Links handled by one task of closeness in blocks: each stands for a row for every block.
 LINKS_PER_PARTITION = 250_000
+# Links of nodes with incoming ones, up to which each task of the searches gets them all.
+LOCAL_LINKS = 200_000
 # Share of the nodes that a sample of the betweenness takes as sources, at least.
 SHARE = 0.1
 # Sources whose searches share one row.
@@ -70,6 +76,11 @@ class _Search:
         self.graph = graph
         self.sample = sample
         self.links = graph.links.filter(F.col("src") != F.col("dst"))
+        # The first level of a source with very many links would be one task's.
+        inner = sum(size.inner for size in graph.sizes.values())
+        self.local = inner <= LOCAL_LINKS and not graph.split_sources
+        self.placed_by = ["source"] if self.local else KEY
+        self.split_targets = graph.split_targets and not self.local
         if targets is not None:
             told = targets.select(F.col("key").alias("dst"), "target")
             self.links = cut(self.links.join(told, "dst"))
@@ -81,11 +92,11 @@ class _Search:
         self.split = graph.split_sources
         self.by_source = ["src", SLOT] if self.split else ["src"]
         # Degrees a reached node has to carry along.
-        self.carried = ["out_degree"] + (["in_degree"] if graph.split_targets else [])
+        self.carried = ["out_degree"] + (["in_degree"] if self.split_targets else [])
         self.carried += [] if targets is None else ["target"]
         # How many nodes a reached node stands for.
         self.counted = F.lit(1.0) if targets is None else F.col("target")
-        self.step_key = KEY + ([SLOT] if graph.split_targets else [])
+        self.step_key = KEY + ([SLOT] if self.split_targets else [])
         # What a search takes along from its source: how many sources it stands for.
         self.taken = [] if sample is None else ["weight"]
         self.weight = F.lit(1.0) if sample is None else F.col("weight")
@@ -108,7 +119,10 @@ class _Search:
         return slot_count(F.col(degree), self.graph.heavy_rows)
 
     def link_table(self) -> DataFrame:
-        """Links partitioned by the source a round joins on."""
+        """Links partitioned by the source a round joins on, or all that a round needs at once."""
+        if self.local:
+            inner = self.links.filter(F.col("src_in") > 0)
+            return inner.select("src", *self._reached_node()).repartition(1)
         slot = F.pmod(F.xxhash64("dst"), self.slots("src_out")).cast("int").alias(SLOT)
         columns = ["src", slot] if self.split else ["src"]
         return self.links.select(*columns, *self._reached_node()).repartition(*self.by_source)
@@ -135,7 +149,7 @@ class _Search:
             *self._reached_node(),
             F.lit(1.0).alias("paths"),
             *self.taken,
-        ).repartition(*KEY)
+        ).repartition(*self.placed_by)
 
     def _in_slots(self, rows: DataFrame, degree: str, split: bool) -> DataFrame:
         """Rows repeated once per slot of their node."""
@@ -158,7 +172,7 @@ class _Search:
             .select(*self.by_source, "source", "paths", *self.taken)
         )
         heavy = []
-        if size > self.graph.heavy_rows:
+        if size > self.graph.heavy_rows and not self.local:
             heavy = heavy_keys(frontier, ["src"], self.graph.heavy_rows)
         if not heavy:
             stepped = self._joined(frontier, size, link_table)
@@ -181,6 +195,8 @@ class _Search:
 
     def _joined(self, frontier: DataFrame, size: int, link_table: DataFrame) -> DataFrame:
         """Searches with the links of their nodes; the smaller side is hashed."""
+        if self.local:
+            return frontier.join(F.broadcast(link_table), self.by_source)
         if size < self.graph.edge_count:
             frontier = frontier.hint("shuffle_hash")
         else:
@@ -196,11 +212,15 @@ class _Search:
     def advance(
         self, levels: list[DataFrame], size: int, link_table: DataFrame, keep_steps: bool
     ) -> tuple[DataFrame, DataFrame | None]:
-        """The next level and, if wanted, the steps that lead into it."""
+        """The next level and, if wanted, the steps that lead into it.
+
+        Local searches don't write steps: the visits, among which they are, are made again
+        when they are wanted.
+        """
         visits = self.visits(levels[-1], size, link_table)
-        if not keep_steps:
-            return cut(_unseen(self.reached(visits), levels)), None
-        if not self.graph.split_targets:
+        if self.local or not keep_steps:
+            return cut(_unseen(self.reached(visits), levels)), visits if keep_steps else None
+        if not self.split_targets:
             steps = cut(_unseen(visits, levels))
             return cut(self.reached(steps)), steps
         # One search may reach a node over very many links.  They are added up before
@@ -212,7 +232,7 @@ class _Search:
 
     def ends(self, level: DataFrame, *values: Column) -> DataFrame:
         """The reached nodes as the lookup side of a join with steps."""
-        spread = self._in_slots(level, "in_degree", self.graph.split_targets)
+        spread = self._in_slots(level, "in_degree", self.split_targets)
         return spread.select(*self.step_key, *values).hint("shuffle_hash")
 
 
@@ -309,7 +329,7 @@ def path_scores(
     sources; then ``out`` and ``came``, the sums of both over paths, are found too.
     """
     search = _Search(graph, max_visits, sample, targets)
-    with fixed_layout(graph.links.sparkSession, search.partitions):
+    with fixed_layout(graph.links.sparkSession, search.partitions, by_part_of_keys=search.local):
         link_table = search.link_table().persist()
         try:
             total = None
