@@ -440,3 +440,19 @@ def test_local_searches_do_not_move(spark):
         plan = back._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert link_table.count() == 5
+
+
+def test_undirected_closeness_in_batches_of_wide_blocks(spark, monkeypatch):
+    """Levels hand on few rows at a time, and the batches add up."""
+    edges = [(f"n{i}", f"n{i + 1}", "A") for i in range(7)] + [("n2", "n9", "A"), ("x", "y", "A")]
+    graph = g.topic_graph(labelled(spark, edges))
+    searched = g.topic_graph(g.reversed_both_ways(graph.edges))
+    taken, sums = [], paths._block_sums
+    count = lambda *a: taken.append(a[-2:]) or sums(*a)
+    monkeypatch.setattr(paths, "_block_sums", count)
+    # A path of eight nodes with a branch, and a pair: 18 links both ways, one block.
+    rows = paths.reach_sums(searched, wide=1, max_handed=9).collect()
+    assert taken == [(0, 2), (1, 2)]
+    got = {r.id: (r.reached, r.distance) for r in rows}
+    assert got["n0"] == (8, 28 + 3) and got["n9"] == (8, 1 + 2 * 2 + 2 * 3 + 4 + 5 + 6)
+    assert got["x"] == got["y"] == (1, 1)

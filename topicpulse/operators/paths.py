@@ -57,8 +57,12 @@ LINKS_PER_PARTITION = 250_000
 LOCAL_LINKS = 200_000
 # Share of the nodes that a sample of the betweenness takes as sources, at least.
 SHARE = 0.1
-# Sources whose searches share one row.
+# Sources whose searches share one long of a row.
 BLOCK_BITS = 6
+# Longs of a row where most pairs of nodes are connected, as a power of two.
+WIDE_BITS = 4
+# Rows that one level of closeness in such blocks may hand on, before more batches are used.
+MAX_HANDED = 20_000_000
 
 KEY = ["source", "node"]
 
@@ -349,24 +353,56 @@ def path_scores(
     return named(graph, total)
 
 
-def _bit(key: str) -> Column:
-    """The bit of a source within its block."""
-    return F.expr(f"shiftleft(1L, cast({key} & {(1 << BLOCK_BITS) - 1} AS int))")
+class _Blocks:
+    """Blocks of sources: ``2 ** wide`` longs of 64 bits stand in a row."""
 
+    def __init__(self, wide: int):
+        self.shift = BLOCK_BITS + wide
+        self.longs = range(1 << wide)
 
-def _own_bit() -> Column:
-    """A node's own bit in the block that it stands in."""
-    return F.when(F.shiftright("node", BLOCK_BITS) == F.col("block"), _bit("node"))
+    def block(self, key: str) -> Column:
+        return F.shiftright(key, self.shift)
 
+    def bit(self, key: str, i: int) -> Column:
+        """Long ``i`` of a source's block: its bit, or 0 if that is in another long."""
+        bit = F.expr(f"shiftleft(1L, cast({key} & {(1 << BLOCK_BITS) - 1} AS int))")
+        if len(self.longs) == 1:
+            return bit
+        at = F.shiftright(key, BLOCK_BITS).bitwiseAND(F.lit(len(self.longs) - 1))
+        return F.when(at == i, bit).otherwise(F.lit(0).cast("long"))
 
-def reach_sums(graph: TopicGraph, outward: bool = False) -> DataFrame:
+    def own(self, i: int) -> Column:
+        """A node's own bit in the block that it stands in."""
+        return F.when(self.block("node") == F.col("block"), self.bit("node", i))
+
+    def names(self, name: str) -> list[str]:
+        return [f"{name}{i}" for i in self.longs]
+
+    def any(self) -> Column:
+        """Whether the row has new bits."""
+        return reduce(Column.bitwiseOR, map(F.col, self.names("new"))) != 0
+
+    def count(self) -> Column:
+        return reduce(Column.__add__, [F.bit_count(c) for c in self.names("new")]).cast("long")
+
+
+def reach_sums(
+    graph: TopicGraph, outward: bool = False, wide: int = 0, max_handed: int = MAX_HANDED
+) -> DataFrame:
     """Sparse ``Category, id, reached, distance``: how many nodes reach a node, from how far.
 
     ``outward`` counts the nodes that a node reaches instead.  Keys follow each other
     within a topic, so 64 sources of a topic make a block and one row ``(node, block)``
     holds which of them have come by.  A round hands the new bits along the links, where
     equal ones are merged before they move, and takes off those seen before.
+
+    Where most pairs are connected, rows of ``2 ** wide`` longs save the most part of the
+    joins.  Then the blocks are taken in batches when a level could hand on more than
+    ``max_handed`` rows: blocks don't meet, so the batches add up, and disk and memory hold
+    those of one.
     """
+    spark = graph.links.sparkSession
+    blocks = _Blocks(wide)
     links = graph.links.filter(F.col("src") != F.col("dst"))
     if outward:
         back = {"src": "dst", "dst": "src", "src_out": "dst_in", "dst_out": "src_in",
@@ -377,63 +413,97 @@ def reach_sums(graph: TopicGraph, outward: bool = False) -> DataFrame:
     on = ["src", SLOT] if split else ["src"]
     slot = [F.pmod(F.xxhash64("dst"), slots("src_out")).cast("int").alias(SLOT)] if split else []
     partitions = partitions_for(graph.edge_count, LINKS_PER_PARTITION, least=8)
-    with fixed_layout(graph.links.sparkSession, partitions):
+    handed = sum(x.edges * -(-x.members // (1 << blocks.shift)) for x in graph.sizes.values())
+    batches = max(1, -(-handed // max_handed)) if wide else 1
+    with fixed_layout(spark, partitions):
         table = links.select(
             "src", *slot, F.col("dst").alias("node"), F.col("dst_out").alias("out")
         ).repartition(*on).persist()
         try:
-            block = F.shiftright("src", BLOCK_BITS).alias("block")
-            first = links.groupBy(F.col("dst").alias("node"), block).agg(
-                F.bit_or(_bit("src")).alias("new"), F.max("dst_out").alias("out")
-            )
-            state = cut(
-                first.select(
-                    "node", "block", "out", "new",
-                    F.col("new").bitwiseOR(F.coalesce(_own_bit(), F.lit(0).cast("long"))).alias("seen"),
-                    F.bit_count("new").cast("long").alias("reached"),
-                    F.bit_count("new").cast("long").alias("distance"),
-                )
-            )
-            level = 1
-            while not state.filter("new <> 0").isEmpty():
-                level += 1
-                state = cut(_handed_on(state, table, on, slots, level))
-            sums = state.groupBy(F.col("node").alias("key")).agg(
-                F.sum("reached").alias("reached"), F.sum("distance").alias("distance")
-            )
-            total = cut(sums)
+            total = None
+            for batch in range(batches):
+                sums = _block_sums(blocks, links, table, on, slots, batch, batches)
+                if total is not None:
+                    sums = total.unionByName(sums).groupBy("key").agg(
+                        F.sum("reached").alias("reached"), F.sum("distance").alias("distance")
+                    )
+                total = cut(sums)
+                if batches > 1:
+                    # Spark removes shuffles and checkpoints of a batch once they are collected.
+                    del sums
+                    spark.sparkContext._jvm.System.gc()
         finally:
             table.unpersist()
     return named(graph, total)
 
 
-def _handed_on(state: DataFrame, table: DataFrame, on: list[str], slots, level: int) -> DataFrame:
+def _block_sums(
+    blocks: _Blocks, links: DataFrame, table: DataFrame, on: list[str], slots, batch: int, batches: int
+) -> DataFrame:
+    """``key, reached, distance`` from the blocks of one batch."""
+    block = blocks.block("src")
+    if batches > 1:
+        links = links.filter(F.pmod(block, F.lit(batches)) == batch)
+    first = links.groupBy(F.col("dst").alias("node"), block.alias("block")).agg(
+        *[F.bit_or(blocks.bit("src", i)).alias(f"new{i}") for i in blocks.longs],
+        F.max("dst_out").alias("out"),
+    )
+    zero = F.lit(0).cast("long")
+    state = cut(
+        first.select(
+            "node", "block", "out", *blocks.names("new"),
+            *[
+                F.col(f"new{i}").bitwiseOR(F.coalesce(blocks.own(i), zero)).alias(f"seen{i}")
+                for i in blocks.longs
+            ],
+            blocks.count().alias("reached"),
+            blocks.count().alias("distance"),
+        )
+    )
+    level = 1
+    while not state.filter(blocks.any()).isEmpty():
+        level += 1
+        state = cut(_handed_on(blocks, state, table, on, slots, level))
+    return state.groupBy(F.col("node").alias("key")).agg(
+        F.sum("reached").alias("reached"), F.sum("distance").alias("distance")
+    )
+
+
+def _handed_on(
+    blocks: _Blocks, state: DataFrame, table: DataFrame, on: list[str], slots, level: int
+) -> DataFrame:
     """The state after one more level."""
-    leaving = state.filter("new <> 0 AND out > 0").select(
-        F.col("node").alias("src"), "block", "new", F.col("out").alias("src_out")
+    leaving = state.filter(blocks.any() & (F.col("out") > 0)).select(
+        F.col("node").alias("src"), "block", *blocks.names("new"), F.col("out").alias("src_out")
     )
     if SLOT in on:
         slot = F.explode(F.sequence(F.lit(0), slots("src_out") - 1))
         leaving = leaving.withColumn(SLOT, slot)
+    leaving = leaving.select(*on, "block", *blocks.names("new"))
     came = (
-        leaving.select(*on, "block", "new")
+        (leaving.hint("shuffle_hash") if len(blocks.longs) > 1 else leaving)
         .join(table, on)
         .groupBy("node", "block")
-        .agg(F.bit_or("new").alias("came"), F.max("out").alias("came_out"))
+        .agg(
+            *[F.bit_or(f"new{i}").alias(f"came{i}") for i in blocks.longs],
+            F.max("out").alias("came_out"),
+        )
     )
     zero = F.lit(0).cast("long")
-    seen = F.coalesce(F.col("seen"), _own_bit(), zero)
-    fresh = F.coalesce("came", zero).bitwiseAND(F.bitwise_not(seen))
-    joined = state.drop("new").join(came, ["node", "block"], "full").withColumn("new", fresh)
-    count = F.bit_count("new").cast("long")
+    seen = [F.coalesce(F.col(f"seen{i}"), blocks.own(i), zero) for i in blocks.longs]
+    fresh = {
+        f"new{i}": F.coalesce(f"came{i}", zero).bitwiseAND(F.bitwise_not(seen[i]))
+        for i in blocks.longs
+    }
+    joined = state.drop(*fresh).join(came, ["node", "block"], "full").withColumns(fresh)
     return joined.select(
         "node",
         "block",
         F.coalesce("out", "came_out").alias("out"),
-        "new",
-        seen.bitwiseOR(F.col("new")).alias("seen"),
-        (F.coalesce("reached", zero) + count).alias("reached"),
-        (F.coalesce("distance", zero) + level * count).alias("distance"),
+        *fresh,
+        *[seen[i].bitwiseOR(F.col(f"new{i}")).alias(f"seen{i}") for i in blocks.longs],
+        (F.coalesce("reached", zero) + blocks.count()).alias("reached"),
+        (F.coalesce("distance", zero) + level * blocks.count()).alias("distance"),
     )
 
 
@@ -461,7 +531,8 @@ def closeness(
     searched = graph
     if direction == "both":
         searched = topic_graph(reversed_both_ways(graph.edges), graph.heavy_rows)
-    sums = reach_sums(searched, outward=direction == "out")
+    wide = WIDE_BITS if direction == "both" else 0
+    sums = reach_sums(searched, direction == "out", wide)
     node_count = graph.nodes.count() if wasserman_faust else 0
     scores = sums.select(
         "Category", "id", closeness_value(node_count, wasserman_faust).alias("closeness")
