@@ -70,6 +70,29 @@ def test_many_buckets_and_small_gatherings_change_nothing(table, monkeypatch):
     assert bpe.round_trip(table([])).count() == 0
 
 
+def test_few_texts_are_sent_to_a_worker_at_a_time(spark, table, monkeypatch):
+    """A buffer of the texts a worker gets holds about ``SENT`` bytes, however many rows there are."""
+    mapped = bpe.map_rows
+
+    def watched(frame, make, *rest):
+        def make_watched():
+            apply = make()
+
+            def look(batch):
+                assert batch.column(1).buffers()[2].size < 16 << 20
+                return apply(batch)
+
+            return look
+
+        return mapped(frame, make_watched, *rest)
+
+    monkeypatch.setattr(bpe, "map_rows", watched)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    many = table([(0, "same words " * 10_000)]).crossJoin(spark.range(0, 400, 1, 1))
+    assert bpe.round_trip(many).distinct().count() == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_replay_goes_back_to_lower_ranks(library):
     """Merges that make a pair of a lower rank than their own."""
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256 + 9, b"abc": 256 + 1, b"abcd": 256}

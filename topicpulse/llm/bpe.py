@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from topicpulse.llm.common import cut, map_rows, segments, split_long
 from topicpulse.llm.unit_table import UnitTable, coded_units, ragged, write_unit_table
-from topicpulse.operators.lineage import Stages
+from topicpulse.operators.lineage import Stages, settings
 
 MEMO_ENTRIES = 200_000
 PAIRS_HELD = 500_000
@@ -36,6 +36,14 @@ MEMO_LENGTH = 64
 PART_CHARS = 1 << 19
 # Texts that are split into units at a time.
 PORTION_BYTES = 1 << 20
+# Texts that are put together at a time.  Each time looks at every bucket of the table.
+JOINED_BYTES = 2 << 20
+# Texts that are handed to a worker at a time: it holds them beside what it makes of a portion,
+# and the executor holds them twice while it fills their buffer.
+SENT = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -317,7 +325,8 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
         return encode_units
 
-    folder, buckets = write_unit_table(frame, stages, make_encoder)
+    with settings(spark, SENT):
+        folder, buckets = write_unit_table(frame, stages, make_encoder)
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         import hashlib
@@ -325,6 +334,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         import numpy as np
 
         held = shared.value
+        held.pop("replay", None)  # this worker may have encoded units before
         if "token_bytes" not in held:
             ranks = read_ranks(held["content"])
             of = {rank: token for token, rank in ranks.items()}
@@ -335,29 +345,30 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         flat, token_starts, token_lengths = held["token_bytes"]
         table = UnitTable(folder, buckets)
 
-        def digests(data, ends) -> list[str]:
-            view, starts = memoryview(data).cast("B"), [0, *ends[:-1]]
-            return [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(starts, ends)]
+        def digests(ids) -> tuple[str, str]:
+            # One text at a time: the places of its bytes take many times its size.
+            decoded = flat[ragged(token_starts[ids], token_lengths[ids])]
+            return hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
         def apply(batch: pa.RecordBatch) -> dict:
             units, at, counts = coded_units(batch.column(1))
             lengths, known = table.ids(units)
             starts = np.cumsum(lengths) - lengths
-            ids = known[ragged(starts[at], lengths[at])]
+            ids = known[ragged(starts[at], lengths[at])].astype("<u4", copy=False)
             ends = np.concatenate([[0], np.cumsum(lengths[at])])[np.cumsum(counts)]
-            decoded = flat[ragged(token_starts[ids], token_lengths[ids])]
-            byte_ends = np.concatenate([[0], np.cumsum(token_lengths[ids])])[ends]
+            found = [digests(own) for own in np.split(ids, ends[:-1])]
             return {
                 "doc_id": batch.column(0),
                 "n_tokens": np.diff(ends, prepend=0).tolist(),
-                "ids_sha256": digests(ids.astype("<u4"), (ends * 4).tolist()),
-                "decoded_sha256": digests(decoded, byte_ends.tolist()),
+                "ids_sha256": [of_ids for of_ids, _ in found],
+                "decoded_sha256": [of_bytes for _, of_bytes in found],
             }
 
         return apply
 
     kind = frame.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    found = cut(map_rows(frame, make, schema, "text"))
+    with settings(spark, SENT):
+        found = cut(map_rows(frame, make, schema, "text", JOINED_BYTES))
     stages.release()
     return found

@@ -22,6 +22,8 @@ from topicpulse.operators.lineage import Stages
 # Units that a task gathers before it deals them out, and that are encoded at a time.
 UNITS_HELD = 150_000
 UNITS_ENCODED = 10_000
+# Bytes of text that are split into units at a time.
+GATHER_BYTES = 1 << 20
 # Bytes of text for a bucket; distinct units are far fewer.
 BUCKET_BYTES = 16 << 20
 # White space after a space, or a space at the end: units need a closer look there.
@@ -105,7 +107,7 @@ def write_unit_table(
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[str] = set()
         for batch in batches:
-            for part in common._portions(batch, "text", common.PORTION_BYTES):
+            for part in common._portions(batch, "text", GATHER_BYTES):
                 held.update(coded_units(part.column("text"))[0])
                 if len(held) > UNITS_HELD:
                     yield _dealt(held, buckets)
