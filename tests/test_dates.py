@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from topicpulse.functions import created_date, parse_created_at
+from topicpulse.functions import created_date, dates, parse_created_at
 
 
 def _parse(spark, values, mode="null"):
@@ -37,6 +38,17 @@ def test_parses_padded_and_short_days(spark):
     ]
 
 
+def test_usual_values_are_not_split(spark):
+    """Neither of the two ways takes what the other one refuses."""
+    usual, spaced = "Wed Aug 27 13:08:45 +0000 2008", "Wed  Aug 27\t13:08:45 +0000  2008"
+    at = dt.datetime(2008, 8, 27, 13, 8, 45)
+    odd = ["Wed Aug 32 13:08:45 +0000 2008", "Wed Aug 27 13:60:45 +0000 2008", usual + " "]
+    parsed = _parse(spark, [usual, spaced, usual.upper(), *odd])
+    assert parsed == [(at, at.date())] * 3 + [(None, None)] * 3
+    assert not re.match(dates.USUAL_PATTERN.replace("^(?i)", "(?i)^").replace("\\z", "$"), spaced)
+    assert re.match(dates.USUAL_PATTERN.replace("^(?i)", "(?i)^").replace("\\z", "$"), usual)
+
+
 def test_bad_dates_become_null_on_request(spark):
     bad = [
         None,

@@ -37,11 +37,7 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
             F.col("user_id").cast("string").alias("id_str"),
             F.lit(None).cast("string").alias("screen_name"),
         ).alias("user"),
-        F.concat(
-            F.date_format("ts", "EEE MMM dd HH:mm:ss"),
-            F.lit(" +0000 "),
-            F.date_format("ts", "yyyy"),
-        ).alias("created_at"),
+        F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy").alias("created_at"),
         F.struct(F.col("event_type").alias("category_rf")).alias("experiment_test"),
     )
 
