@@ -8,7 +8,7 @@ import pytest
 import brute_force
 from fixtures import labelled
 from topicpulse.operators import graph as g
-from topicpulse.operators import labelling, pagerank, paths, reduction, sketches
+from topicpulse.operators import dense, labelling, pagerank, paths, reduction, sketches
 from topicpulse.operators.lineage import Stages, cut, fixed_layout
 
 
@@ -426,6 +426,42 @@ def test_local_searches_are_the_shuffled_ones(spark, monkeypatch):
     assert found[0] == found[1]
 
 
+def test_searches_in_matrices_are_those_of_rows(spark, monkeypatch):
+    """Sources in blocks, two topics that share nodes, a sample with weights, closeness at both ends."""
+    draw = random.Random(5)
+    core = {(f"r{draw.randrange(9)}", f"r{draw.randrange(12)}", t) for t in "AB" for _ in range(25)}
+    fan = {(f"s{k:02}", f"r{draw.randrange(12)}", t) for t in "AB" for k in range(20) for _ in (1, 2)}
+    edges = sorted(core | fan | {("r1", "r1", "A")})
+    graph = g.topic_graph(labelled(spark, edges))
+    sample = cut(paths.sample_sources(graph, 0.4))
+    monkeypatch.setattr(dense, "SOURCES", 7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    found = []
+    try:
+        for most in (paths.LOCAL_NODES, 0):
+            monkeypatch.setattr(paths, "LOCAL_NODES", most)
+            assert paths._Search(graph, 10**6, None).dense == (most > 0)
+            found.append(
+                [
+                    {(r.Category, r.id): r for r in paths.path_scores(graph, end, sample=s).collect()}
+                    for end in ("node", "source")
+                    for s in (None, sample)
+                ]
+            )
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for rows, expected in zip(*found):
+        assert rows.keys() == expected.keys() and len(rows) > 15
+        for at, row in rows.items():
+            assert (row.reached, row.distance) == (expected[at].reached, expected[at].distance)
+            for name in {"betweenness", "variance"} & set(row.asDict()):
+                assert (row[name] or 0.0) == pytest.approx(expected[at][name] or 0.0)
+    between = {at: r.betweenness or 0.0 for at, r in found[0][0].items()}
+    nodes = sorted({v for e in edges if e[2] == "A" for v in e[:2]})
+    exact = brute_force.betweenness(edges, "A", nodes)
+    assert {v: between.get(("A", v), 0.0) for v in nodes} == pytest.approx(exact)
+
+
 def test_local_searches_do_not_move(spark):
     """Neither levels nor visits of searches with few links to take are shuffled."""
     ring = [(f"r{k}", f"r{(k + 1) % 5}", "A") for k in range(5)]

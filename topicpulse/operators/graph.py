@@ -29,8 +29,8 @@ PAGERANK_ROUNDS = 100
 
 @dataclass(frozen=True)
 class TopicSize:
-    """Counts of one topic: nodes, nodes with outgoing edges, edges, largest degrees, and the
-    edges from nodes that have incoming ones."""
+    """Counts of one topic: nodes, nodes with outgoing edges, edges, largest degrees, the edges
+    from nodes that have incoming ones, and these nodes with or without outgoing edges."""
 
     members: int
     senders: int
@@ -38,6 +38,7 @@ class TopicSize:
     most_out: int
     most_in: int
     inner: int
+    receivers: int
 
 
 @dataclass
@@ -119,6 +120,7 @@ def topic_graph(
             F.max("out_degree").alias("most_out"),
             F.max("in_degree").alias("most_in"),
             F.sum(F.when(F.col("in_degree") > 0, F.col("out_degree")).otherwise(0)).alias("inner"),
+            F.count_if(F.col("in_degree") > 0).alias("receivers"),
         )
         .collect()
     )

@@ -19,7 +19,8 @@ The sources are taken in batches when all searches together could visit more tha
 
 After its first level a search only takes links that leave nodes with incoming ones.  If these
 are counted to be few, every task gets them all and levels and steps are partitioned by source
-alone: then nothing of a search moves any more, and none is larger than those links.
+alone: then nothing of a search moves any more, and none is larger than those links.  Where
+a topic has few such nodes too, a task makes all levels of its sources at once, see ``dense``.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from topicpulse.operators import reduction
+from topicpulse.operators.dense import dense_sums
 from topicpulse.operators.graph import (
     TopicGraph,
     grid,
@@ -55,6 +57,8 @@ VISITS_PER_PARTITION = 4_000_000
 LINKS_PER_PARTITION = 250_000
 # Links of nodes with incoming ones, up to which each task of the searches gets them all.
 LOCAL_LINKS = 200_000
+# Nodes of a topic with incoming links, up to which a search is a row of a matrix.
+LOCAL_NODES = 1_000
 # Share of the nodes that a sample of the betweenness takes as sources, at least.
 SHARE = 0.1
 # Sources whose searches share one long of a row.
@@ -88,6 +92,13 @@ class _Search:
         if targets is not None:
             told = targets.select(F.col("key").alias("dst"), "target")
             self.links = cut(self.links.join(told, "dst"))
+        sizes = graph.sizes.values()
+        self.dense = (
+            self.local
+            and targets is None
+            and all(size.receivers <= LOCAL_NODES for size in sizes)
+            and sum(size.receivers for size in sizes) <= LOCAL_LINKS
+        )
         visits = self._most_visits()
         self.batches = max(1, -(-visits // max_visits))
         self.partitions = partitions_for(
@@ -333,6 +344,8 @@ def path_scores(
     sources; then ``out`` and ``came``, the sums of both over paths, are found too.
     """
     search = _Search(graph, max_visits, sample, targets)
+    if search.dense:
+        return named(graph, _dense_scores(search, closeness_end, with_betweenness))
     with fixed_layout(graph.links.sparkSession, search.partitions, by_part_of_keys=search.local):
         link_table = search.link_table().persist()
         try:
@@ -353,6 +366,29 @@ def path_scores(
     return named(graph, total)
 
 
+def _dense_scores(
+    search: _Search, closeness_end: str | None, with_betweenness: bool
+) -> DataFrame:
+    """``key`` and the sums of ``path_scores``, levels made in the tasks."""
+    graph = search.graph
+    values = ["reached", "distance"] if closeness_end else []
+    if with_betweenness:
+        values += ["betweenness"] + (["variance"] if search.sampled else [])
+    with fixed_layout(graph.links.sparkSession, search.partitions):
+        total = None
+        for batch in range(search.batches):
+            parts = dense_sums(
+                search.first_level(batch).withColumn("weight", search.weight),
+                graph.degrees.filter("in_degree > 0"),
+                search.links.filter(F.col("src_in") > 0),
+                closeness_end,
+                with_betweenness,
+            ).select("key", *values)
+            parts = parts if total is None else total.unionByName(parts)
+            total = cut(parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in values]))
+    return total
+
+
 class _Blocks:
     """Blocks of sources: ``2 ** wide`` longs of 64 bits stand in a row."""
 
