@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 from collections import Counter
@@ -10,7 +11,7 @@ import pytest
 
 import corpus_pipeline
 import plain
-from topicpulse.llm import common, kd_sharding, line_dedup, near_duplicates, queries
+from topicpulse.llm import common, kd_sharding, line_dedup, near_duplicates, quality_model, queries
 from topicpulse.operators.lineage import Stages
 
 EDGES = [None, "", " \n ", "\n\nx\n\n", "one", "tie tie", "tie tie", "a b c d e f\n" * 300]
@@ -54,6 +55,57 @@ def test_equal_rows_of_many_lines_are_one_document(spark, table):
     assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (1, 0), (2, 200)]
 
 
+def test_lines_are_numbered_without_rows_from_the_driver(spark, table):
+    """Executors start Python workers for a list of rows, and keep them."""
+    stages = Stages(spark)
+    places = line_dedup.line_places(table([(1, "a\nb"), (2, "c")]), stages)
+    assert "ExistingRDD" not in places._jdf.queryExecution().toString()
+    assert sorted(r.p for r in places.collect()) == [0, 1, 2]
+    stages.release()
+
+
+def test_few_texts_are_sent_to_a_worker_of_line_dedup(spark, table, monkeypatch):
+    portions = common._portions
+
+    def look(batch, column, most):
+        assert batch.column(column).buffers()[2].size < 16 << 20
+        return portions(batch, column, most)
+
+    monkeypatch.setattr(common, "_portions", look)
+    stages = Stages(spark)
+    many = table([(0, "same words " * 10_000)]).crossJoin(spark.range(0, 400, 1, 1).toDF("n"))
+    assert line_dedup.line_places(many, stages).count() == 1
+    stages.release()
+
+
+def _own_bytes():
+    with open("/proc/self/status") as file:
+        return next(int(x.split()[1]) for x in file if x.startswith("RssAnon")) << 10
+
+
+def test_freed_memory_goes_back_to_the_system():
+    before = _own_bytes()
+    held = [bytes(1000) for _ in range(200_000)]
+    last, held = held[-1], None
+    common.hand_back()
+    assert len(last) == 1000 and _own_bytes() - before < 60 << 20
+
+
+@pytest.mark.parametrize("stage", [k for k, (n, _) in enumerate(corpus_pipeline.STAGES) if n != "decontamination"])
+def test_tasks_of_the_pipeline_hand_memory_back(spark, table, labelled, tmp_path, monkeypatch, stage):
+    told = str(tmp_path / "told")
+
+    def tell():
+        open(told, "a").close()
+
+    for module in (common, quality_model):
+        monkeypatch.setattr(module, "hand_back", tell)
+    labelled([(n, n % 2, 0) for n in range(40)]).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = table([(n, f"some words of {n}" + " !!" * (n % 2)) for n in range(40)])
+    corpus_pipeline.STAGES[stage][1](spark, docs, str(tmp_path)).collect()
+    assert os.path.exists(told)
+
+
 def test_a_run_is_judged_as_a_whole(table):
     """Runs of three lines of two words, and of seven lines of one word."""
     three, seven = "a b\nc d\ne f", "\n".join("stuvwxy")

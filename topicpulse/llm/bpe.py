@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from topicpulse.llm.common import cut, map_rows, segments, split_long
+from topicpulse.llm.common import SENT, cut, map_rows, segments, split_long
 from topicpulse.llm.unit_table import UnitTable, coded_units, ragged, write_unit_table
 from topicpulse.operators.lineage import Stages, settings
 
@@ -38,12 +38,6 @@ PART_CHARS = 1 << 19
 PORTION_BYTES = 1 << 20
 # Texts that are put together at a time.  Each time looks at every bucket of the table.
 JOINED_BYTES = 2 << 20
-# Texts that are handed to a worker at a time: it holds them beside what it makes of a portion,
-# and the executor holds them twice while it fills their buffer.
-SENT = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
-}
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:

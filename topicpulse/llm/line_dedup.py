@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from topicpulse.llm import common
 from topicpulse.llm.common import cut
-from topicpulse.operators.lineage import Stages
+from topicpulse.operators.lineage import Stages, settings
 
 MIN_WORDS = 5
 
@@ -69,7 +69,7 @@ def hashed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         told = [at for at, own in enumerate(words) if own]
         return told, need, [xxhash.xxh3_128_digest(lines[at]) for at in told], len(lines)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         split = re.compile(_LINE_END.encode())
@@ -95,6 +95,10 @@ def hashed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     names=[*DOC, "at", "rest", "need", "id_high", "id_low"],
                 )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from hashed(batches)
+        common.hand_back()
+
     return _keyed(docs).mapInArrow(run, LINE)
 
 
@@ -104,7 +108,8 @@ def line_places(docs: DataFrame, stages: Stages, min_words: int = MIN_WORDS) ->
     Rows equal in id and text are one document.
     """
     order = [*DOC, "at"]
-    lines = stages.keep(hashed_lines(docs, min_words))
+    with settings(docs.sparkSession, common.SENT):
+        lines = stages.keep(hashed_lines(docs, min_words))
     sorted_lines = lines.repartitionByRange(*order).dropDuplicates(order).sortWithinPartitions(*order)
     numbered = sorted_lines.withColumn("_id", F.monotonically_increasing_id())
     numbered = stages.keep(numbered.withColumn("_part", F.shiftright("_id", 33).cast("int")))
@@ -112,9 +117,13 @@ def line_places(docs: DataFrame, stages: Stages, min_words: int = MIN_WORDS) ->
     sizes = sorted(tuple(r) for r in numbered.groupBy("_part").count().collect())
     starts, total = [], 0
     for part, count in sizes:
-        starts.append((part, total - (part << 33)))
+        starts.append(total - (part << 33))
         total += count
-    offsets = docs.sparkSession.createDataFrame(starts, "_part int, _from bigint")
+    # Executors would start Python workers of their own for a list of rows, which then stay.
+    parts = pa.array([part for part, _ in sizes], type=pa.int32())
+    offsets = docs.sparkSession.createDataFrame(
+        pa.table({"_part": parts, "_from": pa.array(starts, type=pa.int64())})
+    )
     placed = numbered.join(F.broadcast(offsets), "_part")
     return placed.select(*order, "rest", "need", "id_high", "id_low", (F.col("_id") + F.col("_from")).alias("p"))
 

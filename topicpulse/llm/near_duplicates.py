@@ -28,8 +28,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from topicpulse.llm.common import cut, map_rows, small
-from topicpulse.operators.lineage import Stages
+from topicpulse.llm.common import SENT, cut, map_rows, small
+from topicpulse.operators.lineage import Stages, settings
 
 BANDS, ROWS = 30, 4
 SAMPLES = BANDS * ROWS
@@ -250,7 +250,8 @@ class Linker:
             "cid", F.col("_text").cast("binary").alias("_text")
         )
         # Rows that repeat in id and text give a set several times.
-        self.sets = cut(shingle_sets(chosen, words).dropDuplicates(["cid"]))
+        with settings(docs.sparkSession, SENT):
+            self.sets = cut(shingle_sets(chosen, words).dropDuplicates(["cid"]))
         self.roots = cut(self.nodes.select("cid", F.col("cid").alias("root")))
 
     def placed(self) -> DataFrame:
@@ -398,7 +399,8 @@ def components(
     id, so rows that repeat a kept id are all kept.  A row without words is linked with
     nothing, not even with its like.  Other columns are not looked at.
     """
-    signed = cut(signatures(docs, words))
+    with settings(docs.sparkSession, SENT):
+        signed = cut(signatures(docs, words))
     grouped = (
         signed.filter("n_shingles > 0")
         .groupBy("set_low", "set_high")

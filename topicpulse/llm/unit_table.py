@@ -104,7 +104,7 @@ def write_unit_table(
     buckets = max(16, -(-size // BUCKET_BYTES))
     folder = f"{stages.folder}/units"
 
-    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[str] = set()
         for batch in batches:
             for part in common._portions(batch, "text", GATHER_BYTES):
@@ -114,7 +114,11 @@ def write_unit_table(
                     held = set()
         yield _dealt(held, buckets)
 
-    def encoded(table: pa.Table) -> pa.Table:
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from units_of(batches)
+        common.hand_back()
+
+    def write_bucket(table: pa.Table) -> int:
         units: set[bytes] = set()
         for n in range(table.num_rows):
             data, at = table.column("data")[n].as_py(), 0
@@ -136,7 +140,12 @@ def write_unit_table(
         store.save(f"{bucket}-low", low[order])
         store.save(f"{bucket}-start", np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]))
         store.save(f"{bucket}-ids", flat.astype(narrow))
-        return pa.table({"units": pa.array([len(order)], type=pa.int64())})
+        return len(order)
+
+    def encoded(table: pa.Table) -> pa.Table:
+        written = write_bucket(table)
+        common.hand_back()
+        return pa.table({"units": pa.array([written], type=pa.int64())})
 
     rows = texts.mapInArrow(gathered, "bucket int, lengths array<int>, data binary")
     done = rows.groupBy("bucket").applyInArrow(encoded, "units bigint")
