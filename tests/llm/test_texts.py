@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +137,62 @@ def test_scores_without_labels_of_both_kinds(table, labelled):
     assert quality_model.score(table([]), labelled([])).count() == 0
 
 
+def mixed_rows(count):
+    draw = random.Random(4)
+    rows = []
+    for n in range(count):
+        words = ["".join(draw.choices("abcdefg", k=draw.randint(1, 9))) for _ in range(draw.randint(0, 30))]
+        marks = draw.choices(["", "!", "#", "7", ".", "X"], [8, 1, 1 + n % 2, 1 + n % 2, 1, 1], k=len(words))
+        rows.append((n, " ".join(w + m for w, m in zip(words, marks))))
+    return rows, [(n, int(n % 2 == 0 or n % 7 == 0), 0) for n in range(count)]
+
+
+def plain_model(better, worse, share):
+    """Newton steps over the differences of all pairs, and the quantile from all sorted scores."""
+    both = np.vstack([better, worse])
+    centre, scale = both.mean(0), np.maximum(both.std(0), 1e-3)
+    winners, losers = (better - centre) / scale, (worse - centre) / scale
+    pairs = (winners[:, None] - losers[None]).reshape(-1, both.shape[1])
+    weights = np.zeros(both.shape[1])
+    for _ in range(30):
+        chance = 1 / (1 + np.exp(pairs @ weights))
+        bend = (pairs * (chance * (1 - chance))[:, None]).T @ pairs / len(pairs)
+        slope = pairs.T @ chance / len(pairs) - quality_model.RIDGE * weights
+        weights = weights + np.linalg.solve(bend + quality_model.RIDGE * np.eye(len(weights)), slope)
+    raw = np.concatenate([winners @ weights, losers @ weights])
+    mass = np.repeat([(1 - share) / len(winners), share / len(losers)], [len(winners), len(losers)])
+    order = np.argsort(raw, kind="stable")
+    k = int(np.searchsorted(np.cumsum(mass[order]), share - 1e-9))
+    return weights, (raw[order[k]] + raw[order[min(k + 1, len(raw) - 1)]]) / 2
+
+
+@pytest.mark.parametrize("buckets", [quality_model.BUCKETS, 3])
+def test_the_model_is_that_of_all_labelled_pairs(table, labelled, monkeypatch, buckets):
+    """More pairs than a model was fitted on before."""
+    monkeypatch.setattr(quality_model, "BUCKETS", buckets)
+    rows, marks = mixed_rows(900)
+    model = quality_model.fit(table(rows).repartition(3), labelled([*marks, (5000, 0, 0)]))
+    fitted = [n for n, _ in rows if zlib.crc32(str(n).encode()) % 5]
+    features = np.array([quality_model.text_features(rows[n][1].encode()) for n in fitted])
+    good = np.array([marks[n][1] for n in fitted]) == 1
+    assert good.sum() * (~good).sum() > 100_000
+    # A labelled id without a document counts for the share of the labels.
+    absent = int(zlib.crc32(b"5000") % 5 > 0)
+    share = ((~good).sum() + absent) / (len(fitted) + absent)
+    weights, cut = plain_model(features[good], features[~good], share)
+    assert model.weights == pytest.approx(weights, abs=1e-9)
+    assert model.cut == pytest.approx(cut, abs=1e-9)
+
+
+def test_every_labelled_row_counts(table, labelled):
+    """Beyond 10,000 labelled documents of a kind, those with marks are in the model too."""
+    rows = [(n, "some words" if n < 12_000 else "some words !!") for n in range(12_400)]
+    model = quality_model.fit(table(rows), labelled([(n, int(n < 12_000 or n % 2), 0) for n, _ in rows]))
+    fitted = [n for n, _ in rows if zlib.crc32(str(n).encode()) % 5]
+    found = sum(quality_model.text_features(rows[n][1].encode())[2] for n in fitted) / len(fitted)
+    assert model.centre[2] == pytest.approx(found)
+
+
 ITEM = "A shop sells 12 red apples for 5 dollars and Tom buys 12 of them, how much does Tom pay in all today?"
 
 

@@ -162,7 +162,8 @@ def dense_sums(
                     variance[own] += found[1]
         near = (reached[met], distance[met]) if end == "node" else (None, None)
         far = (between[met], variance[met]) if with_betweenness else (None, None)
-        yield rows(core.keys[met], *near, *far)
+        if end == "node" or with_betweenness:
+            yield rows(core.keys[met], *near, *far)
 
     ordered = first.select("source", "node", "paths", "weight").sortWithinPartitions("source")
     return ordered.mapInArrow(
