@@ -232,6 +232,22 @@ def test_many_windows_are_joined_by_a_shuffle(table, benchmark_table, monkeypatc
     assert [r.doc_id for r in kept.collect()] == [2]
 
 
+def test_a_long_text_is_joined_by_a_shuffle(spark, table, benchmark_table, monkeypatch):
+    """Only windows that may be found move, each with its own tokens."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(12_000)]
+    renamed = ITEM.replace("12", "30").replace("Tom", "Ann")
+    text = " ".join([*words[:6000], renamed, *words[6000:]])
+    items = [(100, ITEM), (101, " ".join(words[50:80])), (102, " ".join(words[:30][::-1]))]
+    docs = [(1, text), (2, text.upper()), (3, None), (4, ""), (5, "12 " * 3000)]
+    assert leaks(table, benchmark_table, docs, items) == [(1, 100), (1, 101), (2, 100), (2, 101)]
+    every = spark.range(200_000).select(F.xxhash64("id").alias("window"))
+    left = decontaminate._may_be_found(every, every.limit(1000), 1000)
+    assert 1000 <= left.count() < 3000
+    assert left.join(every.limit(1000), "window").count() == 1000
+
+
 QUESTION = (
     "Tom has 12 red apples and 5 green pears in the old basket. Mary takes 7 of them home on Monday "
     "and gives 3 plums back. How many pieces of fruit are there in the basket of Tom at the end?"
