@@ -8,7 +8,7 @@ import pytest
 import brute_force
 from fixtures import labelled
 from topicpulse.operators import graph as g
-from topicpulse.operators import dense, labelling, pagerank, paths, reduction, sketches
+from topicpulse.operators import cover, dense, labelling, pagerank, paths, reduction, sketches
 from topicpulse.operators.lineage import Stages, cut, fixed_layout
 
 
@@ -125,6 +125,22 @@ def test_closeness_in_blocks_is_that_of_single_searches(spark, direction, end, h
     }
 
 
+@pytest.mark.parametrize("sizes", [None, (1, 3, 20, 40)])
+def test_undirected_sums_over_a_cover_are_those_of_blocks(spark, monkeypatch, sizes):
+    """Chains, parts that are not connected, loops, links twice, a topic without nodes outside."""
+    for name, value in zip(("LONGS", "ROWS", "CHUNK_LINKS", "SENT_LINKS"), sizes or ()):
+        monkeypatch.setattr(cover, name, value)
+    fans = [(f"s{i:03}", f"r{(i * j * j + i // 7) % 24}", "A") for i in range(200) for j in range(1 + i % 3)]
+    chain = [(f"r{k}", f"r{k + 1}", "A") for k in range(24, 60, 2)] + [("r1", "r1", "A"), ("lone", "lone", "A")]
+    chain += [(f"t{k}", f"r{k + j}", "A") for k in range(24, 60) for j in (0, 1)]
+    ring = [(f"r{k}", f"r{(k + 1) % 9}", "B.c") for k in range(9)]
+    graph = g.topic_graph(labelled(spark, [*fans, *fans[:9], *chain, *ring, ("x", "y", "C")]).repartition(3))
+    expected = paths.reach_sums(g.topic_graph(g.reversed_both_ways(graph.edges)), wide=1)
+    monkeypatch.setattr(paths, "reach_sums", None)
+    rows = lambda x: {tuple(r) for r in x.filter("reached > 0").select("Category", "id", "reached", "distance").collect()}
+    assert rows(paths.undirected_sums(graph)) == rows(expected)
+
+
 def test_many_batches_end_in_one_table(spark):
     edges = _random_edges(5, [f"n{i:02}" for i in range(60)], 120)
     graph = g.topic_graph(labelled(spark, edges))

@@ -21,6 +21,7 @@ After its first level a search only takes links that leave nodes with incoming o
 are counted to be few, every task gets them all and levels and steps are partitioned by source
 alone: then nothing of a search moves any more, and none is larger than those links.  Where
 a topic has few such nodes too, a task makes all levels of its sources at once, see ``dense``.
+Undirected closeness then goes by the distances among these nodes, see ``cover``.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from topicpulse.operators import reduction
+from topicpulse.operators.cover import cover_sums
 from topicpulse.operators.dense import dense_sums
 from topicpulse.operators.graph import (
     TopicGraph,
@@ -59,6 +61,8 @@ LINKS_PER_PARTITION = 250_000
 LOCAL_LINKS = 200_000
 # Nodes of a topic with incoming links, up to which a search is a row of a matrix.
 LOCAL_NODES = 1_000
+# Pairs of nodes with incoming links of the same topic, up to which each task gets their distances.
+LOCAL_PAIRS = 20_000_000
 # Share of the nodes that a sample of the betweenness takes as sources, at least.
 SHARE = 0.1
 # Sources whose searches share one long of a row.
@@ -551,6 +555,28 @@ def closeness_value(node_count: int, wasserman_faust: bool = False) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
+def undirected_sums(graph: TopicGraph) -> DataFrame:
+    """Sparse ``Category, id, reached, distance`` over links taken in both directions.
+
+    Where few nodes have incoming links, all others are next to these only, see ``cover``;
+    else blocks of sources are handed on along the links.
+    """
+    sizes = graph.sizes.values()
+    covered = (
+        all(size.receivers <= LOCAL_NODES for size in sizes)
+        and sum(size.receivers**2 for size in sizes) <= LOCAL_PAIRS
+        and sum(size.inner for size in sizes) <= LOCAL_LINKS
+    )
+    if not sizes or not covered:
+        both = topic_graph(reversed_both_ways(graph.edges), graph.heavy_rows)
+        return reach_sums(both, wide=WIDE_BITS)
+    partitions = partitions_for(graph.edge_count, LINKS_PER_PARTITION, least=8)
+    with fixed_layout(graph.links.sparkSession, partitions):
+        links = graph.links.filter(F.col("src") != F.col("dst"))
+        receivers = graph.degrees.filter("in_degree > 0")
+        return named(graph, cover_sums(links, receivers, graph.edge_count))
+
+
 def closeness(
     graph: TopicGraph,
     direction: str = "in",
@@ -564,11 +590,7 @@ def closeness(
     """
     if direction not in ("in", "out", "both"):
         raise ValueError(f"direction must be 'in', 'out' or 'both', not {direction!r}")
-    searched = graph
-    if direction == "both":
-        searched = topic_graph(reversed_both_ways(graph.edges), graph.heavy_rows)
-    wide = WIDE_BITS if direction == "both" else 0
-    sums = reach_sums(searched, direction == "out", wide)
+    sums = undirected_sums(graph) if direction == "both" else reach_sums(graph, direction == "out")
     node_count = graph.nodes.count() if wasserman_faust else 0
     scores = sums.select(
         "Category", "id", closeness_value(node_count, wasserman_faust).alias("closeness")
